@@ -37,9 +37,8 @@ def running_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: s
     n_before = F.col("_rn") - 1
     mean = F.when(n_before > 0, F.col(f"_sb_{value}") / n_before)
     v = F.col(value)
-    kinds = F.filter(F.array(F.when(gt(v, mean + F.lit(margin)), F.lit("high")),
-                             F.when(gt(mean - F.lit(margin), v), F.lit("low"))),
-                     lambda k: k.isNotNull())
+    kinds = F.array_compact(F.array(F.when(gt(v, mean + F.lit(margin)), F.lit("high")),
+                                    F.when(gt(mean - F.lit(margin), v), F.lit("low"))))
     out = (s.select(F.col(key), F.col(ts), F.col(time_col), v, n_before.alias("n_before"),
                     F.col(f"_sb_{value}").alias("sum_before"), F.explode(kinds).alias("kind")))
     return out.withColumn("message", messages.temp_alert(key, time_col, value, "kind"))
@@ -84,7 +83,8 @@ def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metr
     two-reading state iff
 
     * keep: the run of consecutive breaches ending at row ``i-1`` has odd
-      length (prefix max of the last non-breach position, a second scan);
+      length (position of the last earlier non-breaching row: the scan's
+      ``mark``, computed in the same pass);
     * drop: ``i`` is odd, ``i >= 3`` (sizes alternate strictly).
     """
     if variant not in ("keep", "drop"):
@@ -94,33 +94,34 @@ def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metr
     factor = F.lit(1.0 + rate)
     if time_col not in df.columns:
         df = df.withColumn(time_col, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+
+    def non_breach(cur, prev):
+        # row i does not breach row i-1 on any metric; row 1 (no previous
+        # row) counts as non-breaching
+        b = F.lit(False)
+        for m in metrics:
+            b = b | F.coalesce(gt(cur(m), prev(m) * factor), F.lit(False))
+        return ~b
+
     s = scan(df, key, ordering, lags=[*metrics, time_col], row_number=True,
-             strategy=strategy, partitions=partitions)
+             mark=non_breach if variant == "keep" else None, strategy=strategy, partitions=partitions)
     rn = F.col("_rn")
-    over = {m: (gt(F.col(m), F.col(f"_l1_{m}") * factor),                    # v over s1 (breach b_i)
-                gt(F.col(m), F.col(f"_l2_{m}") * factor),                    # v over s0
+    over = {m: (gt(F.col(m), F.col(f"_l2_{m}") * factor),                    # v over s0
                 gt(F.col(f"_l1_{m}"), F.col(f"_l2_{m}") * factor))           # s1 over s0
             for m in metrics}
     if variant == "drop":
         two = (rn >= 3) & (rn % 2 == 1)
     else:
-        b = F.lit(False)
-        for m in metrics:
-            b = b | F.coalesce(over[m][0], F.lit(False))
-        # position of a non-breaching row (row 1 counts as non-breaching)
-        flagged = s.withColumn("_nb", F.when((rn == 1) | ~b, rn).otherwise(F.lit(0)))
-        s = scan(flagged, key, ordering, maxes=["_nb"], strategy=strategy, partitions=partitions)
-        run = (rn - 1) - F.col("_mb__nb")          # breaches in a row ending at i-1
+        run = (rn - 1) - F.col("_mk")              # breaches in a row ending at row i-1
         two = (rn >= 3) & (run % 2 == 1)
-    fired = F.filter(
-        F.array(*[F.when(two & over[m][1] & over[m][2],
+    fired = F.array_compact(
+        F.array(*[F.when(two & over[m][0] & over[m][1],
                          F.struct(F.lit(m).alias("metric"),
                                   F.col(f"_l1_{time_col}").alias("first_time"),
                                   F.col(f"_l1_{m}").cast("double").alias("first_value"),
                                   F.col(time_col).alias("second_time"),
                                   F.col(m).cast("double").alias("second_value")))
-                  for m in metrics]),
-        lambda x: x.isNotNull())
+                  for m in metrics]))
     out = s.select(F.col(key), F.col(ts), *[F.col(c) for c in _cols(order)],
                    F.explode(fired).alias("a")).select(
         key, ts, *_cols(order), "a.metric", "a.first_time", "a.first_value", "a.second_time", "a.second_value")

@@ -23,9 +23,9 @@ be a third of the job in one task.
 The big data crosses the network twice (range exchange, then the hash
 exchange of the local window on ``(key, chunk)``, which is balanced because
 no ``(key, chunk)`` exceeds one slice) and is written once (the checkpoint
-of the chunked input, see :func:`assign_chunks`).  A second scan over the result (for
-example a prefix max over a flag computed from the lags) reuses both the
-chunks and the partitioning: no further exchange of the big side.
+of the chunked input, see :func:`assign_chunks`).  A running flag that
+depends on the previous row (``mark``) is computed in the same local pass;
+only each chunk's first row is settled in the carry table.
 
 ``strategy="window"`` is the plain one-window form, kept as the reference
 implementation for tests and for inputs known to have small keys.
@@ -64,77 +64,109 @@ def assign_chunks(df: DataFrame, keys, order, partitions: int | None = None) ->
 
 
 def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number: bool = False,
-         strategy: str = "chunked", partitions: int | None = None) -> DataFrame:
+         mark=None, strategy: str = "chunked", partitions: int | None = None) -> DataFrame:
     """Add exclusive per-key prefix aggregates in ``order``:
 
     * ``_rn``: 1-based position of the row in its key (``row_number``);
     * ``_sb_<c>``: sum of ``c`` over the key's earlier rows (0 for the first);
     * ``_mb_<c>``: max of ``c`` over the key's earlier rows (NULL for the first);
-    * ``_l1_<c>``, ``_l2_<c>``: ``c`` of the previous and second previous row.
+    * ``_l1_<c>``, ``_l2_<c>``: ``c`` of the previous and second previous row;
+    * ``_mk`` (with ``mark``): ``_rn`` of the last earlier row for which
+      ``mark(cur, prev)`` held, NULL if none.  ``mark`` gets two accessors,
+      ``cur(c)`` and ``prev(c)`` (``c`` among ``lags``; ``prev`` is NULL on a
+      key's first row), and returns a boolean column (NULL counts as false).
 
     ``order`` must make rows of a key unique (add a sequence column).
-    When ``df`` already carries ``_chunk`` (the output of an earlier
-    chunked scan) the chunks and their partitioning are reused.
     """
     keys, order = _cols(keys), _cols(order)
     sums, maxes, lags = _cols(sums), _cols(maxes), _cols(lags)
+    zero = {c: F.lit(0).cast(df.schema[c].dataType) for c in sums}
     if strategy == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         wb = w.rowsBetween(Window.unboundedPreceding, -1)
         out = [F.col("*")]
-        if row_number:
+        if row_number or mark:
             out.append(F.row_number().over(w).alias("_rn"))
-        out += [F.coalesce(F.sum(c).over(wb), F.lit(0).cast(df.schema[c].dataType)).alias(f"_sb_{c}") for c in sums]
+        out += [F.coalesce(F.sum(c).over(wb), zero[c]).alias(f"_sb_{c}") for c in sums]
         out += [F.max(c).over(wb).alias(f"_mb_{c}") for c in maxes]
         for c in lags:
             out += [F.lag(c, 1).over(w).alias(f"_l1_{c}"), F.lag(c, 2).over(w).alias(f"_l2_{c}")]
-        return df.select(*out)
+        res = df.select(*out)
+        if mark:
+            m = F.coalesce(mark(F.col, lambda c: F.col(f"_l1_{c}")), F.lit(False))
+            res = res.withColumn("_mk", F.max(F.when(m, F.col("_rn"))).over(wb))
+        return res
     if strategy != "chunked":
         raise ValueError("strategy must be 'chunked' or 'window'")
 
-    base = df if CHUNK in df.columns else assign_chunks(df, keys, order, partitions)
+    base = assign_chunks(df, keys, order, partitions)
     part = keys + [CHUNK]
     w = Window.partitionBy(*part).orderBy(*order)
     wb = w.rowsBetween(Window.unboundedPreceding, -1)
     local = base.select(
         F.col("*"),
         F.row_number().over(w).alias("_lrn"),
-        *[F.coalesce(F.sum(c).over(wb), F.lit(0).cast(df.schema[c].dataType)).alias(f"_lsb_{c}") for c in sums],
+        *[F.coalesce(F.sum(c).over(wb), zero[c]).alias(f"_lsb_{c}") for c in sums],
         *[F.max(c).over(wb).alias(f"_lmb_{c}") for c in maxes],
         *[F.lag(c, k).over(w).alias(f"_ll{k}_{c}") for c in lags for k in (1, 2)],
     )
-
-    # one row per (key, chunk); grouped on the local window's own partitioning
-    # the last row of the chunk and the row before it, for lags across chunks
-    last = [F.max_by(F.struct(*[F.col(c).alias(f"v_{c}") for c in lags],
-                              *[F.col(f"_ll1_{c}").alias(f"p_{c}") for c in lags]),
-                     F.struct(*order)).alias("_last")] if lags else [F.lit(None).alias("_last")]
+    if mark:
+        # marks of rows 2.. of the chunk are exact (their previous row is in
+        # the chunk); row 1's mark is settled with the carry-in
+        m = F.coalesce(mark(F.col, lambda c: F.col(f"_ll1_{c}")), F.lit(False))
+        local = (local.withColumn("_lmp", F.when((F.col("_lrn") >= 2) & m, F.col("_lrn")))
+                 .withColumn("_lm1", F.first(m).over(w))          # row 1, previous row unknown
+                 .withColumn("_lmk", F.max("_lmp").over(wb)))      # same window: no new exchange
+
+    # One row per (key, chunk), grouped on the local window's own
+    # partitioning.  ``_first`` / ``_last`` are the chunk's first and last
+    # rows with every base column (and, for the last, its in-chunk lag);
+    # referencing all columns keeps this branch's plan below the exchange
+    # identical to the main branch, so the exchange is computed once.
+    row = [F.col(c).alias(f"v_{c}") for c in base.columns]
     summ = local.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_cnt"),
         *[F.sum(c).alias(f"_tot_{c}") for c in sums],
         *[F.max(c).alias(f"_max_{c}") for c in maxes],
-        *last,
+        F.max_by(F.struct(*row, *[F.col(f"_ll1_{c}").alias(f"p_{c}") for c in lags]),
+                 F.struct(*order)).alias("_last"),
+        F.min_by(F.struct(*row), F.struct(*order)).alias("_first"),
+        *([F.max("_lmp").alias("_lmpmax")] if mark else []),
     )
     wc = Window.partitionBy(*keys).orderBy(CHUNK)
     wcb = wc.rowsBetween(Window.unboundedPreceding, -1)
-    carry = (summ.select(
-        *part,
-        F.sum("_cnt").over(wcb).alias("_cb"),
+    c1 = summ.select(
+        *[F.col(k).alias(f"_ck_{k}") for k in part],
+        F.coalesce(F.sum("_cnt").over(wcb), F.lit(0)).alias("_cb"),
         *[F.sum(f"_tot_{c}").over(wcb).alias(f"_csb_{c}") for c in sums],
         *[F.max(f"_max_{c}").over(wcb).alias(f"_cmb_{c}") for c in maxes],
         F.lag("_last", 1).over(wc).alias("_p1"),
         F.lag("_last", 2).over(wc).alias("_p2"),
         F.lag("_cnt", 1).over(wc).alias("_pc"),
-    ).filter(F.col("_cb") > 0))   # only a slice's first key continues: <= P rows
-
-    j = local.join(F.broadcast(carry), on=part, how="left")
+        "_first", *(["_lmpmax"] if mark else []),
+    )
+    if mark:
+        # first row's mark against the previous chunk's last row, then the
+        # last marked position of each chunk, then the max over earlier chunks
+        mf = F.coalesce(mark(lambda c: F.col(f"_first.v_{c}"), lambda c: F.col(f"_p1.v_{c}")), F.lit(False))
+        c1 = c1.withColumn("_mf", mf)
+        chunk_last = F.greatest(F.when(F.col("_mf"), F.col("_cb") + 1), F.col("_cb") + F.col("_lmpmax"))
+        wck = Window.partitionBy(*[f"_ck_{k}" for k in keys]).orderBy(f"_ck_{CHUNK}") \
+                    .rowsBetween(Window.unboundedPreceding, -1)
+        c1 = c1.withColumn("_cmk", F.max(chunk_last).over(wck))
+    carry = c1.filter(F.col("_cb") > 0).drop("_first")   # only a slice's first key continues: <= P rows
+
+    # null-safe keys: a NULL key is a group like any other, and no
+    # ``isnotnull`` filter is inferred into one branch only
+    cond = [local[k].eqNullSafe(carry[f"_ck_{k}"]) for k in part]
+    j = local.join(F.broadcast(carry), on=cond, how="left")
     first, second = F.col("_lrn") == 1, F.col("_lrn") == 2
+    cb = F.coalesce(F.col("_cb"), F.lit(0))
     out = [F.col(c) for c in base.columns]
-    if row_number:
-        out.append((F.col("_lrn") + F.coalesce(F.col("_cb"), F.lit(0))).alias("_rn"))
+    if row_number or mark:
+        out.append((F.col("_lrn") + cb).alias("_rn"))
     for c in sums:
-        out.append((F.col(f"_lsb_{c}") + F.coalesce(F.col(f"_csb_{c}"), F.lit(0).cast(df.schema[c].dataType)))
-                   .alias(f"_sb_{c}"))
+        out.append((F.col(f"_lsb_{c}") + F.coalesce(F.col(f"_csb_{c}"), zero[c])).alias(f"_sb_{c}"))
     for c in maxes:
         out.append(F.greatest(F.col(f"_lmb_{c}"), F.col(f"_cmb_{c}")).alias(f"_mb_{c}"))
     for c in lags:
@@ -142,6 +174,11 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
         prev2 = F.when(F.col("_pc") >= 2, F.col(f"_p1.p_{c}")).otherwise(F.col(f"_p2.v_{c}"))
         out.append(F.when(first, prev1).otherwise(F.col(f"_ll1_{c}")).alias(f"_l1_{c}"))
         out.append(F.when(first, prev2).when(second, prev1).otherwise(F.col(f"_ll2_{c}")).alias(f"_l2_{c}"))
+    if mark:
+        first_marked = F.coalesce(F.col("_mf"), F.col("_lm1"))
+        out.append(F.when(first, F.col("_cmk"))
+                   .otherwise(F.greatest(F.col("_cmk"), F.when(first_marked, cb + 1), cb + F.col("_lmk")))
+                   .alias("_mk"))
     return j.select(*out)
 
 

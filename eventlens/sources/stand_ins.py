@@ -55,7 +55,7 @@ def temperature_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def temperature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``T1_<type>,yyyy-MM-dd HH:mm:ss,<temp>;`` - one trailing character
     the parser strips, as in the reference's input."""
-    ev = load(spark, sf_dir, "events")
+    ev = load(spark, sf_dir, "events", spread=True)
     return ev.select(
         F.concat(F.concat_ws(",", F.concat(F.lit("T1_"), "event_type"),
                              F.date_format("ts", TIME_FMT),
@@ -86,7 +86,7 @@ def quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     order, an unknown ``DV:`` field, ``AE:`` left out on line number 7
     (cons becomes 0) and a decoy ``AB:`` before the real one on line number 1
     (the last occurrence wins)."""
-    li = load(spark, sf_dir, "lineitem")
+    li = load(spark, sf_dir, "lineitem", spread=True)
     ab = F.concat(F.lit("AB:"), F.col("l_extendedprice").cast("string"))
     ae = F.when(F.col("l_linenumber") != 7,
                 F.concat(F.lit("AE:"), F.col("l_quantity").cast("int").cast("string")))
@@ -112,9 +112,9 @@ def iot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -------------------------------------------------------------- user behaviour
-def user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
+def user_behavior(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Typed UserLog rows at full timestamp precision."""
-    ev = load(spark, sf_dir, "events")
+    ev = load(spark, sf_dir, "events", spread=spread)
     return ev.select(
         F.col("event_id").alias("user_id"),
         F.col("user_id").alias("item_id"),
@@ -126,7 +126,7 @@ def user_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_behavior_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ub = user_behavior(spark, sf_dir)
+    ub = user_behavior(spark, sf_dir, spread=True)
     return ub.select(F.concat_ws(",", "user_id", "item_id", "category_id", "behavior",
                                  epoch_seconds("ts")).alias("value"))
 
@@ -135,7 +135,7 @@ def user_behavior_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ip - user dd/MM/yyyy:HH:mm:ss +0000 METHOD url``; the url is the
     page whose id equals the event's user id (every user has one)."""
-    ev = load(spark, sf_dir, "events")
+    ev = load(spark, sf_dir, "events", spread=True)
     pages = load(spark, sf_dir, "pages").select("page_id", "url")
     j = ev.join(pages, ev.user_id == pages.page_id, "left")
     eid = F.col("event_id")
@@ -165,7 +165,7 @@ def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sensor_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``sensor_<user>,<epoch seconds>,<temperature>``."""
-    ev = load(spark, sf_dir, "events")
+    ev = load(spark, sf_dir, "events", spread=True)
     return ev.select(F.concat_ws(",", F.concat(F.lit("sensor_"), F.col("user_id").cast("string")),
                                  epoch_seconds("ts"), F.col("value").cast("string")).alias("value"))
 
