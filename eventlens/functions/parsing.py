@@ -39,7 +39,7 @@ def _check(on_error: str) -> bool:
 
 
 def _num(c: Column, typ: str, safe: bool) -> Column:
-    return F.try_cast(c, typ) if safe else c.cast(typ)
+    return c.try_cast(typ) if safe else c.cast(typ)
 
 
 def _field(arr: Column, i: int, safe: bool) -> Column:
