@@ -75,8 +75,9 @@ query("student_min_courses", _oracle(MIN_COURSES))(_sql(MIN_COURSES))
 
 @query("course_join_ctas", f"WITH {VIEWS}, id_course AS ({ID_COURSE})\n{COURSE_NAME}")
 def course_join_ctas(spark, sf_dir):
-    """JN2 + SNK4: ``create table id_course as select ...`` materialised
+    """SRC6 + JN2 + SNK4: the three tables as comma-delimited text with
+    declared schemas, ``create table id_course as select ...`` materialised
     under the shared folder, then joined with ``student``."""
-    _views(spark, sf_dir)
+    stand_ins.register_course_views(spark, sf_dir, delimited=True)
     tables.create_table_as_select(spark, "id_course", ID_COURSE)
     return spark.sql(COURSE_NAME)

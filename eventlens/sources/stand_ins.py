@@ -112,9 +112,12 @@ def iot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -------------------------------------------------------------- user behaviour
-def user_behavior(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """Typed UserLog rows at full timestamp precision."""
+def user_behavior(spark: SparkSession, sf_dir: str, spread: bool = False, source_filter=None) -> DataFrame:
+    """Typed UserLog rows at full timestamp precision; ``source_filter`` is
+    applied to the stored ``events`` columns."""
     ev = load(spark, sf_dir, "events", spread=spread)
+    if source_filter is not None:
+        ev = ev.filter(source_filter)
     return ev.select(
         F.col("event_id").alias("user_id"),
         F.col("user_id").alias("item_id"),
@@ -196,7 +199,20 @@ def student_course(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_quantity").cast("int").alias("score")))
 
 
-def register_course_views(spark: SparkSession, sf_dir: str) -> None:
-    course(spark, sf_dir).createOrReplaceTempView("course")
-    student(spark, sf_dir).createOrReplaceTempView("student")
-    student_course(spark, sf_dir).createOrReplaceTempView("studentcourse")
+def register_course_views(spark: SparkSession, sf_dir: str, delimited: bool = False) -> None:
+    """``course``, ``student``, ``studentcourse`` as temp views.  With
+    ``delimited`` each is first written as a comma-delimited text table and
+    read back with its declared schema (the Hive ``row format delimited
+    fields terminated by ','`` tables)."""
+    from .. import schemas
+    from ..session import scratch_path
+    from .tables import read_csv_table
+    parts = {"course": (course, schemas.COURSE), "student": (student, schemas.STUDENT),
+             "studentcourse": (student_course, schemas.STUDENT_COURSE)}
+    for name, (make, schema) in parts.items():
+        df = make(spark, sf_dir)
+        if delimited:
+            path = scratch_path(spark, f"delimited/{name}")
+            df.write.mode("overwrite").option("sep", ",").csv(path)
+            df = read_csv_table(spark, path, schema, sep=",")
+        df.createOrReplaceTempView(name)
