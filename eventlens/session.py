@@ -54,9 +54,11 @@ def build_session(master: str | None = None, app: str = "eventlens",
 
 
 def apply_sql_defaults(spark: SparkSession) -> None:
-    """Pin the runtime SQL settings results depend on (time zone, ANSI)."""
+    """Pin the runtime SQL settings results depend on (time zone, ANSI) and
+    the state store ``transformWithState`` needs, on any caller's session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
 def _is_local(spark: SparkSession) -> bool:
