@@ -27,7 +27,7 @@ METRICS = ("acid", "cons", "water_rate")
 
 def running_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: str = "temp",
                         order=("seq",), margin: float = DEFAULT_MARGIN, time_col: str = "time",
-                        strategy: str = "chunked", partitions: int | None = None) -> DataFrame:
+                        strategy: str = "auto", partitions: int | None = None) -> DataFrame:
     """ALR1: ``high`` when ``value > mean + margin``, ``low`` when
     ``value < mean - margin`` (strict), where ``mean`` is over the key's
     earlier readings; every reading then joins the mean.  The first reading
@@ -46,7 +46,7 @@ def running_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: s
 
 def window_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: str = "temp",
                        order=("seq",), size: str = "1 day", margin: float = WINDOW_MARGIN,
-                       time_col: str = "time", strategy: str = "chunked",
+                       time_col: str = "time", strategy: str = "auto",
                        partitions: int | None = None) -> DataFrame:
     """ALR2: inside each tumbling window of the key, alert when
     ``value - mean_so_far > margin``; the mean restarts with every window."""
@@ -66,7 +66,7 @@ def window_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: st
 
 def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metrics=METRICS,
                   rate: float = DEFAULT_RATE, variant: str = "keep", time_col: str = "time",
-                  strategy: str = "chunked", partitions: int | None = None,
+                  strategy: str = "auto", partitions: int | None = None,
                   with_message: bool = False) -> DataFrame:
     """ALR3 (``keep``) / ALR4 (``drop``): alert for metric ``m`` when two
     readings in a row exceed the baseline reading by more than ``rate``.
@@ -132,7 +132,7 @@ def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metr
 
 
 def keyed_running_sum(df: DataFrame, key_expr: Column, value: str, ts: str, order=("seq",),
-                      key_name: str = "key", strategy: str = "chunked",
+                      key_name: str = "key", strategy: str = "auto",
                       partitions: int | None = None) -> DataFrame:
     """AGG6: ``keyBy(f).sum(field)``: for every element, the running sum of
     ``value`` of its key (the key may be any expression, e.g. a boolean)."""

@@ -63,8 +63,22 @@ def assign_chunks(df: DataFrame, keys, order, partitions: int | None = None) ->
     return chunked.checkpoint(eager=True)
 
 
+def has_hot_key(df: DataFrame, keys, partitions: int | None = None, factor: float = 2.0) -> bool:
+    """True when the largest key holds more than ``factor`` times the rows
+    an even spread gives one partition.  One aggregate pass over the key
+    columns only (partial counts before the shuffle); one row reaches the
+    driver."""
+    keys = _cols(keys)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+           .agg(F.max("n").alias("top"), F.sum("n").alias("total")).first())
+    if row is None or not row["total"]:
+        return False
+    return row["top"] > factor * row["total"] / n
+
+
 def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number: bool = False,
-         mark=None, strategy: str = "chunked", partitions: int | None = None) -> DataFrame:
+         mark=None, strategy: str = "auto", partitions: int | None = None) -> DataFrame:
     """Add exclusive per-key prefix aggregates in ``order``:
 
     * ``_rn``: 1-based position of the row in its key (``row_number``);
@@ -77,9 +91,15 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
       key's first row), and returns a boolean column (NULL counts as false).
 
     ``order`` must make rows of a key unique (add a sequence column).
+
+    ``strategy``: ``"chunked"`` (hot keys split over slices), ``"window"``
+    (one window per key), or ``"auto"``: chunked only when
+    :func:`has_hot_key` finds a key bigger than twice a partition's share.
     """
     keys, order = _cols(keys), _cols(order)
     sums, maxes, lags = _cols(sums), _cols(maxes), _cols(lags)
+    if strategy == "auto":
+        strategy = "chunked" if has_hot_key(df, keys, partitions) else "window"
     zero = {c: F.lit(0).cast(df.schema[c].dataType) for c in sums}
     if strategy == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
@@ -114,9 +134,11 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
         # marks of rows 2.. of the chunk are exact (their previous row is in
         # the chunk); row 1's mark is settled with the carry-in
         m = F.coalesce(mark(F.col, lambda c: F.col(f"_ll1_{c}")), F.lit(False))
-        local = (local.withColumn("_lmp", F.when((F.col("_lrn") >= 2) & m, F.col("_lrn")))
-                 .withColumn("_lm1", F.first(m).over(w))          # row 1, previous row unknown
-                 .withColumn("_lmk", F.max("_lmp").over(wb)))      # same window: no new exchange
+        lmp = F.when((F.col("_lrn") >= 2) & m, F.col("_lrn"))
+        local = local.select(
+            F.col("*"), lmp.alias("_lmp"),
+            F.first(m).over(w).alias("_lm1"),          # row 1, previous row unknown
+            F.max(lmp).over(wb).alias("_lmk"))         # same window spec: no new exchange
 
     # One row per (key, chunk), grouped on the local window's own
     # partitioning.  ``_first`` / ``_last`` are the chunk's first and last

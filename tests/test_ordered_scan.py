@@ -35,3 +35,14 @@ def test_chunked_equals_window(spark, seed, parts):
     assert ra == rb
     # the hot key really was split
     assert a.filter("k = 'hot'").select("_chunk").distinct().count() > 1
+
+
+def test_hot_key_detection(spark):
+    from eventlens.operators.ordered_scan import has_hot_key
+    skewed = _data(spark, 9)                       # 70% of rows on one key
+    even = spark.range(4000).selectExpr("CAST(id % 400 AS string) AS k")
+    assert has_hot_key(skewed, "k", partitions=8)
+    assert not has_hot_key(even, "k", partitions=8)
+    # auto takes the chunked path on the skewed input
+    a = scan(skewed, "k", ["t", "seq"], sums=["v"], strategy="auto", partitions=8)
+    assert "_chunk" in a.columns
