@@ -39,6 +39,8 @@ def build_session(master: str | None = None, app: str = "eventlens",
     conf = dict(SESSION_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # checkpoint files of the ordered scans are removed once unreferenced
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
