@@ -12,20 +12,21 @@ be a third of the job in one task.
    the global order into ``P`` balanced slices, so a hot key is spread over
    many consecutive slices (*chunks*, ``_chunk = spark_partition_id()``);
 2. computes the window locally per ``(key, chunk)``: local row number,
-   exclusive running sums / max, ``lag`` 1 and 2;
-3. summarises each ``(key, chunk)`` (count, totals, last two rows) and runs
-   a small window over the summaries to get what precedes each chunk;
-4. joins that carry-in back.  Only the first key of a slice can continue an
+   exclusive running sums / max, ``lag`` 1 and 2, and a running flag that
+   depends on the previous row (``mark``);
+3. checkpoints that local result once (reliable, ``spark.checkpoint.dir``);
+4. summarises each ``(key, chunk)`` (count, totals, first and last rows) on
+   the checkpoint's own partitioning and runs a small window over the
+   summaries to get what precedes each chunk;
+5. joins that carry-in back.  Only the first key of a slice can continue an
    earlier slice, so the carry-in table has at most ``P`` rows: it is
    broadcast with a proven size bound, and the big side is not shuffled
    again.
 
-The big data crosses the network twice (range exchange, then the hash
-exchange of the local window on ``(key, chunk)``, which is balanced because
-no ``(key, chunk)`` exceeds one slice) and is written once (the checkpoint
-of the chunked input, see :func:`assign_chunks`).  A running flag that
-depends on the previous row (``mark``) is computed in the same local pass;
-only each chunk's first row is settled in the carry table.
+The big data crosses the network twice (the range exchange on the order,
+then a range exchange on the slice id that gives each task one slice) and
+is written once (the checkpoint).  ``P`` follows the input size
+(:func:`chunk_count`).
 
 ``strategy="window"`` is the plain one-window form, kept as the reference
 implementation for tests and for inputs known to have small keys.
@@ -47,20 +48,30 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def chunk_count(df: DataFrame, partitions: int | None = None) -> int:
+    """Number of slices: the larger of the shuffle-partition setting and the
+    estimated input size over the advisory partition size, so a slice stays
+    near one partition's worth of data however large the input is."""
+    if partitions:
+        return partitions
+    conf = df.sparkSession.conf
+    n = int(conf.get("spark.sql.shuffle.partitions"))
+    target = conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    target_bytes = int(df.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
+                       .byteStringAsBytes(str(target)))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(n, -(-size // max(target_bytes, 1)))
+
+
 def assign_chunks(df: DataFrame, keys, order, partitions: int | None = None) -> DataFrame:
-    """Range-partition on (keys, order), tag each row with its slice and
-    materialise the result with a reliable checkpoint.
+    """Range-partition on (keys, order) and tag each row with its slice.
 
     The range boundaries come from a sample whose seed depends on the RDD,
-    so two plans over the same input (the local scan and its summary) would
-    cut different slices.  Checkpointing to ``spark.checkpoint.dir`` fixes
-    the slice of every row once; both consumers and any recomputation after
-    a lost executor read the same chunks."""
+    so the slice ids are only stable within one computation: callers
+    materialise what they derive from them (see :func:`scan`)."""
     keys, order = _cols(keys), _cols(order)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scratch_root(df.sparkSession)          # checkpoint dir: the shared one, or ours in local mode
-    chunked = df.repartitionByRange(n, *keys, *order).withColumn(CHUNK, F.spark_partition_id())
-    return chunked.checkpoint(eager=True)
+    n = chunk_count(df, partitions)
+    return df.repartitionByRange(n, *keys, *order).withColumn(CHUNK, F.spark_partition_id())
 
 
 def has_hot_key(df: DataFrame, keys, partitions: int | None = None, factor: float = 2.0) -> bool:
@@ -119,11 +130,15 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
     if strategy != "chunked":
         raise ValueError("strategy must be 'chunked' or 'window'")
 
-    base = assign_chunks(df, keys, order, partitions)
+    slices = chunk_count(df, partitions)
+    base = assign_chunks(df, keys, order, slices)
     part = keys + [CHUNK]
     w = Window.partitionBy(*part).orderBy(*order)
     wb = w.rowsBetween(Window.unboundedPreceding, -1)
-    local = base.select(
+    # Range-partitioning on the slice id gives each task about one slice (a
+    # hash of the slice id would stack several slices on some tasks); it
+    # satisfies the window's clustering on (key, slice).
+    local = base.repartitionByRange(slices, F.col(CHUNK)).select(
         F.col("*"),
         F.row_number().over(w).alias("_lrn"),
         *[F.coalesce(F.sum(c).over(wb), zero[c]).alias(f"_lsb_{c}") for c in sums],
@@ -140,14 +155,19 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
             F.first(m).over(w).alias("_lm1"),          # row 1, previous row unknown
             F.max(lmp).over(wb).alias("_lmk"))         # same window spec: no new exchange
 
-    # One row per (key, chunk), grouped on the local window's own
-    # partitioning.  ``_first`` / ``_last`` are the chunk's first and last
-    # rows with every base column (and, for the last, its in-chunk lag);
-    # referencing all columns keeps this branch's plan below the exchange
-    # identical to the main branch, so the exchange is computed once.
+    # Materialise the local pass once (reliable checkpoint under
+    # spark.checkpoint.dir): the slice ids are fixed for both consumers below
+    # and for any recomputation after a lost executor, and the summary, being
+    # clustered by slice already, needs no exchange.
+    scratch_root(df.sparkSession)
+    local = local.checkpoint(eager=True)
+
+    # One row per (key, chunk), grouped on the checkpoint's own partitioning.
+    # ``_first`` / ``_last`` are the chunk's first and last rows (the last
+    # with its in-chunk lag).
     row = [F.col(c).alias(f"v_{c}") for c in base.columns]
     summ = local.groupBy(*part).agg(
-        F.count(F.lit(1)).alias("_cnt"),
+        F.max("_lrn").cast("long").alias("_cnt"),
         *[F.sum(c).alias(f"_tot_{c}") for c in sums],
         *[F.max(c).alias(f"_max_{c}") for c in maxes],
         F.max_by(F.struct(*row, *[F.col(f"_ll1_{c}").alias(f"p_{c}") for c in lags]),

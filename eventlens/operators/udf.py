@@ -26,20 +26,27 @@ from pyspark.sql import DataFrame
 
 PandasFn = Callable[[pd.DataFrame], pd.DataFrame]
 
+COMBINE_EVERY_ROWS = 1_000_000
+
 
 def user_aggregate(df: DataFrame, keys: list[str], partial: PandasFn, combine: PandasFn,
                    finish: PandasFn, partial_schema: str, out_schema: str) -> DataFrame:
     keys = list(keys)
 
     def phase1(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc = None
+        pending, rows, limit = [], 0, COMBINE_EVERY_ROWS
         for b in batches:
             if len(b) == 0:
                 continue
             p = partial(b)
-            acc = p if acc is None else combine(pd.concat([acc, p], ignore_index=True))
-        if acc is not None and len(acc):
-            yield acc
+            pending.append(p)
+            rows += len(p)
+            if rows > limit:        # fold only when partials pile up (amortised linear)
+                pending = [combine(pd.concat(pending, ignore_index=True))]
+                rows = len(pending[0])
+                limit = max(COMBINE_EVERY_ROWS, 2 * rows)
+        if pending:
+            yield combine(pd.concat(pending, ignore_index=True))
 
     def phase2(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [b for b in batches if len(b)]
