@@ -76,11 +76,13 @@ def assign_chunks(df: DataFrame, keys, order, partitions: int | None = None) ->
 
 def has_hot_key(df: DataFrame, keys, partitions: int | None = None, factor: float = 2.0) -> bool:
     """True when the largest key holds more than ``factor`` times the rows
-    an even spread gives one partition.  One aggregate pass over the key
-    columns only (partial counts before the shuffle); one row reaches the
-    driver."""
+    an even spread gives one slice (:func:`chunk_count`: at least one per
+    shuffle partition, and one per advisory partition size of input), i.e.
+    when one task would get more than about two partitions' worth of data.
+    One aggregate pass over the key columns only (partial counts before the
+    shuffle); one row reaches the driver."""
     keys = _cols(keys)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = chunk_count(df, partitions)
     row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
            .agg(F.max("n").alias("top"), F.sum("n").alias("total")).first())
     if row is None or not row["total"]:
