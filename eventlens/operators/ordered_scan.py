@@ -119,7 +119,7 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
         wb = w.rowsBetween(Window.unboundedPreceding, -1)
         out = [F.col("*")]
         if row_number or mark:
-            out.append(F.row_number().over(w).alias("_rn"))
+            out.append(F.row_number().over(w).cast("bigint").alias("_rn"))
         out += [F.coalesce(F.sum(c).over(wb), zero[c]).alias(f"_sb_{c}") for c in sums]
         out += [F.max(c).over(wb).alias(f"_mb_{c}") for c in maxes]
         for c in lags:

@@ -17,7 +17,10 @@ def top_n(df: DataFrame, group: str | list[str], score: str, n: int = 3,
     groups = [group] if isinstance(group, str) else list(group)
     ties = [] if tie is None else ([tie] if isinstance(tie, str) else list(tie))
     w = Window.partitionBy(*groups).orderBy(F.col(score).desc(), *[F.col(t).asc() for t in ties])
-    return df.withColumn(rank_name, F.row_number().over(w)).filter(F.col(rank_name) <= n)
+    ranked = df.withColumn(rank_name, F.row_number().over(w)).filter(F.col(rank_name) <= n)
+    # rank as BIGINT (SQL's ROW_NUMBER type), cast after the limit filter so
+    # the planner still recognises the group limit
+    return ranked.withColumn(rank_name, F.col(rank_name).cast("bigint"))
 
 
 def top_n_report(ranked: DataFrame, group: str, item: str, score: str, rank_name: str = "rk") -> DataFrame:
