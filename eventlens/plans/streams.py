@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import messages
-from ..operators.select import MAIN
 from ..session import scratch_path
 from ..sources import files, stand_ins
 from ..streaming import jobs
@@ -185,5 +184,3 @@ def stream_group_count(spark, sf_dir):
     jobs.run_available_now(writer, ck)
     return spark.read.parquet(sink)
 
-
-__all__ = ["MAIN"]

@@ -5,7 +5,6 @@ create-table-as-select."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
