@@ -82,14 +82,75 @@ class RunningMeanProcessor(StatefulProcessor):
         pass
 
 
+def breach_step(size: int, stored: np.ndarray, vals: np.ndarray, rate: float, variant: str):
+    """One key's micro-batch through the two-reading state machine, in numpy.
+
+    ``size`` and ``stored`` (``size`` x 3 metric rows, oldest first) are the
+    state before the batch; ``vals`` holds the batch's metric rows in scan
+    order.  Returns ``(alerts, new_size)`` where ``alerts`` is a list of
+    ``(row, metric, prev_row)`` with ``prev_row = -1`` meaning the last
+    stored reading; the new stored readings are the last ``new_size`` rows
+    of ``stored`` followed by ``vals``.
+
+    The stored readings are always the previous one or two rows, so only the
+    size depends on history: keep (``E[i+1] = not E[i] and b[i]``) alternates
+    along each run of breaches; drop alternates size 1 / not 1 strictly.
+    """
+    n = len(vals)
+    f = 1.0 + rate
+    allv = np.vstack([stored, vals]) if len(stored) else vals
+    off = len(stored)
+    idx = np.arange(n)
+    pos = off + idx                                   # row i in allv
+    has1 = pos >= 1
+    prev1 = np.where(has1[:, None], allv[np.maximum(pos - 1, 0)], np.nan)
+    has2 = pos >= 2
+    prev2 = np.where(has2[:, None], allv[np.maximum(pos - 2, 0)], np.nan)
+    with np.errstate(invalid="ignore"):
+        breach = np.any(vals > prev1 * f, axis=1) & has1     # b[i]: row i over row i-1
+    if variant == "drop":
+        is1 = ((size == 1) ^ (idx % 2 == 1))           # size before row i is 1
+        two = np.zeros(n, dtype=bool)
+        two[1:] = is1[:-1] & breach[:-1]
+        if n:
+            two[0] = size == 2
+        last_is1 = bool(is1[-1]) if n else size == 1
+        new_size = (2 if breach[-1] else 0) if (n and last_is1) else (1 if n else size)
+    else:
+        # reset where the previous row did not breach (or at the batch start)
+        reset = np.ones(n, dtype=bool)
+        reset[1:] = ~breach[:-1]
+        start = np.maximum.accumulate(np.where(reset, idx, 0))
+        first_two = (size == 2)
+        base = np.where(start == 0, first_two, False)
+        two = base ^ ((idx - start) % 2 == 1)
+        # (size 0 only before a key's first row: that row has no previous
+        # row, so it does not breach and the alternation restarts after it)
+        if n == 0:
+            new_size = size
+        elif n == 1 and size == 0:
+            new_size = 1
+        else:
+            new_size = 2 if (not two[-1] and breach[-1]) else 1
+    alerts = []
+    with np.errstate(invalid="ignore"):
+        over0 = vals > prev2 * f
+        over1 = prev1 > prev2 * f
+    hit = two[:, None] & over0 & over1
+    for i, m in zip(*np.nonzero(hit)):
+        alerts.append((int(i), int(m), int(i) - 1))
+    return alerts, new_size
+
+
 class BreachProcessor(StatefulProcessor):
-    """ALR3 / ALR4 on a stream: the reference's state machine itself (at
-    most two stored readings per key), run over the key's sorted rows."""
+    """ALR3 / ALR4 on a stream: the reference's state machine (at most two
+    stored readings per key) over the key's sorted rows, vectorised by
+    :func:`breach_step`."""
 
     METRICS = ("acid", "cons", "water_rate")
 
     def __init__(self, rate: float = 0.1, variant: str = "keep"):
-        self.factor = 1.0 + rate
+        self.rate = rate
         self.variant = variant
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -98,39 +159,27 @@ class BreachProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, ["ts", "l_orderkey", "l_linenumber", "l_partkey"])
         st = self.state.get() if self.state.exists() else (0, None, None, None, None, None, None, None, None)
-        size = st[0]
-        s0 = st[1:5]
-        s1 = st[5:9]
-        f = self.factor
+        size = int(st[0])
+        stored_rows = [st[1:5], st[5:9]][:size]
+        stored = np.array([r[:3] for r in stored_rows], dtype="float64").reshape(size, 3)
+        stored_times = [r[3] for r in stored_rows]
         vals = pdf[["acid", "cons", "water_rate"]].to_numpy(dtype="float64")
         times = pdf["time"].tolist()
-        out = []
-        for i in range(len(pdf)):
-            v = (vals[i, 0], vals[i, 1], vals[i, 2], times[i])
-            if size == 0:
-                s0, size = v, 1
-            elif size == 1:
-                if any(v[m] > s0[m] * f for m in range(3)):
-                    s1, size = v, 2
-                elif self.variant == "keep":
-                    s0 = v
-                else:
-                    size = 0
-            else:
-                for m, name in enumerate(self.METRICS):
-                    if v[m] > s0[m] * f and s1[m] > s0[m] * f:
-                        out.append((i, name, s1[3], float(s1[m]), v[3], float(v[m])))
-                s0, size = v, 1
+        alerts, new_size = breach_step(size, stored, vals, self.rate, self.variant)
+        all_vals = np.vstack([stored, vals]) if size else vals
+        all_times = stored_times + times
+        keep_rows = [(*map(float, all_vals[j]), all_times[j]) for j in range(len(all_times) - new_size, len(all_times))]
         blank = (None, None, None, None)
-        self.state.update((int(size), *(s0 if size >= 1 else blank), *(s1 if size == 2 else blank)))
-        if out:
-            idx = [o[0] for o in out]
+        keep_rows += [blank] * (2 - len(keep_rows))
+        self.state.update((int(new_size), *keep_rows[0], *keep_rows[1]))
+        if alerts:
+            idx = [a[0] for a in alerts]
             res = pdf.loc[idx, ["id", "ts", "l_orderkey", "l_linenumber", "l_partkey"]].reset_index(drop=True)
-            res["metric"] = [o[1] for o in out]
-            res["first_time"] = [o[2] for o in out]
-            res["first_value"] = [o[3] for o in out]
-            res["second_time"] = [o[4] for o in out]
-            res["second_value"] = [o[5] for o in out]
+            res["metric"] = [self.METRICS[a[1]] for a in alerts]
+            res["first_time"] = [all_times[size + a[2]] for a in alerts]
+            res["first_value"] = [float(all_vals[size + a[2], a[1]]) for a in alerts]
+            res["second_time"] = [times[a[0]] for a in alerts]
+            res["second_value"] = [float(vals[a[0], a[1]]) for a in alerts]
             yield res
 
     def close(self) -> None:
