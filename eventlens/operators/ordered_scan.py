@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_root
 
 CHUNK = "_chunk"
+MAX_SLICES = 200_000      # keeps the range exchange's map-status bookkeeping bounded
 
 
 def _cols(x) -> list[str]:
@@ -60,7 +61,10 @@ def chunk_count(df: DataFrame, partitions: int | None = None) -> int:
     target_bytes = int(df.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
                        .byteStringAsBytes(str(target)))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(n, -(-size // max(target_bytes, 1)))
+    unknown = int(conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
+    if size >= unknown:           # no statistics (e.g. an RDD-backed input): keep the setting
+        return n
+    return max(n, min(-(-size // max(target_bytes, 1)), MAX_SLICES))
 
 
 def assign_chunks(df: DataFrame, keys, order, partitions: int | None = None) -> DataFrame:

@@ -46,3 +46,13 @@ def test_hot_key_detection(spark):
     # auto takes the chunked path on the skewed input
     a = scan(skewed, "k", ["t", "seq"], sums=["v"], strategy="auto", partitions=8)
     assert "_chunk" in a.columns
+
+
+def test_chunk_count_bounds(spark):
+    from eventlens.operators.ordered_scan import MAX_SLICES, chunk_count
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small = spark.range(100)
+    assert chunk_count(small) == n
+    # an RDD-backed input has no size statistics: the setting is kept
+    rdd_df = spark.createDataFrame(spark.sparkContext.parallelize([(1,), (2,)]), "x long")
+    assert n <= chunk_count(rdd_df) <= MAX_SLICES
