@@ -151,6 +151,16 @@ def stream_breach_drop(spark, sf_dir):
     return _breach_stream(spark, sf_dir, "drop")
 
 
+@query("stream_running_sum", iot.RUNNING_SUM)
+def stream_running_sum(spark, sf_dir):
+    """AGG6 on a stream: running sum of the temperature keyed by
+    ``id == 'sensor_6'``, one row per element."""
+    s = stand_ins.sensor_readings(spark, sf_dir).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    out = _alert_stream(spark, "running_sum", s, lambda x: jobs.keyed_running_sum(x, F.col("id") == "sensor_6"),
+                        ["key", "seq", "id", "temper", "running_temper"], [])
+    return out.withColumn("running_temper", F.round("running_temper", 6))
+
+
 @query("stream_tagged_split", tables_sql.TAGGED)
 def stream_tagged_split(spark, sf_dir):
     """SNK5/SNK6 on a stream: main output and one folder per tag, written

@@ -13,8 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import ranking
 from ..session import scratch_path
-from .processors import (BREACH_OUT, MEAN_OUT, WINDOW_MEAN_OUT, BreachProcessor,
-                         RunningMeanProcessor)
+from .processors import (BREACH_OUT, MEAN_OUT, SUM_OUT, WINDOW_MEAN_OUT, BreachProcessor,
+                         RunningMeanProcessor, RunningSumProcessor)
 
 
 # ----------------------------------------------------------------- plumbing
@@ -103,16 +103,29 @@ def breach_alerts(df: DataFrame, rate: float = 0.1, variant: str = "keep") -> Da
         BreachProcessor(rate, variant), BREACH_OUT, "append", "None")
 
 
+def keyed_running_sum(df: DataFrame, key_expr: Column, value: str = "temper") -> DataFrame:
+    """AGG6 on a stream: running sum per key expression (a boolean in the
+    reference), one output row per element."""
+    return df.withColumn("key", key_expr).groupBy("key").transformWithStateInPandas(
+        RunningSumProcessor(value), SUM_OUT, "append", "None")
+
+
 # --------------------------------------------------------------- split / count
 def tagged_sink(sink: str, routes: dict[str, Column], messages: dict[str, Column]):
     """SNK5 on a stream: every micro-batch writes the main output and one
-    folder per tag."""
+    folder per tag.  The batch (bounded by the trigger) is persisted while
+    its outputs are written, so the source is read once per batch; each
+    folder is overwritten per batch id, so a replayed batch is idempotent."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("message", F.lit(None).cast("string")) \
-             .write.mode("overwrite").parquet(f"{sink}/tag=main/batch={batch_id}")
-        for tag, cond in routes.items():
-            batch.filter(cond).withColumn("message", messages[tag]) \
-                 .write.mode("overwrite").parquet(f"{sink}/tag={tag}/batch={batch_id}")
+        batch.persist()
+        try:
+            batch.withColumn("message", F.lit(None).cast("string")) \
+                 .write.mode("overwrite").parquet(f"{sink}/tag=main/batch={batch_id}")
+            for tag, cond in routes.items():
+                batch.filter(cond).withColumn("message", messages[tag]) \
+                     .write.mode("overwrite").parquet(f"{sink}/tag={tag}/batch={batch_id}")
+        finally:
+            batch.unpersist()
     return fn
 
 

@@ -82,6 +82,36 @@ class RunningMeanProcessor(StatefulProcessor):
         pass
 
 
+SUM_STATE = "total double"
+SUM_OUT = "key boolean, seq long, id string, temper double, running_temper double"
+
+
+class RunningSumProcessor(StatefulProcessor):
+    """AGG6 on a stream (``keyBy(f).sum(field)``): every element with the
+    running sum of its key, state = the key's total so far."""
+
+    def __init__(self, value: str = "temper", order=("event_ts", "seq"), out_cols=("key", "seq", "id", "temper")):
+        self.value = value
+        self.order = list(order)
+        self.out_cols = list(out_cols)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("sum", SUM_STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _sorted(rows, self.order)
+        total = self.state.get()[0] if self.state.exists() else 0.0
+        run = total + np.cumsum(pdf[self.value].to_numpy(dtype="float64"))
+        if len(run):
+            self.state.update((float(run[-1]),))
+        out = pdf[self.out_cols].copy()
+        out["running_" + self.value] = run
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
 def breach_step(size: int, stored: np.ndarray, vals: np.ndarray, rate: float, variant: str):
     """One key's micro-batch through the two-reading state machine, in numpy.
 
