@@ -57,25 +57,32 @@ def register(df: DataFrame, name: str) -> DataFrame:
 
 def create_csv_table_ddl(spark: SparkSession, name: str, path: str, columns: str,
                          computed: dict[str, str] | None = None,
-                         watermark: tuple[str, str] | None = None) -> DataFrame:
+                         watermark: tuple[str, str] | None = None,
+                         stream: bool = False) -> DataFrame:
     """SQL DDL form of a CSV file table with computed columns.
 
     ``columns`` is a DDL column list (``"id string, ts bigint, temperature double"``),
     ``computed`` maps a new column to a SQL expression (``rt`` ->
     ``to_timestamp(from_unixtime(ts))``, ``pt`` -> ``current_timestamp()``).
-    The raw table is declared with ``CREATE TEMPORARY VIEW ... USING csv``; the
-    computed columns are a projection view on top.  ``watermark`` is applied
-    only to streams (batch has no late data).
+    Batch: the raw table is declared with ``CREATE TEMPORARY VIEW ... USING
+    csv`` and the computed columns are a projection view on top.  Stream
+    (``stream=True``): the folder is read as a CSV file stream with the same
+    schema, the computed columns are added and ``watermark`` (column, delay)
+    is applied - the ``WATERMARK FOR rt AS rt - INTERVAL '1' SECOND`` clause.
     """
+    extra = ", ".join(f"{expr} AS {col}" for col, expr in (computed or {}).items())
+    if stream:
+        raw_df = spark.readStream.schema(columns).option("sep", ",").option("mode", "FAILFAST").csv(path)
+        df = raw_df.selectExpr("*", *[f"{expr} AS {col}" for col, expr in (computed or {}).items()])
+        if watermark:
+            df = df.withWatermark(*watermark)
+        df.createOrReplaceTempView(name)
+        return df
     raw = f"{name}__raw"
     spark.sql(f"DROP VIEW IF EXISTS {raw}")
     spark.sql(f"CREATE TEMPORARY VIEW {raw} ({columns}) USING csv "
               f"OPTIONS (path '{path}', header 'false', mode 'FAILFAST')")
-    extra = ", ".join(f"{expr} AS {col}" for col, expr in (computed or {}).items())
-    sel = f"SELECT *{', ' + extra if extra else ''} FROM {raw}"
-    df = spark.sql(sel)
-    if watermark and df.isStreaming:
-        df = df.withWatermark(*watermark)
+    df = spark.sql(f"SELECT *{', ' + extra if extra else ''} FROM {raw}")
     df.createOrReplaceTempView(name)
     return df
 

@@ -66,3 +66,21 @@ def test_stream_equals_batch_alerts(spark):
     b = alerts.running_mean_alerts(df.withColumn("ts", F.col("ts").cast("timestamp_ntz")), partitions=2)
     bb = sorted((None, r.temp, r.kind) for r in b.collect())
     assert [x[1:] for x in s] == [x[1:] for x in bb]
+
+
+def test_ddl_table_stream_watermark(spark):
+    from eventlens.sources import files, tables
+    root = scratch_path(spark, "test/ddl")
+    lines = spark.createDataFrame([("sensor_1,1547718199,35.8001",), ("sensor_1,1547718299,36.8001",),
+                                   ("sensor_6,1547718399,15.4",), ("sensor_1,1647718399,0.0",)], "value string")
+    files.write_lines(lines, f"{root}/in")
+    df = tables.create_csv_table_ddl(spark, "dataTableStream", f"{root}/in", "id string, ts bigint, temperature double",
+                                     computed={"rt": "to_timestamp(from_unixtime(ts))"},
+                                     watermark=("rt", "1 second"), stream=True)
+    assert df.isStreaming and dict(df.dtypes)["rt"] == "timestamp"
+    counts = spark.sql("SELECT id, window(rt, '1 hour').start AS w, count(*) AS n FROM dataTableStream "
+                       "GROUP BY id, window(rt, '1 hour')")
+    jobs.run_available_now(lambda: jobs.to_parquet(counts, f"{root}/out")(), f"{root}/ck")
+    got = sorted((r.id, r.n) for r in spark.read.parquet(f"{root}/out").collect())
+    # the 2022 row moves the watermark past the 2019 windows and stays open itself
+    assert got == [("sensor_1", 2), ("sensor_6", 1)]
