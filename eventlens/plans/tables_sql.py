@@ -89,8 +89,10 @@ def proctime_table(spark, sf_dir):
 @query("elements_filter", ELEMENTS_6)
 def elements_filter(spark, sf_dir):
     """SRC2 shape + FLT3: sensor elements (id, int seconds, temper) filtered
-    on ``id == 'sensor_6'``."""
-    s = stand_ins.sensor_readings(spark, sf_dir)
+    on ``id == 'sensor_6'``.  The stand-in id is ``sensor_<user_id>``, so the
+    same predicate is also put on the stored column (``user_id = 6``) where
+    it reaches the parquet scan."""
+    s = stand_ins.sensor_readings(spark, sf_dir, source_filter=F.col("user_id") == 6)
     return s.filter(F.col("id") == "sensor_6").select("id", "ts", "temper")
 
 

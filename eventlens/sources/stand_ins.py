@@ -154,9 +154,12 @@ def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- sensor
-def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Project SensorReading (id, int seconds, temper) plus ``seq``."""
+def sensor_readings(spark: SparkSession, sf_dir: str, source_filter=None) -> DataFrame:
+    """Project SensorReading (id, int seconds, temper) plus ``seq``;
+    ``source_filter`` is applied to the stored ``events`` columns."""
     ev = load(spark, sf_dir, "events")
+    if source_filter is not None:
+        ev = ev.filter(source_filter)
     return ev.select(
         F.concat(F.lit("sensor_"), F.col("user_id").cast("string")).alias("id"),
         epoch_seconds("ts").cast("int").alias("ts"),
