@@ -21,18 +21,15 @@ def route(df: DataFrame, routes: dict[str, Column], message: dict[str, Column] |
           keep_main: bool = True) -> DataFrame:
     """FLT6 / SNK5: one input, several labelled outputs, the main output
     unchanged.  Returns one DataFrame with a ``tag`` column (``main`` for the
-    pass-through copy) and an optional ``message`` per tag.  Each tag is a
-    filter over the same scan; no shuffle."""
-    parts = []
-    if keep_main:
-        parts.append(df.withColumn("tag", F.lit(MAIN)).withColumn("message", F.lit(None).cast("string")))
-    for tag, cond in routes.items():
-        msg = (message or {}).get(tag, F.lit(None).cast("string"))
-        parts.append(df.filter(cond).withColumn("tag", F.lit(tag)).withColumn("message", msg))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    pass-through copy) and an optional ``message`` per tag.  One pass over
+    the input: each row is exploded into the tags whose predicate it meets
+    (no shuffle, one scan however many outputs)."""
+    tags = ([F.lit(MAIN)] if keep_main else []) + [F.when(cond, F.lit(tag)) for tag, cond in routes.items()]
+    out = df.withColumn("tag", F.explode(F.array_compact(F.array(*tags))))
+    msg = F.lit(None).cast("string")
+    for tag, m in (message or {}).items():
+        msg = F.when(F.col("tag") == tag, m).otherwise(msg)
+    return out.withColumn("message", msg)
 
 
 def side_output(routed: DataFrame, tag: str) -> DataFrame:
