@@ -38,7 +38,10 @@ def window_counts_panes(df: DataFrame, key: str, ts: str, size: str, slide: str,
     fanning each pane out to the ``size / slide`` windows that contain it and
     summing.  The fan-out happens after the partial aggregate, on at most one
     row per (key, pane, task) instead of per input row; decomposable
-    aggregates only, and ``slide`` must divide ``size``."""
+    aggregates only, and ``slide`` must divide ``size``.  It pays off when a
+    pane holds many rows per key; for sparse panes (about one row per key
+    and pane) the direct form is cheaper, since the pane step then adds a
+    shuffle without reducing anything."""
     size_s, slide_s = duration_seconds(size), duration_seconds(slide)
     if size_s % slide_s:
         raise ValueError("pane form needs slide to divide size")
