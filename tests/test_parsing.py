@@ -56,3 +56,21 @@ def test_behavior_line(spark):
     r = parsing.parse_user_behavior(_lines(spark, "543462,1715,1464116,pv,1511658000")).collect()[0]
     assert (r.user_id, r.item_id, r.category_id, r.behavior, str(r.ts)) == (
         543462, 1715, 1464116, "pv", "2017-11-26 01:00:00")
+
+
+def test_quality_bad_tag_value_modes(spark):
+    lines = _lines(spark, "Q1a,2024-01-01 00:00:01,AB:x1,AE:3,CE:0.2;", "Q1b,2024-01-01 00:00:02,AB:1.0;")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        parsing.parse_quality(lines).collect()
+    good, bad = parsing.parse_quality(lines, on_error="quarantine")
+    assert [(r.id, r.acid, r.cons, r.water_rate) for r in good.collect()] == [("Q1b", 1.0, 0, 0.0)]
+    assert bad.count() == 1
+
+
+def test_behavior_and_log_short_lines_null_mode(spark):
+    b = parsing.parse_user_behavior(_lines(spark, "1,2,3", "1,2,3,pv,1511658000"), on_error="null").collect()
+    assert sorted((r.behavior is None, r.ts is None) for r in b) == [(False, False), (True, True)]
+    good, bad = parsing.parse_access_log(_lines(spark, "1.2.3.4 - -", "1.2.3.4 - - 17/05/2015:10:05:03 +0000 GET /a"),
+                                         on_error="quarantine")
+    assert [r.url for r in good.collect()] == ["/a"]
+    assert [r.value for r in bad.collect()] == ["1.2.3.4 - -"]
