@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .timecols import from_epoch_seconds
+
 
 TIME_FMT = "yyyy-MM-dd HH:mm:ss"
 LOG_TIME_FMT = "dd/MM/yyyy:HH:mm:ss"
@@ -143,7 +144,7 @@ def parse_user_behavior(lines: DataFrame, on_error: str = "fail"):
         _num(_field(arr, 1, safe), "bigint", safe).alias("item_id"),
         _num(_field(arr, 2, safe), "int", safe).alias("category_id"),
         _field(arr, 3, safe).alias("behavior"),
-        F.timestamp_seconds(epoch).cast("timestamp_ntz").alias("ts"),
+        from_epoch_seconds(epoch).alias("ts"),
     )
     return _finish(df, ["user_id", "item_id", "category_id", "behavior", "ts"], on_error)
 
@@ -177,12 +178,3 @@ def parse_sensor_csv(lines: DataFrame, on_error: str = "fail"):
         _num(_field(arr, 2, safe), "double", safe).alias("temperature"),
     )
     return _finish(df, ["id", "ts", "temperature"], on_error)
-
-
-PARSED_SCHEMAS = {
-    "temperature": schemas.TEMP_READING,
-    "quality": schemas.QUALITY_READING,
-    "user_behavior": schemas.USER_BEHAVIOR_CSV,
-    "access_log": schemas.ACCESS_LOG,
-    "sensor_csv": schemas.SENSOR_CSV,
-}

@@ -230,10 +230,6 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
     return j.select(*out)
 
 
-def drop_chunk(df: DataFrame) -> DataFrame:
-    return df.drop(CHUNK) if CHUNK in df.columns else df
-
-
 def gt(a: Column, b: Column) -> Column:
     """``a > b`` with JVM double semantics: false when either side is NaN
     (Spark orders NaN above every number)."""

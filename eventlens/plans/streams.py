@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import messages
+from ..functions.timecols import to_ntz, to_stream_time
 from ..session import scratch_path
 from ..sources import files, stand_ins
 from ..streaming import jobs
@@ -26,7 +27,7 @@ FAR_FUTURE = "2100-01-01 00:00:00"
 
 
 def _temps(spark, sf_dir):
-    return stand_ins.temperature_readings(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    return stand_ins.temperature_readings(spark, sf_dir).withColumn("ts", to_stream_time("ts"))
 
 
 def _sentinel_like(df, **values):
@@ -39,7 +40,7 @@ def _sentinel_like(df, **values):
 
 
 def _ntz(df, *cols):
-    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[to_ntz(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def _daily_avg_stream(spark, sf_dir, late_row: bool):

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.timecols import to_ntz
 from ..operators import select, windows
 from ..session import scratch_path
 from ..sources import files, stand_ins, tables
@@ -74,7 +75,7 @@ def event_time_table(spark, sf_dir):
     df = tables.create_csv_table_ddl(
         spark, "dataTable", path, "id string, ts bigint, temperature double",
         computed={"rt": "to_timestamp(from_unixtime(ts))"}, watermark=("rt", "1 second"))
-    return df.select("id", "ts", "temperature", F.col("rt").cast("timestamp_ntz").alias("rt"))
+    return df.select("id", "ts", "temperature", to_ntz("rt").alias("rt"))
 
 
 @query("proctime_table")

@@ -63,3 +63,14 @@ def test_user_aggregate_mean(spark):
     assert set(got) == set(want)
     for k in want:
         assert got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9
+
+
+def test_split_outputs_and_seq(spark, tmp_path):
+    from eventlens.session import scratch_path
+    df = spark.createDataFrame([("sensor_1", 1), ("sensor_6", 2), ("sensor_6", 3)], "id string, v int")
+    parts = select.split_outputs(df, {"six": F.col("id") == "sensor_6"})
+    assert parts["main"].count() == 3 and parts["six"].count() == 2
+    path = scratch_path(spark, "test/lines")
+    files.write_lines(spark.createDataFrame([(f"line{i}",) for i in range(50)], "value string").coalesce(1), path)
+    seq = files.with_seq(files.read_lines(spark, path)).orderBy("_file", "_block", "_pos")
+    assert [r.value for r in seq.collect()] == [f"line{i}" for i in range(50)]
