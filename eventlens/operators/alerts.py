@@ -25,14 +25,22 @@ WINDOW_MARGIN = 5.0
 METRICS = ("acid", "cons", "water_rate")
 
 
+def _ordering(ts: str, order, arrival: bool) -> list[str]:
+    """Scan order: event time then the tie-break (canonical), or the
+    tie-break alone (``arrival=True``: the order lines were read in, which
+    is what the reference's keyed functions see)."""
+    return _cols(order) if arrival else [ts, *_cols(order)]
+
+
 def running_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: str = "temp",
                         order=("seq",), margin: float = DEFAULT_MARGIN, time_col: str = "time",
-                        strategy: str = "auto", partitions: int | None = None) -> DataFrame:
+                        strategy: str = "auto", partitions: int | None = None,
+                        arrival: bool = False) -> DataFrame:
     """ALR1: ``high`` when ``value > mean + margin``, ``low`` when
     ``value < mean - margin`` (strict), where ``mean`` is over the key's
     earlier readings; every reading then joins the mean.  The first reading
     of a key has no mean and never alerts; NaN compares false."""
-    s = scan(df, key, [ts, *_cols(order)], sums=[value], row_number=True,
+    s = scan(df, key, _ordering(ts, order, arrival), sums=[value], row_number=True,
              strategy=strategy, partitions=partitions)
     n_before = F.col("_rn") - 1
     mean = F.when(n_before > 0, F.col(f"_sb_{value}") / n_before)
@@ -47,12 +55,12 @@ def running_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: s
 def window_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: str = "temp",
                        order=("seq",), size: str = "1 day", margin: float = WINDOW_MARGIN,
                        time_col: str = "time", strategy: str = "auto",
-                       partitions: int | None = None) -> DataFrame:
+                       partitions: int | None = None, arrival: bool = False) -> DataFrame:
     """ALR2: inside each tumbling window of the key, alert when
     ``value - mean_so_far > margin``; the mean restarts with every window."""
     win = F.window(ts, size).start.alias("window_start")
     keyed = df.withColumn("window_start", win)
-    s = scan(keyed, [key, "window_start"], [ts, *_cols(order)], sums=[value], row_number=True,
+    s = scan(keyed, [key, "window_start"], _ordering(ts, order, arrival), sums=[value], row_number=True,
              strategy=strategy, partitions=partitions)
     n_before = F.col("_rn") - 1
     mean = F.when(n_before > 0, F.col(f"_sb_{value}") / n_before)
@@ -67,7 +75,7 @@ def window_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: st
 def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metrics=METRICS,
                   rate: float = DEFAULT_RATE, variant: str = "keep", time_col: str = "time",
                   strategy: str = "auto", partitions: int | None = None,
-                  with_message: bool = False) -> DataFrame:
+                  with_message: bool = False, arrival: bool = False) -> DataFrame:
     """ALR3 (``keep``) / ALR4 (``drop``): alert for metric ``m`` when two
     readings in a row exceed the baseline reading by more than ``rate``.
 
@@ -90,7 +98,7 @@ def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metr
     if variant not in ("keep", "drop"):
         raise ValueError("variant is 'keep' or 'drop'")
     metrics = list(metrics)
-    ordering = [ts, *_cols(order)]
+    ordering = _ordering(ts, order, arrival)
     factor = F.lit(1.0 + rate)
     if time_col not in df.columns:
         df = df.withColumn(time_col, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
@@ -133,10 +141,11 @@ def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metr
 
 def keyed_running_sum(df: DataFrame, key_expr: Column, value: str, ts: str, order=("seq",),
                       key_name: str = "key", strategy: str = "auto",
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, arrival: bool = False) -> DataFrame:
     """AGG6: ``keyBy(f).sum(field)``: for every element, the running sum of
     ``value`` of its key (the key may be any expression, e.g. a boolean)."""
     keyed = df.withColumn(key_name, key_expr)
-    s = scan(keyed, key_name, [ts, *_cols(order)], sums=[value], strategy=strategy, partitions=partitions)
+    s = scan(keyed, key_name, _ordering(ts, order, arrival), sums=[value], strategy=strategy,
+             partitions=partitions)
     return s.withColumn(f"running_{value}", F.col(f"_sb_{value}") + F.col(value)) \
             .drop(f"_sb_{value}", CHUNK)

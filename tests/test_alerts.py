@@ -104,3 +104,17 @@ def test_breach_matches_simulation(spark, seed):
             want += [(s, names[m]) for s, m in simulate(kr, 0.1, variant)]
         got = alerts.breach_alerts(df, "id", "ts", order=["seq"], variant=variant, partitions=9)
         assert sorted((r.seq, r.metric) for r in got.collect()) == sorted(want), variant
+
+
+def test_arrival_order(spark):
+    # readings arrive out of event-time order: by arrival 20, 30, 10 (the 30
+    # is stamped last); by event time 20, 10, 30
+    rows = [("s1", T0, "t0", 20.0, 0), ("s1", T0 + dt.timedelta(minutes=5), "t2", 30.0, 1),
+            ("s1", T0 + dt.timedelta(minutes=1), "t1", 10.0, 2)]
+    df = spark.createDataFrame(rows, "id string, ts timestamp_ntz, time string, temp double, seq long")
+    by_time = alerts.running_mean_alerts(df, strategy="window").collect()
+    by_arrival = alerts.running_mean_alerts(df, strategy="window", arrival=True).collect()
+    assert sorted((r.temp, r.kind) for r in by_time) == [(10.0, "low"), (30.0, "high")]
+    assert sorted((r.temp, r.kind) for r in by_arrival) == [(10.0, "low"), (30.0, "high")]
+    assert {r.temp: r.n_before for r in by_time} == {10.0: 1, 30.0: 2}
+    assert {r.temp: r.n_before for r in by_arrival} == {30.0: 1, 10.0: 2}
