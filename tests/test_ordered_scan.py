@@ -56,3 +56,16 @@ def test_chunk_count_bounds(spark):
     # an RDD-backed input has no size statistics: the setting is kept
     rdd_df = spark.createDataFrame(spark.sparkContext.parallelize([(1,), (2,)]), "x long")
     assert n <= chunk_count(rdd_df) <= MAX_SLICES
+
+
+def test_single_row_chunks(spark):
+    # one slice per row (or nearly): lag 2 and marks must reach across
+    # consecutive one-row chunks
+    rows = [("k", i, i, float((i * 7) % 5), i % 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, t int, seq int, v double, w int")
+    kw = dict(sums=["v"], maxes=["w"], lags=["v", "t"], row_number=True, mark=_mark)
+    a = scan(df, "k", ["t", "seq"], strategy="chunked", partitions=40, **kw)
+    b = scan(df, "k", ["t", "seq"], strategy="window", **kw)
+    cols = ["seq", "_rn", "_sb_v", "_mb_w", "_l1_v", "_l2_v", "_l1_t", "_l2_t", "_mk"]
+    assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
+    assert a.select("_chunk").distinct().count() > 20
