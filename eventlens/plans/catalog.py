@@ -1,17 +1,11 @@
-"""All registered queries and their oracles (imports populate the registry)."""
+"""All registered queries and their oracles (importing the plan modules
+fills the registry)."""
 
 from __future__ import annotations
 
-from . import hot  # noqa: F401
+from . import courses, hot, iot, parsers, streams, tables_sql, udfs  # noqa: F401
 from .registry import ORACLES, QUERIES
 
-for _m in ("iot", "parsers", "tables_sql", "courses", "udfs", "streams"):
-    try:
-        __import__(f"{__package__}.{_m}")
-    except ModuleNotFoundError as e:  # module not written yet
-        if _m not in str(e):
-            raise
-
 
 def queries():
     return dict(QUERIES)
