@@ -74,3 +74,16 @@ def test_split_outputs_and_seq(spark, tmp_path):
     files.write_lines(spark.createDataFrame([(f"line{i}",) for i in range(50)], "value string").coalesce(1), path)
     seq = files.with_seq(files.read_lines(spark, path)).orderBy("_file", "_block", "_pos")
     assert [r.value for r in seq.collect()] == [f"line{i}" for i in range(50)]
+
+
+def test_report_texts(spark):
+    from eventlens.functions import messages
+    df = spark.createDataFrame([(T0, 0.125), (T0, 1.005), (T0, 12.0)], "d timestamp_ntz, a double")
+    texts = [r.t for r in df.select(messages.daily_report("d", "a").alias("t")).collect()]
+    # Java's %.2f rounds half up on the decimal form: 0.125 -> 0.13, 1.005 -> 1.01
+    assert texts == ["\n报表结果：\n温度：2024-01-01 0.13\n", "\n报表结果：\n温度：2024-01-01 1.01\n",
+                     "\n报表结果：\n温度：2024-01-01 12.00\n"]
+    ranked = spark.createDataFrame([(T0, 1, 7, 5), (T0, 2, 3, 4)], "window_end timestamp_ntz, rk long, item_id long, cnt long")
+    rep = ranking.top_n_report(ranked, "window_end", "item_id", "cnt").collect()[0].report
+    assert "No1:  商品ID=7  浏览量=5\nNo2:  商品ID=3  浏览量=4" in rep
+    assert rep.startswith("====") and "时间: 2024-01-01 00:00:00" in rep
