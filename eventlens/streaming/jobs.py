@@ -31,10 +31,15 @@ def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: i
     return r.load(path)
 
 
-def run_available_now(writer_factory, checkpoint: str) -> None:
-    """Start, process everything available, stop; re-raise a failure."""
+def run_available_now(writer_factory, checkpoint: str, timeout_s: float = 3600) -> None:
+    """Start, process everything available, stop; re-raise a failure.  A
+    run that has not finished after ``timeout_s`` is stopped and reported
+    (progress so far is kept in the checkpoint, a rerun resumes it)."""
     q: StreamingQuery = writer_factory().option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
+    finished = q.awaitTermination(timeout_s)
+    if not finished:
+        q.stop()
+        raise TimeoutError(f"stream {q.id} did not finish within {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
