@@ -26,11 +26,18 @@ TOPN_ITEM = "  商品ID="         # item id =
 TOPN_VIEWS = "  浏览量="        # views =
 
 
+def jvm_to_int(c: Column) -> Column:
+    """Double to int as the JVM's ``toInt``: truncation toward zero, clamped
+    to the int range, NaN to 0 (an ANSI cast would raise instead)."""
+    clamped = F.least(F.greatest(c, F.lit(-2147483648.0)), F.lit(2147483647.0))
+    return F.when(F.isnan(c), F.lit(0)).otherwise(clamped.cast("int"))
+
+
 def temp_alert(id_col: str, time_col: str, temp_col: str, kind_col: str) -> Column:
     """``id,time,<temp truncated to int>; 温度过高|温度过低``."""
     label = F.when(F.col(kind_col) == "high", F.lit(TEMP_HIGH)).otherwise(F.lit(TEMP_LOW))
     return F.concat(F.concat_ws(",", F.col(id_col).cast("string"), F.col(time_col),
-                                F.col(temp_col).cast("int").cast("string")),
+                                jvm_to_int(F.col(temp_col)).cast("string")),
                     F.lit("; "), label)
 
 

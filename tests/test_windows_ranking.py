@@ -87,3 +87,11 @@ def test_report_texts(spark):
     rep = ranking.top_n_report(ranked, "window_end", "item_id", "cnt").collect()[0].report
     assert "No1:  商品ID=7  浏览量=5\nNo2:  商品ID=3  浏览量=4" in rep
     assert rep.startswith("====") and "时间: 2024-01-01 00:00:00" in rep
+
+
+def test_alert_text_int_like_jvm(spark):
+    from eventlens.functions import messages
+    df = spark.createDataFrame([("s", "t", 36.9, "high"), ("s", "t", -2.7, "low"), ("s", "t", 1e12, "high"),
+                                ("s", "t", float("nan"), "high")], "id string, time string, temp double, kind string")
+    got = [r.m for r in df.select(messages.temp_alert("id", "time", "temp", "kind").alias("m")).collect()]
+    assert got == ["s,t,36; 温度过高", "s,t,-2; 温度过低", "s,t,2147483647; 温度过高", "s,t,0; 温度过高"]
