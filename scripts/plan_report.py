@@ -39,10 +39,10 @@ def features(plan: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", shuffle_partitions=16)
+    spark = build_session("local[8]", shuffle_partitions=8)
     lines = ["# PLANS", "",
              f"Executed (adaptive, final) physical plans of the batch queries at `{os.path.basename(sf_dir)}`,"
-             " `local[8]`, 16 shuffle partitions; generated by `scripts/plan_report.py`.",
+             " `local[8]`, 8 shuffle partitions (as `bench.py`); generated by `scripts/plan_report.py`.",
              "Queries that materialise an intermediate (CTAS, CSV/text round trips, and the sliced ordered"
              " scan of the alerts, whose range exchanges run in the checkpoint job) show only the plan that"
              " reads it back. Partial aggregates before the shuffle are marked under *Partial agg*.", "",
