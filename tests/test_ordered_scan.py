@@ -69,3 +69,17 @@ def test_single_row_chunks(spark):
     cols = ["seq", "_rn", "_sb_v", "_mb_w", "_l1_v", "_l2_v", "_l1_t", "_l2_t", "_mk"]
     assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
     assert a.select("_chunk").distinct().count() > 20
+
+
+def test_chunk_count_follows_size(spark):
+    from eventlens.operators.ordered_scan import MAX_SLICES, chunk_count
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+        many = chunk_count(df)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert n < many <= MAX_SLICES
+    assert chunk_count(df) == n            # 64 MB slices: the setting wins at this size
