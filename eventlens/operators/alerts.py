@@ -32,23 +32,52 @@ def _ordering(ts: str, order, arrival: bool) -> list[str]:
     return _cols(order) if arrival else [ts, *_cols(order)]
 
 
+EXACT_TYPE = "decimal(24,10)"
+
+
+def _exact_inputs(df: DataFrame, value: str) -> DataFrame:
+    """Readings as DECIMAL for exact running sums; a NaN reading becomes NULL
+    and is remembered (``_nan``): in double arithmetic it would poison every
+    later mean of its key."""
+    v = F.col(value)
+    return (df.withColumn("_xv", F.when(~F.isnan(v), v.cast(EXACT_TYPE)))
+              .withColumn("_nan", F.isnan(v).cast("int")))
+
+
+def _mean_checks(s: DataFrame, value: str, exact: bool):
+    """(value, mean of earlier readings, usable) for the running-mean alerts."""
+    n_before = F.col("_rn") - 1
+    if not exact:
+        mean = F.when(n_before > 0, F.col(f"_sb_{value}") / n_before)
+        return F.col(value), mean, F.lit(True), F.col(f"_sb_{value}")
+    mean = F.when(n_before > 0, F.col("_sb__xv") / n_before)          # decimal division
+    usable = (F.coalesce(F.col("_mb__nan"), F.lit(0)) == 0) & F.col("_xv").isNotNull()
+    return F.col("_xv"), mean, usable, F.col("_sb__xv").cast("double")
+
+
 def running_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: str = "temp",
                         order=("seq",), margin: float = DEFAULT_MARGIN, time_col: str = "time",
                         strategy: str = "auto", partitions: int | None = None,
-                        arrival: bool = False) -> DataFrame:
+                        arrival: bool = False, exact: bool = False) -> DataFrame:
     """ALR1: ``high`` when ``value > mean + margin``, ``low`` when
     ``value < mean - margin`` (strict), where ``mean`` is over the key's
     earlier readings; every reading then joins the mean.  The first reading
-    of a key has no mean and never alerts; NaN compares false."""
-    s = scan(df, key, _ordering(ts, order, arrival), sums=[value], row_number=True,
-             strategy=strategy, partitions=partitions)
+    of a key has no mean and never alerts; NaN compares false.
+
+    ``exact=False`` sums doubles as the reference does; a reading exactly on
+    a threshold is then decided by summation order (which differs between
+    engines and slicings).  ``exact=True`` sums in DECIMAL and compares
+    exactly, so such readings never alert, whatever the plan."""
+    src = _exact_inputs(df, value) if exact else df
+    s = scan(src, key, _ordering(ts, order, arrival), sums=["_xv" if exact else value],
+             maxes=["_nan"] if exact else (), row_number=True, strategy=strategy, partitions=partitions)
     n_before = F.col("_rn") - 1
-    mean = F.when(n_before > 0, F.col(f"_sb_{value}") / n_before)
-    v = F.col(value)
-    kinds = F.array_compact(F.array(F.when(gt(v, mean + F.lit(margin)), F.lit("high")),
-                                    F.when(gt(mean - F.lit(margin), v), F.lit("low"))))
-    out = (s.select(F.col(key), F.col(ts), F.col(time_col), v, n_before.alias("n_before"),
-                    F.col(f"_sb_{value}").alias("sum_before"), F.explode(kinds).alias("kind")))
+    v, mean, usable, sum_before = _mean_checks(s, value, exact)
+    hi = usable & gt(v, mean + F.lit(margin)) if not exact else usable & (v > mean + F.lit(margin))
+    lo = usable & gt(mean - F.lit(margin), v) if not exact else usable & (v < mean - F.lit(margin))
+    kinds = F.array_compact(F.array(F.when(hi, F.lit("high")), F.when(lo, F.lit("low"))))
+    out = (s.select(F.col(key), F.col(ts), F.col(time_col), F.col(value), n_before.alias("n_before"),
+                    sum_before.alias("sum_before"), F.explode(kinds).alias("kind")))
     return out.withColumn("message", messages.temp_alert(key, time_col, value, "kind"))
 
 

@@ -126,9 +126,12 @@ def daily_report_text(spark, sf_dir):
 
 @query("running_mean_alerts", RUNNING_MEAN)
 def running_mean_alerts(spark, sf_dir):
-    """ALR1 + AGG4: deviation of more than 5 from the sensor's running mean."""
+    """ALR1 + AGG4: deviation of more than 5 from the sensor's running mean,
+    compared exactly (a reading exactly at mean +/- 5 never alerts, whatever
+    the plan's summation order)."""
     t = stand_ins.temperature_readings(spark, sf_dir)
-    return _round(alerts.running_mean_alerts(t, "id", "ts", "temp", order=["seq"], margin=5), "sum_before")
+    return _round(alerts.running_mean_alerts(t, "id", "ts", "temp", order=["seq"], margin=5, exact=True),
+                  "sum_before")
 
 
 @query("window_mean_alerts", WINDOW_MEAN)

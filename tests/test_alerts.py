@@ -118,3 +118,12 @@ def test_arrival_order(spark):
     assert sorted((r.temp, r.kind) for r in by_arrival) == [(10.0, "low"), (30.0, "high")]
     assert {r.temp: r.n_before for r in by_time} == {10.0: 1, 30.0: 2}
     assert {r.temp: r.n_before for r in by_arrival} == {30.0: 1, 10.0: 2}
+
+
+def test_exact_mode_is_plan_independent(spark):
+    from eventlens.sources import stand_ins
+    t = stand_ins.temperature_readings(spark, "/root/testdata/sf0.1")
+    counts = {alerts.running_mean_alerts(t, exact=True, strategy=s, partitions=p).count()
+              for s, p in (("chunked", 7), ("chunked", 64), ("window", None))}
+    # one reading lies exactly on mean - 5: exact arithmetic never alerts on it
+    assert counts == {92517}
