@@ -24,6 +24,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    from .near_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-ID files of all documents, read back."""
