@@ -24,6 +24,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict on every document."""
+    from .quality_rules import judged
+    return judged(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""

@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from .common import parts_for, text_of, with_defaults
 
 MAGIC = b"EVTOK01\n"
-FOOTER = struct.Struct("<QQQQ32s8s")
+FOOTER = "<QQQQ32s8s"
 LEVEL = 1
 MEMO_WORDS = 250_000
 
@@ -113,7 +113,7 @@ def pack_shard(shard: int, rows: Iterator[tuple[int | None, bytes]], dictionary:
         counts.append(len(raw) // 4)
     index = (np.array(ids, "<i8").tobytes() + np.array(nulls, "u1").tobytes()
              + np.array(offsets, "<u8").tobytes() + np.array(counts, "<u8").tobytes())
-    footer = FOOTER.pack(shard, len(ids), sum(counts), offsets[-1],
+    footer = struct.pack(FOOTER, shard, len(ids), sum(counts), offsets[-1],
                          hashlib.sha256(dictionary).digest(), MAGIC)
     return b"".join(body) + index + footer
 
@@ -124,7 +124,7 @@ class Shard:
     def __init__(self, blob: bytes, dictionary: bytes):
         end = len(blob) - 1 if blob[-1:] == b"\n" and blob[-len(MAGIC):] != MAGIC else len(blob)
         self.blob = blob
-        self.shard, n, self.n_ids, at, sha, magic = FOOTER.unpack(blob[end - FOOTER.size:end])
+        self.shard, n, self.n_ids, at, sha, magic = struct.unpack(FOOTER, blob[end - struct.calcsize(FOOTER):end])
         if magic != MAGIC or blob[:len(MAGIC)] != MAGIC:
             raise ValueError("not a token file")
         if sha != hashlib.sha256(dictionary).digest():
