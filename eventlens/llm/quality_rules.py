@@ -134,26 +134,29 @@ def _c(i: int, j: int) -> str:
 
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 ESTIMATE = [f"m{i}" for i in range(P)] + [_c(i, j) for i, j in PAIRS]
-FACTOR = [f"m{i}" for i in range(P)] + [f"l{i}{j}" for i, j in PAIRS]
+FACTOR = [f"m{i}" for i in range(P)] + [f"w{i}{j}" for i, j in PAIRS]
 
 
 def _factored(estimates: DataFrame) -> DataFrame:
-    """Adds the Cholesky factor l of the scatter, column by column."""
+    """Adds the inverse w of the scatter's Cholesky factor l, column by column
+    (one row per group)."""
     for j in range(P):
         rest = lambda i: sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))  # noqa: B023,E731
         estimates = estimates.withColumn(f"l{j}{j}", F.sqrt(F.greatest(F.col(_c(j, j)) - rest(j), F.lit(1e-12))))
         estimates = estimates.withColumns({f"l{i}{j}": (F.col(_c(i, j)) - rest(i)) / F.col(f"l{j}{j}")
                                            for i in range(j + 1, P)})
+    for i in range(P):
+        estimates = estimates.withColumns({f"w{i}{j}": 1 / F.col(f"l{i}{i}") if i == j else -sum(
+            (F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j + 1, i)), F.col(f"l{i}{j}") * F.col(f"w{j}{j}")
+        ) / F.col(f"l{i}{i}") for j in range(i + 1)})
     return estimates
 
 
 def _distance2() -> Column:
-    """Squared Mahalanobis distance, by forward substitution."""
-    z: list[Column] = []
-    for i in range(P):
-        z.append((F.col(VECTOR[i]) - F.col(f"m{i}")
-                  - sum((F.col(f"l{i}{k}") * z[k] for k in range(i)), F.lit(0.0))) / F.col(f"l{i}{i}"))
-    return sum((v * v for v in z[1:]), z[0] * z[0])
+    """Squared Mahalanobis distance, by the inverse factor."""
+    y = [F.col(VECTOR[i]) - F.col(f"m{i}") for i in range(P)]
+    z = [sum((F.col(f"w{i}{j}") * y[j] for j in range(1, i + 1)), F.col(f"w{i}0") * y[0]) for i in range(P)]
+    return sum((F.pow(v, F.lit(2)) for v in z[1:]), F.pow(z[0], F.lit(2)))
 
 
 def _with_distance(vectors: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
