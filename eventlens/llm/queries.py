@@ -45,6 +45,26 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as ARC files, converted to WARC files, read back."""
+    from .archives import convert, read_warc, write_arc
+    arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
+    write_arc(table(spark, sf_dir, "pages"), arc)
+    convert(spark, arc, warc)
+    return read_warc(spark, warc)
+
+
+ORACLES["op5_archives"] = """
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                      sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS kept FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
+    FROM k"""
+
+
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
