@@ -19,7 +19,7 @@ lower numbers.  One document is read with two range requests: footer plus
 index, then its frame.
 
 The dictionary is trained on the serialized ids of a bounded sample
-(``sample_docs`` documents, the first ``sample_chars`` characters of each);
+(about ``sample_docs`` documents, the first ``sample_chars`` characters of each);
 it affects file size only.  Files are committed by Spark's writer, one row
 per shard, so a lost executor leaves no partial file and any store works.
 """
@@ -39,12 +39,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import parts_for, text_of, with_defaults
+from .common import bounded_sample, parts_for, text_of, with_defaults
 
 MAGIC = b"EVTOK01\n"
 FOOTER = "<QQQQ32s8s"
 LEVEL = 1
-MEMO_WORDS = 250_000
+MEMO_PARTS = 250_000
+
+# fixed values: the tokenizer's splitter, its classes written out for Latin-1
+LETTER, NUMBER, SPACE = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\t-\r \u0085\u00a0"
+SPLIT = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^{SPACE}{LETTER}{NUMBER}]+"
 
 INDEX_SCHEMA = T.StructType([
     T.StructField("shard", T.LongType()), T.StructField("seq", T.LongType()),
@@ -53,39 +57,92 @@ INDEX_SCHEMA = T.StructType([
 SHARD_SCHEMA = T.StructType([T.StructField("shard", T.LongType()), T.StructField("ids", T.LongType())])
 
 
+class Memo(dict):
+    """A bounded memo in two generations: when the young one is full it
+    becomes the old one; what is asked for again moves back."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level BPE writes the UTF-8 bytes of each Latin-1 character:
+    printable bytes as themselves, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {b: chr(b) for b in plain}
+    letters |= {b: chr(0x100 + k) for k, b in enumerate(b for b in range(256) if b not in letters)}
+    return {c: "".join(letters[b] for b in chr(c).encode()) for c in range(256)}
+
+
 class Encoder:
     """Ids of a text as little-endian uint32 bytes.
 
-    The tokenizer never joins characters across a space or a newline (its
-    splitter drops white space and nothing composes with it), so pieces
-    between them are encoded once and remembered, up to ``MEMO_WORDS``.
+    The tokenizer lower-cases, cuts a text by ``SPLIT`` and runs its byte-pair
+    model on each part.  A text within Latin-1 is cut here (there, normal
+    form and lower case are the same in every library), its parts go to the
+    tokenizer's model once and are remembered.  Other texts, and those with a
+    special token's opening, go through the whole tokenizer, cut at spaces
+    and newlines, which it never joins across.
     """
 
     def __init__(self, path: str, end_id: int):
+        import re
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters, self.split = self.tokenizer.model, _byte_letters(), re.compile(SPLIT).findall
         self.end = np.array([end_id], "<u4").tobytes()
-        self.memo: dict[str, bytes] = {}
+        self.parts = Memo(lambda p: np.array([t.id for t in self.model.tokenize(p.translate(self.letters))], "<u4").tobytes(),
+                          MEMO_PARTS)
+        self.pieces = Memo(lambda p: np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u4").tobytes(),
+                           MEMO_PARTS // 4)
 
     def __call__(self, text: str) -> bytes:
-        pieces = text.replace("\n", " ").split(" ")
-        memo = self.memo
-        new = [p for p in set(pieces) if p not in memo]
-        if new:
-            if len(memo) + len(new) > MEMO_WORDS:
-                memo.clear()
-                new = list(set(pieces))
-            for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                memo[p] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(memo.__getitem__, pieces)) + self.end
-
-
-def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int,
+        if "<|" not in text and _is_latin1(text):
+            memo, cut = self.parts, self.split(text.lower())
+        else:
+            memo, cut = self.pieces, text.replace("\n", " ").split(" ")
+        out = b"".join(map(memo.__getitem__, cut)) + self.end
+        memo.trim()
+        return out
+
+
+def _is_latin1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def worker_encoder(path: str, end_id: int) -> Encoder:
+    """The encoder of this worker process, kept between its tasks."""
+    import sys
+    import types
+    home = sys.modules.setdefault("_eventlens_worker", types.ModuleType("_eventlens_worker"))
+    kept = getattr(home, "encoder", None)
+    if kept is None or kept[0] != (path, end_id):
+        kept = home.encoder = ((path, end_id), Encoder(path, end_id))
+    return kept[1]
+
+
+def train_dictionary(docs: DataFrame, n_docs: int, tokenizer_path: str, end_id: int,
                      sample_docs: int, sample_chars: int, size: int) -> bytes:
     """The shared dictionary; empty when the sample is too small to train on."""
-    sample = (docs.select(F.substring("text", 1, sample_chars).alias("text"),
-                          F.xxhash64("doc_id").alias("h"))
-              .orderBy("h", "text").limit(sample_docs).select("text").collect())
+    sample = (bounded_sample(docs, sample_docs, n_docs, "doc_id", "text")
+              .select(F.substring("text", 1, sample_chars).alias("text")).collect())
     encode = Encoder(tokenizer_path, end_id)
     parts = [encode(r["text"]) for r in sample]
     # the trainer wants several samples and more data than dictionary
@@ -154,13 +211,13 @@ def write_token_files(docs: DataFrame, out_dir: str, *, tokenizer_path: str, end
     """
     spark = docs.sparkSession
     docs = with_defaults(docs, doc_id="bigint", text="string").select("doc_id", text_of().alias("text"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0]
-    dictionary = train_dictionary(docs, tokenizer_path, end_id, sample_docs, sample_chars, dictionary_bytes)
+    total, n_docs = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    dictionary = train_dictionary(docs, n_docs, tokenizer_path, end_id, sample_docs, sample_chars, dictionary_bytes)
     blob = spark.createDataFrame([(bytearray(dictionary),)], "value binary")
     _write_rows(blob, f"{out_dir}/dictionary")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer_path, end_id)
+        encode = worker_encoder(tokenizer_path, end_id)
         rows = ((d, encode(t)) for b in batches
                 for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()))
         first = next(rows, None)
