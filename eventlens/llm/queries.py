@@ -80,3 +80,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_token_files(table(spark, sf_dir, "documents"), out,
                       tokenizer_path=tokenizer_file("word_bpe_49k.json"), end_id=2)
     return read_token_index(spark, out)
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    from .toxicity import scored, train
+    docs = table(spark, sf_dir, "documents")
+    return scored(docs, train(docs, table(spark, sf_dir, "labels")))
