@@ -72,6 +72,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    from .html_text import extracted
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-ID files of all documents, read back."""
