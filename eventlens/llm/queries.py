@@ -31,6 +31,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms in all documents."""
+    from .pii import digests
+    return digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""

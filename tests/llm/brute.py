@@ -41,3 +41,24 @@ def components(rows, percent=85):
                 a, b = find(i), find(sets[j][0])
                 root[max(a, b)] = min(a, b)
     return {i: find(i) for i in root}
+
+
+def _luhn(d):
+    s = 0
+    for i, c in enumerate(reversed(d)):
+        x = int(c) * (1 + i % 2)
+        s += x - 9 if x > 9 else x
+    return s % 10 == 0
+
+
+PII = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+    ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(re.sub("[^0-9]", "", m)) <= 19 and _luhn(re.sub("[^0-9]", "", m))),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15),
+)
+
+
+def pii(text):
+    """The valid base spans: (kind, start, end)."""
+    return [(k, m.start(), m.end()) for k, p, ok in PII for m in re.finditer(p, text or "") if ok(m[0])]
