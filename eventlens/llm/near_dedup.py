@@ -10,10 +10,11 @@ documents are linked when ``100 * |A & B| >= 85 * |A | B|``.
    ``min((a*x + b) mod 2^32)``.  A band's minima make one key; a pair at
    similarity 0.85 shares none of the keys with probability
    ``(1 - 0.85^ROWS)^BANDS`` (below 1e-6).
-3. Every key's members are paired with its smallest member only (a star);
-   pairs whose signatures are compatible with the threshold are confirmed on
-   the full sets, and components are found by alternating large-star and
-   small-star.
+3. A key's members are paired with its smallest member only (a star): each
+   member first with the smallest of all its keys, then, where the two are
+   still apart, with the smallest of every key.  Pairs whose signatures
+   allow the threshold are confirmed on the full sets; components are found
+   by alternating large-star and small-star.
 4. Keys that still hold several components pair each member outside the
    smallest member's component with the members of other components, so no
    pair of different components that shares a key goes unconfirmed; pairs in
@@ -163,11 +164,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("v"), F.col("v").alias("root"))
 
 
-def _rooted(reps: DataFrame, components: DataFrame) -> DataFrame:
-    return (reps.join(components, reps.rep == components.v, "left")
-            .select(*reps.columns, F.coalesce("root", "rep").alias("root")))
-
-
 def _compatible() -> Column:
     """Sizes and signature bits allow the threshold."""
     bits = sum((F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])) for i in range(1, SKETCH)),
@@ -177,71 +173,49 @@ def _compatible() -> Column:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The (u, v) pairs whose full sets reach the threshold."""
-    pairs = cut(pairs)
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("rep")).distinct()
-    need = sets.join(ids, sets.doc_id == ids.rep, "left_semi").select("doc_id", "shingles")
-    a = need.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a"))
-    b = need.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
+    a = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a"))
+    b = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    return (pairs.join(a, "u").join(b, "v")
-            .where(100 * both >= PERCENT * (F.size("a") + F.size("b") - both))
-            .select("u", "v"))
+    confirmed = (cut(pairs).join(a, "u").join(b, "v")
+                 .where(100 * both >= PERCENT * (F.size("a") + F.size("b") - both)))
+    return cut(confirmed.select("u", "v").distinct())
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     texts = with_defaults(docs, doc_id="bigint", text="string").select("doc_id", text_of().alias("text"))
-    sets = texts.select("doc_id", shingles_of(F.col("text")).alias("shingles"))
-    features = written(sets.mapInArrow(_features, FEATURES), "near-features")
+    features = written(texts.select("doc_id", shingles_of(F.col("text")).alias("shingles"))
+                       .mapInArrow(_features, FEATURES), "near-features")
 
-    # classes of equal sets, named by their smallest document
+    # classes of equal sets, represented by their smallest document
     known = features.where("doc_id is not null and set_key is not null")
     classes = known.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    return _components(features, sets, known, classes)
-
+    member = written(known.select("set_key", "doc_id").join(classes, "set_key").select("doc_id", "rep"), "near-members")
+    reps = known.join(classes, (known.set_key == classes.set_key) & (known.doc_id == classes.rep), "left_semi")
+    reps = written(reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands", "sketch"), "near-reps")
 
-def _components(features: DataFrame, sets: DataFrame, known: DataFrame, classes: DataFrame) -> DataFrame:
-    member = written(known.select("set_key", "doc_id", "n_shingles").join(classes, "set_key")
-                     .select("doc_id", "rep", "n_shingles", "set_key"), "near-members")
-    reps = (known.join(classes, (known.set_key == classes.set_key) & (known.doc_id == classes.rep), "left_semi")
-            .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands", "sketch"))
-    reps = written(reps, "near-reps")
+    # keys with two members or more, and the full sets of their members
     keyed = reps.select("rep", F.explode("bands").alias("key"))
-
-    # only keys with two members or more can link
     low = (keyed.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
            .where("low < high").select("key", "low"))
     slots = written(keyed.join(low, "key"), "near-slots")
+    ids = written(slots.select(F.col("rep").alias("doc_id")).distinct(), "near-ids")
+    sets = written(texts.join(ids, "doc_id", "left_semi").select("doc_id", shingles_of(F.col("text")).alias("shingles")), "near-sets")
 
-    # star: every member with its key's smallest
-    star = slots.where("rep <> low").select(F.col("rep").alias("u"), F.col("low").alias("v")).distinct()
-    links = cut(_confirmed(_signed(star, reps), sets))
     # a document with several texts is one vertex
+    links = (member.groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("u"))
+             .where("v < u").select("u", "v"))
+    star = slots.where("rep <> low")
+    # one pair per member first: most of a large group is linked by it
+    first = star.groupBy("rep").agg(F.min("low").alias("low"))
+    links = links.union(_confirmed(_signed(first, reps), sets))
+    rooted = _rooted(star, connected_components(links))
+    rest = rooted.where("root <> low_root").select("rep", "low").distinct()
+    links = links.union(_confirmed(_signed(rest, reps), sets))
+    links = links.union(_confirmed(_across(slots, connected_components(links), reps), sets))
+
     same = member.where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    multi = (member.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
-             .where("low < high").select(F.col("high").alias("u"), F.col("low").alias("v")))
-    roots = connected_components(links.union(multi))
-
-    # keys that still hold several components
-    marked = _rooted(slots.select("key", "low", "rep"), roots)
-    mixed = marked.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
-    marked = marked.join(mixed, "key")
-    marked = written(marked, "near-mixed")
-    others = marked.where("root <> r0").select("key", F.col("rep").alias("u"), F.col("root").alias("u_root"))
-    sides = reps.select("rep", F.col("n").alias("n"), "sketch")
-    others = others.join(sides.select(F.col("rep").alias("u"), F.col("n").alias("a_n"), F.col("sketch").alias("a_sketch")), "u")
-    alls = (marked.select("key", "rep", "root", "r0")
-            .join(sides, "rep")
-            .select("key", F.col("rep").alias("v"), F.col("root").alias("v_root"), "r0",
-                    F.col("n").alias("b_n"), F.col("sketch").alias("b_sketch")))
-    wide = (others.join(alls, "key")
-            .where((F.col("u_root") != F.col("v_root")) & ((F.col("v_root") == F.col("r0")) | (F.col("u") > F.col("v")))
-                   & _compatible())
-            .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    more = _confirmed(wide, sets)
-    final = connected_components(links.union(multi).union(more).union(same))
-
-    # a vertex's smallest id: representatives and their copies
+    final = connected_components(links.union(same))
     out = (features.select("doc_id", "n_shingles")
            .join(final.select(F.col("v").alias("doc_id"), "root"), "doc_id", "left"))
     component = F.coalesce("root", "doc_id")
@@ -249,11 +223,34 @@ def _components(features: DataFrame, sets: DataFrame, known: DataFrame, classes:
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def _rooted(slots: DataFrame, components: DataFrame) -> DataFrame:
+    """Adds the components of each slot's member and of its key's smallest."""
+    of = lambda c, to: components.select(F.col("v").alias(f"{c}_v"), F.col("root").alias(to))
+    return (slots.join(of("rep", "r"), F.col("rep") == F.col("rep_v"), "left")
+            .join(of("low", "l"), F.col("low") == F.col("low_v"), "left")
+            .select(*slots.columns, F.coalesce("r", "rep").alias("root"), F.coalesce("l", "low").alias("low_root")))
+
+
+def _across(slots: DataFrame, components: DataFrame, reps: DataFrame) -> DataFrame:
+    """Compatible pairs of different components that share a key: members
+    outside the component of the key's smallest, with all others."""
+    marked = _rooted(slots, components).select("key", "rep", "root", "low_root")
+    mixed = marked.where("root <> low_root").select("key").distinct()
+    sides = reps.select("rep", "n", "sketch")
+    marked = written(marked.join(mixed, "key").join(sides, "rep"), "near-mixed")
+    side = lambda to: marked.select("key", *[F.col(c).alias(f"{to}_{c}") for c in ("rep", "root", "low_root", "n", "sketch")])
+    a, b = side("a").where("a_root <> a_low_root"), side("b")
+    once = (F.col("b_root") == F.col("b_low_root")) | (F.col("a_rep") > F.col("b_rep"))
+    return (a.join(b, "key").where((F.col("a_root") != F.col("b_root")) & once & _compatible())
+            .select(F.greatest("a_rep", "b_rep").alias("u"), F.least("a_rep", "b_rep").alias("v")).distinct())
+
+
 def _signed(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs whose signatures are compatible with the threshold."""
-    a = reps.select(F.col("rep").alias("u"), F.col("n").alias("a_n"), F.col("sketch").alias("a_sketch"))
-    b = reps.select(F.col("rep").alias("v"), F.col("n").alias("b_n"), F.col("sketch").alias("b_sketch"))
-    return pairs.join(a, "u").join(b, "v").where(_compatible()).select("u", "v")
+    """(u, v) of the (rep, low) pairs whose signatures allow the threshold."""
+    a = reps.select("rep", F.col("n").alias("a_n"), F.col("sketch").alias("a_sketch"))
+    b = reps.select(F.col("rep").alias("low"), F.col("n").alias("b_n"), F.col("sketch").alias("b_sketch"))
+    return (pairs.join(a, "rep").join(b, "low").where(_compatible())
+            .select(F.col("rep").alias("u"), F.col("low").alias("v")))
 
 
 def keep_documents(docs: DataFrame) -> DataFrame:
