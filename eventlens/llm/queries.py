@@ -72,6 +72,13 @@ ORACLES["op5_archives"] = """
     FROM k"""
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without later copies of repeated runs of lines."""
+    from .line_dedup import without_repeats
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""

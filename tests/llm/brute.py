@@ -62,3 +62,30 @@ PII = (
 def pii(text):
     """The valid base spans: (kind, start, end)."""
     return [(k, m.start(), m.end()) for k, p, ok in PII for m in re.finditer(p, text or "") if ok(m[0])]
+
+
+def line_runs(rows, min_words=50):
+    """(doc_id, text) -> set of line numbers that lie in a run of lines of
+    ``min_words`` words which also stands at an earlier place."""
+    docs = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0))
+    lines = [[(p, l) for p, l in enumerate((t or "").split("\n")) if words(l)] for _, t in docs]
+    seen, gone = set(), {}
+    for d, own in enumerate(lines):
+        count = [len(words(l)) for _, l in own]
+        marked = set()
+        spans = []
+        for i in range(len(own)):
+            for step in (1, -1):
+                j, n = i, 0
+                while 0 <= j < len(own) and n < min_words:
+                    n += count[j]
+                    j += step
+                if n >= min_words:
+                    spans.append((i, j - 1) if step == 1 else (j + 1, i))
+        for a, b in sorted(set(spans)):
+            content = tuple(l for _, l in own[a:b + 1])
+            if content in seen:
+                marked.update(p for p in range(own[a][0], own[b][0] + 1))
+            seen.add(content)
+        gone[docs[d]] = marked
+    return gone
