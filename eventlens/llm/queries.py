@@ -86,6 +86,24 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op7_mixing"] = r"""
+    WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                      ('0x' || substr(md5(concat_ws(':', '7', doc_id)), 1, 15))::BIGINT AS rank FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+    w AS (SELECT *, list_extract([5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE], 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3) AS weight,
+                 row_number() OVER (ORDER BY source NULLS LAST) AS place, (2 * source_size)::DOUBLE AS cap FROM s),
+    l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - (sum(cap) OVER o - cap))
+                    / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+          FROM w WINDOW o AS (ORDER BY cap / weight, place)),
+    t AS (SELECT source, source_size, CASE WHEN level * weight >= cap THEN cap
+                 ELSE max(CASE WHEN level * weight < cap THEN level END) OVER () * weight END AS target FROM l),
+    b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY rank, size
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d)
+    SELECT doc_id, size, source_size, target,
+           (size * ((before + size / 2.0::DOUBLE <= target)::INT + (before + source_size + size / 2.0::DOUBLE <= target)::INT))::BIGINT AS taken
+    FROM b JOIN t ON b.source IS NOT DISTINCT FROM t.source"""
+
+
 @query
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
