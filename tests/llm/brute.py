@@ -89,3 +89,56 @@ def line_runs(rows, min_words=50):
             seen.add(content)
         gone[docs[d]] = marked
     return gone
+
+
+def quality_base(text):
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    w = words(text)
+    seen = {}
+    for i in range(len(w) - 2):
+        seen.setdefault(tuple(w[i:i + 3]), []).append(i)
+    cover = {i + k for at in seen.values() if len(at) > 1 for i in at for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if words(x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(cover))
+
+
+def item_matches(text, items, similar=0.8):
+    """(item_id) -> best plain similarity of an item-sized window, where it
+    reaches ``similar`` (weights are equal when no shingle is in two items)."""
+    w = words((text or "").translate(LOWER))
+    out = {}
+    for item, t in items:
+        iw = words((t or "").translate(LOWER))
+        a = shingle_set(" ".join(iw))
+        best = 0.0
+        for s in range(max(1, len(w) - len(iw) + 1) if iw and w else 0):
+            b = shingle_set(" ".join(w[s:s + len(iw)]))
+            best = max(best, len(a & b) / len(a | b))
+        if best >= similar:
+            out[item] = best
+    return out
+
+
+def mix_copies(rows):
+    """(doc_id, source, text) -> copies taken of each document."""
+    import hashlib
+    size = {r: len(words(r[2])) for r in rows}
+    names = sorted({r[1] for r in rows}, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    total = {s: sum(size[r] for r in rows if r[1] == s) for s in names}
+    target, left, open_ = dict.fromkeys(names, 0.0), 1.5 * sum(total.values()), set(names)
+    while left > 1e-9 and open_:
+        share, left = left / sum(weight[s] for s in open_), 0.0
+        for s in sorted(open_, key=names.index):
+            target[s] += share * weight[s]
+            if target[s] > 2 * total[s]:
+                left += target[s] - 2 * total[s]
+                target[s] = 2.0 * total[s]
+                open_ = open_ - {s}
+    rank = lambda r: int(hashlib.md5(f"7:{r[0]}".encode()).hexdigest()[:15], 16)
+    out, before = {}, dict.fromkeys(names, 0)
+    for r in sorted(rows, key=lambda r: (rank(r), size[r])):
+        at = [before[r[1]] + k * total[r[1]] + size[r] / 2 for k in range(2)]
+        out[r] = sum(size[r] > 0 and x <= target[r[1]] + 1e-6 for x in at)
+        before[r[1]] += size[r]
+    return out, target, total
