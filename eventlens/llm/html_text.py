@@ -64,6 +64,8 @@ FLAT = (
     (4, 0.90, 3, 1.00, 10, 0.00, 0, 0), (12, 0.80, 40, 0.00, 3, 1.00, 0, 0), (3, 0.00, 2, 1.00, 2, 1.00, 0, 0),
     (5, 0.00, 3, 1.00, 4, 1.00, 0, 0), (9, 0.20, 33, 0.00, 0, 0.00, 0, 0), (26, 0.70, 5, 1.00, 8, 1.00, 0, 0),
     (4, 0.00, 5, 1.00, 6, 1.00, 1, 0), (2, 0.00, 40, 0.00, 0, 0.00, 0, 0),
+    (2, 1.00, 0, 0.00, 40, 0.00, 0, 0), (6, 1.00, 33, 0.00, 60, 0.00, 0, 0), (15, 0.90, 0, 0.00, 75, 0.00, 0, 0),
+    (3, 0.70, 80, 0.00, 35, 0.00, 0, 0), (5, 1.00, 2, 0.00, 120, 0.00, 0, 0), (40, 0.80, 60, 0.00, 30, 0.00, 0, 0),
 )
 #: the whole table: blocks of any such shape are main text inside the main
 #: container and are not outside it
