@@ -93,13 +93,10 @@ def parse_temperature(lines: DataFrame, on_error: str = "fail", strip_last_char:
     return _finish(df, ["id", "ts", "temp"], on_error)
 
 
-def _last_tag(body: Column, tag: str) -> Column:
-    """Text after the last field starting with ``tag``; NULL if no field
-    does.  The greedy ``^.*`` makes the regex land on the last occurrence;
-    a regex keeps the projection in whole-stage codegen (a lambda over the
-    split array would not)."""
-    hit = F.regexp_extract(body, rf"^.*(?:^|,)({tag}[^,]*)", 1)
-    return F.when(hit != "", F.substring(hit, len(tag) + 1, 1 << 30))
+def _last_tag(fields: Column, tag: str) -> Column:
+    """Text after the last field starting with ``tag``; NULL if no field does."""
+    hit = F.try_element_at(F.filter(fields, lambda x: x.startswith(tag)), F.lit(-1))
+    return F.substring(hit, len(tag) + 1, 1 << 30)
 
 
 def parse_quality(lines: DataFrame, on_error: str = "fail", strip_last_char: bool = True,
@@ -112,9 +109,9 @@ def parse_quality(lines: DataFrame, on_error: str = "fail", strip_last_char: boo
     body = drop_last_char(F.col("value")) if strip_last_char else F.col("value")
     arr = F.split(body, ",")
     time = _field(arr, 1, safe)
-    acid = _last_tag(body, TAG_ACID)
-    cons = _last_tag(body, TAG_CONS)
-    water = _last_tag(body, TAG_WATER)
+    acid = _last_tag(arr, TAG_ACID)
+    cons = _last_tag(arr, TAG_CONS)
+    water = _last_tag(arr, TAG_WATER)
 
     def tagged(raw: Column, typ: str, zero) -> Column:
         # missing tag -> 0; present but malformed -> error / NULL by mode

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import messages
-from .ordered_scan import CHUNK, _cols, gt, scan
+from .ordered_scan import _cols, gt, scan
 
 DEFAULT_MARGIN = 5
 DEFAULT_RATE = 0.1
@@ -32,79 +32,75 @@ def _ordering(ts: str, order, arrival: bool) -> list[str]:
     return _cols(order) if arrival else [ts, *_cols(order)]
 
 
-EXACT_TYPE = "decimal(24,10)"
+SUM_TYPE = "decimal(28,10)"
+SUM_LIMIT = 1e17
 
 
-def _exact_inputs(df: DataFrame, value: str) -> DataFrame:
-    """Readings as DECIMAL for exact running sums; a NaN reading becomes NULL
-    and is remembered (``_nan``): in double arithmetic it would poison every
-    later mean of its key."""
-    v = F.col(value)
-    return (df.withColumn("_xv", F.when(~F.isnan(v), v.cast(EXACT_TYPE)))
-              .withColumn("_nan", F.isnan(v).cast("int")))
+def _summable(df: DataFrame, value: str) -> DataFrame:
+    """Splits readings for running sums that do not depend on how rows are
+    grouped: ``_xv`` holds the reading in DECIMAL, whose sums are exact, and
+    ``_bv`` what that leaves, in double: nothing for readings of up to ten
+    decimals, all of it for NaN, infinities and magnitudes over
+    :data:`SUM_LIMIT`, which then behave as in a double sum."""
+    v = F.col(value).cast("double")
+    fits = F.coalesce(~F.isnan(v) & (F.abs(v) < SUM_LIMIT), F.lit(False))
+    exact = F.when(fits, v).otherwise(F.lit(0.0)).cast(SUM_TYPE)
+    return (df.withColumn("_xv", exact)
+            .withColumn("_bv", F.when(v.isNull(), F.lit(0.0)).otherwise(v - exact.cast("double"))))
 
 
-def _mean_checks(s: DataFrame, value: str, exact: bool):
-    """(value, mean of earlier readings, usable) for the running-mean alerts."""
-    n_before = F.col("_rn") - 1
-    if not exact:
-        mean = F.when(n_before > 0, F.col(f"_sb_{value}") / n_before)
-        return F.col(value), mean, F.lit(True), F.col(f"_sb_{value}")
-    mean = F.when(n_before > 0, F.col("_sb__xv") / n_before)          # decimal division
-    usable = (F.coalesce(F.col("_mb__nan"), F.lit(0)) == 0) & F.col("_xv").isNotNull()
-    return F.col("_xv"), mean, usable, F.col("_sb__xv").cast("double")
+def _sum_before() -> Column:
+    return F.col("_sb__xv").cast("double") + F.col("_sb__bv")
 
 
 def running_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: str = "temp",
                         order=("seq",), margin: float = DEFAULT_MARGIN, time_col: str = "time",
-                        strategy: str = "auto", partitions: int | None = None,
-                        arrival: bool = False, exact: bool = False) -> DataFrame:
+                        arrival: bool = False, slice_width: str | int | None = None) -> DataFrame:
     """ALR1: ``high`` when ``value > mean + margin``, ``low`` when
     ``value < mean - margin`` (strict), where ``mean`` is over the key's
     earlier readings; every reading then joins the mean.  The first reading
-    of a key has no mean and never alerts; NaN compares false.
-
-    ``exact=False`` sums doubles as the reference does; a reading exactly on
-    a threshold is then decided by summation order (which differs between
-    engines and slicings).  ``exact=True`` sums in DECIMAL and compares
-    exactly, so such readings never alert, whatever the plan."""
-    src = _exact_inputs(df, value) if exact else df
-    s = scan(src, key, _ordering(ts, order, arrival), sums=["_xv" if exact else value],
-             maxes=["_nan"] if exact else (), row_number=True, strategy=strategy, partitions=partitions)
+    of a key has no mean and never alerts; NaN compares false, and a NaN or
+    infinite reading stays in all later means of its key.
+
+    The rule is the reference's (sum and count, compared in double) with the
+    sum kept exactly (:func:`_summable`), so that the result does not depend
+    on the plan."""
+    s = scan(_summable(df, value), key, _ordering(ts, order, arrival), sums=["_xv", "_bv"], row_number=True,
+             slice_width=slice_width)
     n_before = F.col("_rn") - 1
-    v, mean, usable, sum_before = _mean_checks(s, value, exact)
-    hi = usable & gt(v, mean + F.lit(margin)) if not exact else usable & (v > mean + F.lit(margin))
-    lo = usable & gt(mean - F.lit(margin), v) if not exact else usable & (v < mean - F.lit(margin))
-    kinds = F.array_compact(F.array(F.when(hi, F.lit("high")), F.when(lo, F.lit("low"))))
+    mean = F.when(n_before > 0, _sum_before() / n_before)
+    kinds = F.array_compact(F.array(F.when(gt(F.col(value), mean + F.lit(margin)), F.lit("high")),
+                                    F.when(gt(mean - F.lit(margin), F.col(value)), F.lit("low"))))
     out = (s.select(F.col(key), F.col(ts), F.col(time_col), F.col(value), n_before.alias("n_before"),
-                    sum_before.alias("sum_before"), F.explode(kinds).alias("kind")))
+                    _sum_before().alias("sum_before"), F.explode(kinds).alias("kind")))
     return out.withColumn("message", messages.temp_alert(key, time_col, value, "kind"))
 
 
 def window_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: str = "temp",
                        order=("seq",), size: str = "1 day", margin: float = WINDOW_MARGIN,
-                       time_col: str = "time", strategy: str = "auto",
-                       partitions: int | None = None, arrival: bool = False) -> DataFrame:
+                       time_col: str = "time", arrival: bool = False,
+                       slice_width: str | int | None = None) -> DataFrame:
     """ALR2: inside each tumbling window of the key, alert when
-    ``value - mean_so_far > margin``; the mean restarts with every window."""
+    ``value - mean_so_far > margin``; the mean restarts with every window.
+    Sums as in :func:`running_mean_alerts`."""
     win = F.window(ts, size).start.alias("window_start")
-    keyed = df.withColumn("window_start", win)
-    s = scan(keyed, [key, "window_start"], _ordering(ts, order, arrival), sums=[value], row_number=True,
-             strategy=strategy, partitions=partitions)
+    keyed = _summable(df, value).withColumn("window_start", win)
+    s = scan(keyed, [key, "window_start"], _ordering(ts, order, arrival), sums=["_xv", "_bv"], row_number=True,
+             slice_width=slice_width)
     n_before = F.col("_rn") - 1
-    mean = F.when(n_before > 0, F.col(f"_sb_{value}") / n_before)
+    mean = F.when(n_before > 0, _sum_before() / n_before)
     hit = gt(F.col(value) - mean, F.lit(margin))
     return (s.filter(hit)
             .select(F.col(key), "window_start", F.col(ts), F.col(time_col), F.col(value),
-                    n_before.alias("n_before"), F.col(f"_sb_{value}").alias("sum_before"),
+                    n_before.alias("n_before"), _sum_before().alias("sum_before"),
                     F.lit("high").alias("kind"))
             .withColumn("message", messages.temp_alert(key, time_col, value, "kind")))
 
 
 def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metrics=METRICS,
                   rate: float = DEFAULT_RATE, variant: str = "keep", time_col: str = "time",
-                  strategy: str = "auto", partitions: int | None = None,
-                  with_message: bool = False, arrival: bool = False) -> DataFrame:
+                  with_message: bool = False, arrival: bool = False,
+                  slice_width: str | int | None = None) -> DataFrame:
     """ALR3 (``keep``) / ALR4 (``drop``): alert for metric ``m`` when two
     readings in a row exceed the baseline reading by more than ``rate``.
 
@@ -141,7 +137,7 @@ def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metr
         return ~b
 
     s = scan(df, key, ordering, lags=[*metrics, time_col], row_number=True,
-             mark=non_breach if variant == "keep" else None, strategy=strategy, partitions=partitions)
+             mark=non_breach if variant == "keep" else None, slice_width=slice_width)
     rn = F.col("_rn")
     over = {m: (gt(F.col(m), F.col(f"_l2_{m}") * factor),                    # v over s0
                 gt(F.col(f"_l1_{m}"), F.col(f"_l2_{m}") * factor))           # s1 over s0
@@ -169,12 +165,11 @@ def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metr
 
 
 def keyed_running_sum(df: DataFrame, key_expr: Column, value: str, ts: str, order=("seq",),
-                      key_name: str = "key", strategy: str = "auto",
-                      partitions: int | None = None, arrival: bool = False) -> DataFrame:
+                      key_name: str = "key", arrival: bool = False,
+                      slice_width: str | int | None = None) -> DataFrame:
     """AGG6: ``keyBy(f).sum(field)``: for every element, the running sum of
     ``value`` of its key (the key may be any expression, e.g. a boolean)."""
-    keyed = df.withColumn(key_name, key_expr)
-    s = scan(keyed, key_name, _ordering(ts, order, arrival), sums=[value], strategy=strategy,
-             partitions=partitions)
-    return s.withColumn(f"running_{value}", F.col(f"_sb_{value}") + F.col(value)) \
-            .drop(f"_sb_{value}", CHUNK)
+    keyed = _summable(df.withColumn(key_name, key_expr), value)
+    s = scan(keyed, key_name, _ordering(ts, order, arrival), sums=["_xv", "_bv"], slice_width=slice_width)
+    total = (F.col("_sb__xv") + F.col("_xv")).cast("double") + (F.col("_sb__bv") + F.col("_bv"))
+    return s.withColumn(f"running_{value}", total).drop("_sb__xv", "_sb__bv", "_xv", "_bv")

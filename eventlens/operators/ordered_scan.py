@@ -6,41 +6,35 @@ direct Spark form is a window ``PARTITION BY key ORDER BY ts``, which sends
 every row of a key to one task: a sensor holding a third of the data would
 be a third of the job in one task.
 
-``scan`` instead
-
-1. range-partitions on ``(key, order...)``; Spark samples the data and cuts
-   the global order into ``P`` balanced slices, so a hot key is spread over
-   many consecutive slices (*chunks*, ``_chunk = spark_partition_id()``);
-2. computes the window locally per ``(key, chunk)``: local row number,
-   exclusive running sums / max, ``lag`` 1 and 2, and a running flag that
-   depends on the previous row (``mark``);
-3. checkpoints that local result once (reliable, ``spark.checkpoint.dir``);
-4. summarises each ``(key, chunk)`` (count, totals, first and last rows) on
-   the checkpoint's own partitioning and runs a small window over the
-   summaries to get what precedes each chunk;
-5. joins that carry-in back.  Only the first key of a slice can continue an
-   earlier slice, so the carry-in table has at most ``P`` rows: it is
-   broadcast with a proven size bound, and the big side is not shuffled
-   again.
-
-The big data crosses the network twice (the range exchange on the order,
-then a range exchange on the slice id that gives each task one slice) and
-is written once (the checkpoint).  ``P`` follows the input size
-(:func:`chunk_count`).
-
-``strategy="window"`` is the plain one-window form, kept as the reference
-implementation for tests and for inputs known to have small keys.
+``scan`` is a two-level prefix instead:
+
+1. a row's *slice* is an expression of its first order column (a stretch of
+   time, or of consecutive numbers), so it is the same in every run and
+   needs neither a sample nor a checkpoint; a hot key spreads over its
+   slices, and a slice's size is bounded by the key's rate, not its history;
+2. one exchange on (key, slice) and a window in each slice: local row
+   number, exclusive running sums / max, ``lag`` 1 and 2, and a running
+   flag that depends on the previous row (``mark``);
+3. each slice is summarised in place (count, totals, first and last rows,
+   only the columns that lags and marks need), and a window over these
+   summaries, one row per slice, gives what precedes each slice;
+4. that carry-in is joined back on (key, slice), on which the rows are
+   partitioned already; Spark decides by size whether to broadcast it.
+
+Nothing runs while the query is built, and the plan does not depend on the
+data's size or on any setting.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import scratch_root
+from ..functions.timecols import duration_seconds
 
-CHUNK = "_chunk"
-MAX_SLICES = 200_000      # keeps the range exchange's map-status bookkeeping bounded
+SLICE_TIME = "1 hour"
+SLICE_ROWS = 1 << 18
 
 
 def _cols(x) -> list[str]:
@@ -49,53 +43,22 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def chunk_count(df: DataFrame, partitions: int | None = None) -> int:
-    """Number of slices: the larger of the shuffle-partition setting and the
-    estimated input size over the advisory partition size, so a slice stays
-    near one partition's worth of data however large the input is."""
-    if partitions:
-        return partitions
-    conf = df.sparkSession.conf
-    n = int(conf.get("spark.sql.shuffle.partitions"))
-    target = conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
-    target_bytes = int(df.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
-                       .byteStringAsBytes(str(target)))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    unknown = int(conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
-    if size >= unknown:           # no statistics (e.g. an RDD-backed input): keep the setting
-        return n
-    return max(n, min(-(-size // max(target_bytes, 1)), MAX_SLICES))
-
-
-def assign_chunks(df: DataFrame, keys, order, partitions: int | None = None) -> DataFrame:
-    """Range-partition on (keys, order) and tag each row with its slice.
-
-    The range boundaries come from a sample whose seed depends on the RDD,
-    so the slice ids are only stable within one computation: callers
-    materialise what they derive from them (see :func:`scan`)."""
-    keys, order = _cols(keys), _cols(order)
-    n = chunk_count(df, partitions)
-    return df.repartitionByRange(n, *keys, *order).withColumn(CHUNK, F.spark_partition_id())
-
-
-def has_hot_key(df: DataFrame, keys, partitions: int | None = None, factor: float = 2.0) -> bool:
-    """True when the largest key holds more than ``factor`` times the rows
-    an even spread gives one slice (:func:`chunk_count`: at least one per
-    shuffle partition, and one per advisory partition size of input), i.e.
-    when one task would get more than about two partitions' worth of data.
-    One aggregate pass over the key columns only (partial counts before the
-    shuffle); one row reaches the driver."""
-    keys = _cols(keys)
-    n = chunk_count(df, partitions)
-    row = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-           .agg(F.max("n").alias("top"), F.sum("n").alias("total")).first())
-    if row is None or not row["total"]:
-        return False
-    return row["top"] > factor * row["total"] / n
+def slice_expr(df: DataFrame, column: str, width: str | int | None = None) -> Column:
+    """The slice of a row: ``width`` of time (default :data:`SLICE_TIME`) for
+    a time column, ``width`` consecutive values (default :data:`SLICE_ROWS`)
+    for a whole-number column.  Choose it so that one key's rows of a slice
+    fit a task."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        seconds = duration_seconds(str(width or SLICE_TIME))
+        return F.floor(F.unix_micros(F.col(column).cast("timestamp")) / F.lit(seconds * 1_000_000))
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.floor(F.col(column) / F.lit(int(width or SLICE_ROWS)))
+    raise ValueError(f"slices need a time or whole-number order column, {column} is {kind.simpleString()}")
 
 
 def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number: bool = False,
-         mark=None, strategy: str = "auto", partitions: int | None = None) -> DataFrame:
+         mark=None, slice_width: str | int | None = None) -> DataFrame:
     """Add exclusive per-key prefix aggregates in ``order``:
 
     * ``_rn``: 1-based position of the row in its key (``row_number``);
@@ -107,53 +70,26 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
       ``cur(c)`` and ``prev(c)`` (``c`` among ``lags``; ``prev`` is NULL on a
       key's first row), and returns a boolean column (NULL counts as false).
 
-    ``order`` must make rows of a key unique (add a sequence column).
-
-    ``strategy``: ``"chunked"`` (hot keys split over slices), ``"window"``
-    (one window per key), or ``"auto"``: chunked only when
-    :func:`has_hot_key` finds a key bigger than twice a partition's share.
+    ``order`` must make rows of a key unique (add a sequence column).  NULL
+    keys are a group like any other, NULL order values come first.
     """
     keys, order = _cols(keys), _cols(order)
     sums, maxes, lags = _cols(sums), _cols(maxes), _cols(lags)
-    if strategy == "auto":
-        strategy = "chunked" if has_hot_key(df, keys, partitions) else "window"
     zero = {c: F.lit(0).cast(df.schema[c].dataType) for c in sums}
-    if strategy == "window":
-        w = Window.partitionBy(*keys).orderBy(*order)
-        wb = w.rowsBetween(Window.unboundedPreceding, -1)
-        out = [F.col("*")]
-        if row_number or mark:
-            out.append(F.row_number().over(w).cast("bigint").alias("_rn"))
-        out += [F.coalesce(F.sum(c).over(wb), zero[c]).alias(f"_sb_{c}") for c in sums]
-        out += [F.max(c).over(wb).alias(f"_mb_{c}") for c in maxes]
-        for c in lags:
-            out += [F.lag(c, 1).over(w).alias(f"_l1_{c}"), F.lag(c, 2).over(w).alias(f"_l2_{c}")]
-        res = df.select(*out)
-        if mark:
-            m = F.coalesce(mark(F.col, lambda c: F.col(f"_l1_{c}")), F.lit(False))
-            res = res.withColumn("_mk", F.max(F.when(m, F.col("_rn"))).over(wb))
-        return res
-    if strategy != "chunked":
-        raise ValueError("strategy must be 'chunked' or 'window'")
-
-    slices = chunk_count(df, partitions)
-    base = assign_chunks(df, keys, order, slices)
-    part = keys + [CHUNK]
-    w = Window.partitionBy(*part).orderBy(*order)
+    # one struct column: null keys compare equal in windows and joins alike
+    part = F.struct(F.struct(*keys).alias("key"), slice_expr(df, order[0], slice_width).alias("slice"))
+    w = Window.partitionBy("_part").orderBy(*order)
     wb = w.rowsBetween(Window.unboundedPreceding, -1)
-    # Range-partitioning on the slice id gives each task about one slice (a
-    # hash of the slice id would stack several slices on some tasks); it
-    # satisfies the window's clustering on (key, slice).
-    local = base.repartitionByRange(slices, F.col(CHUNK)).select(
+    local = df.withColumn("_part", part).select(
         F.col("*"),
-        F.row_number().over(w).alias("_lrn"),
+        F.row_number().over(w).cast("bigint").alias("_lrn"),
         *[F.coalesce(F.sum(c).over(wb), zero[c]).alias(f"_lsb_{c}") for c in sums],
         *[F.max(c).over(wb).alias(f"_lmb_{c}") for c in maxes],
         *[F.lag(c, k).over(w).alias(f"_ll{k}_{c}") for c in lags for k in (1, 2)],
     )
     if mark:
-        # marks of rows 2.. of the chunk are exact (their previous row is in
-        # the chunk); row 1's mark is settled with the carry-in
+        # marks of rows 2.. of the slice are exact (their previous row is in
+        # the slice); row 1's mark is settled with the carry-in
         m = F.coalesce(mark(F.col, lambda c: F.col(f"_ll1_{c}")), F.lit(False))
         lmp = F.when((F.col("_lrn") >= 2) & m, F.col("_lrn"))
         local = local.select(
@@ -161,30 +97,21 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
             F.first(m).over(w).alias("_lm1"),          # row 1, previous row unknown
             F.max(lmp).over(wb).alias("_lmk"))         # same window spec: no new exchange
 
-    # Materialise the local pass once (reliable checkpoint under
-    # spark.checkpoint.dir): the slice ids are fixed for both consumers below
-    # and for any recomputation after a lost executor, and the summary, being
-    # clustered by slice already, needs no exchange.
-    scratch_root(df.sparkSession)
-    local = local.checkpoint(eager=True)
-
-    # One row per (key, chunk), grouped on the checkpoint's own partitioning.
-    # ``_first`` / ``_last`` are the chunk's first and last rows (the last
-    # with its in-chunk lag).
-    row = [F.col(c).alias(f"v_{c}") for c in base.columns]
-    summ = local.groupBy(*part).agg(
-        F.max("_lrn").cast("long").alias("_cnt"),
+    # what a slice passes on, one row per (key, slice)
+    ends = F.struct(F.lit(1).alias("_"), *[F.col(c).alias(f"v_{c}") for c in lags],
+                    *[F.col(f"_ll1_{c}").alias(f"p_{c}") for c in lags])
+    summ = local.groupBy("_part").agg(
+        F.max("_lrn").alias("_cnt"),
         *[F.sum(c).alias(f"_tot_{c}") for c in sums],
         *[F.max(c).alias(f"_max_{c}") for c in maxes],
-        F.max_by(F.struct(*row, *[F.col(f"_ll1_{c}").alias(f"p_{c}") for c in lags]),
-                 F.struct(*order)).alias("_last"),
-        F.min_by(F.struct(*row), F.struct(*order)).alias("_first"),
+        F.max_by(ends, F.col("_lrn")).alias("_last"),
+        F.min_by(ends, F.col("_lrn")).alias("_first"),
         *([F.max("_lmp").alias("_lmpmax")] if mark else []),
     )
-    wc = Window.partitionBy(*keys).orderBy(CHUNK)
+    wc = Window.partitionBy("_part.key").orderBy("_part.slice")
     wcb = wc.rowsBetween(Window.unboundedPreceding, -1)
-    c1 = summ.select(
-        *[F.col(k).alias(f"_ck_{k}") for k in part],
+    carry = summ.select(
+        F.col("_part").alias("_cpart"),
         F.coalesce(F.sum("_cnt").over(wcb), F.lit(0)).alias("_cb"),
         *[F.sum(f"_tot_{c}").over(wcb).alias(f"_csb_{c}") for c in sums],
         *[F.max(f"_max_{c}").over(wcb).alias(f"_cmb_{c}") for c in maxes],
@@ -194,23 +121,19 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
         "_first", *(["_lmpmax"] if mark else []),
     )
     if mark:
-        # first row's mark against the previous chunk's last row, then the
-        # last marked position of each chunk, then the max over earlier chunks
+        # first row's mark against the previous slice's last row, then the
+        # last marked position of each slice, then the max over earlier slices
         mf = F.coalesce(mark(lambda c: F.col(f"_first.v_{c}"), lambda c: F.col(f"_p1.v_{c}")), F.lit(False))
-        c1 = c1.withColumn("_mf", mf)
-        chunk_last = F.greatest(F.when(F.col("_mf"), F.col("_cb") + 1), F.col("_cb") + F.col("_lmpmax"))
-        wck = Window.partitionBy(*[f"_ck_{k}" for k in keys]).orderBy(f"_ck_{CHUNK}") \
-                    .rowsBetween(Window.unboundedPreceding, -1)
-        c1 = c1.withColumn("_cmk", F.max(chunk_last).over(wck))
-    carry = c1.filter(F.col("_cb") > 0).drop("_first")   # only a slice's first key continues: <= P rows
-
-    # null-safe keys: a NULL key is a group like any other, and no
-    # ``isnotnull`` filter is inferred into one branch only
-    cond = [local[k].eqNullSafe(carry[f"_ck_{k}"]) for k in part]
-    j = local.join(F.broadcast(carry), on=cond, how="left")
+        carry = carry.withColumn("_mf", mf)
+        last_mark = F.greatest(F.when(F.col("_mf"), F.col("_cb") + 1), F.col("_cb") + F.col("_lmpmax"))
+        wck = (Window.partitionBy("_cpart.key").orderBy("_cpart.slice")
+               .rowsBetween(Window.unboundedPreceding, -1))
+        carry = carry.withColumn("_cmk", F.max(last_mark).over(wck))
+
+    j = local.join(carry.drop("_first"), F.col("_part") == F.col("_cpart"))
     first, second = F.col("_lrn") == 1, F.col("_lrn") == 2
-    cb = F.coalesce(F.col("_cb"), F.lit(0))
-    out = [F.col(c) for c in base.columns]
+    cb = F.col("_cb")
+    out = [F.col(c) for c in df.columns]
     if row_number or mark:
         out.append((F.col("_lrn") + cb).alias("_rn"))
     for c in sums:

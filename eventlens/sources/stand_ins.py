@@ -55,7 +55,7 @@ def temperature_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def temperature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``T1_<type>,yyyy-MM-dd HH:mm:ss,<temp>;`` - one trailing character
     the parser strips, as in the reference's input."""
-    ev = load(spark, sf_dir, "events", spread=True)
+    ev = load(spark, sf_dir, "events")
     return ev.select(
         F.concat(F.concat_ws(",", F.concat(F.lit("T1_"), "event_type"),
                              F.date_format("ts", TIME_FMT),
@@ -86,7 +86,7 @@ def quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     order, an unknown ``DV:`` field, ``AE:`` left out on line number 7
     (cons becomes 0) and a decoy ``AB:`` before the real one on line number 1
     (the last occurrence wins)."""
-    li = load(spark, sf_dir, "lineitem", spread=True)
+    li = load(spark, sf_dir, "lineitem")
     ab = F.concat(F.lit("AB:"), F.col("l_extendedprice").cast("string"))
     ae = F.when(F.col("l_linenumber") != 7,
                 F.concat(F.lit("AE:"), F.col("l_quantity").cast("int").cast("string")))
@@ -112,10 +112,10 @@ def iot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -------------------------------------------------------------- user behaviour
-def user_behavior(spark: SparkSession, sf_dir: str, spread: bool = False, source_filter=None) -> DataFrame:
+def user_behavior(spark: SparkSession, sf_dir: str, source_filter=None) -> DataFrame:
     """Typed UserLog rows at full timestamp precision; ``source_filter`` is
     applied to the stored ``events`` columns."""
-    ev = load(spark, sf_dir, "events", spread=spread)
+    ev = load(spark, sf_dir, "events")
     if source_filter is not None:
         ev = ev.filter(source_filter)
     return ev.select(
@@ -129,7 +129,7 @@ def user_behavior(spark: SparkSession, sf_dir: str, spread: bool = False, source
 
 
 def user_behavior_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ub = user_behavior(spark, sf_dir, spread=True)
+    ub = user_behavior(spark, sf_dir)
     return ub.select(F.concat_ws(",", "user_id", "item_id", "category_id", "behavior",
                                  epoch_seconds("ts")).alias("value"))
 
@@ -138,7 +138,7 @@ def user_behavior_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ip - user dd/MM/yyyy:HH:mm:ss +0000 METHOD url``; the url is the
     page whose id equals the event's user id (every user has one)."""
-    ev = load(spark, sf_dir, "events", spread=True)
+    ev = load(spark, sf_dir, "events")
     pages = load(spark, sf_dir, "pages").select("page_id", "url")
     j = ev.join(pages, ev.user_id == pages.page_id, "left")
     eid = F.col("event_id")
@@ -171,7 +171,7 @@ def sensor_readings(spark: SparkSession, sf_dir: str, source_filter=None) -> Dat
 
 def sensor_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``sensor_<user>,<epoch seconds>,<temperature>``."""
-    ev = load(spark, sf_dir, "events", spread=True)
+    ev = load(spark, sf_dir, "events")
     return ev.select(F.concat_ws(",", F.concat(F.lit("sensor_"), F.col("user_id").cast("string")),
                                  epoch_seconds("ts"), F.col("value").cast("string")).alias("value"))
 
@@ -202,20 +202,26 @@ def student_course(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_quantity").cast("int").alias("score")))
 
 
-def register_course_views(spark: SparkSession, sf_dir: str, delimited: bool = False) -> None:
-    """``course``, ``student``, ``studentcourse`` as temp views.  With
-    ``delimited`` each is first written as a comma-delimited text table and
-    read back with its declared schema (the Hive ``row format delimited
-    fields terminated by ','`` tables)."""
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(num, score) for queries that do not ask whose score it is: no join."""
+    li = load(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_suppkey").cast("int").alias("num"), F.col("l_quantity").cast("int").alias("score"))
+
+
+def course_tables(spark: SparkSession, sf_dir: str, delimited: bool = False) -> dict[str, DataFrame]:
+    """``course``, ``student`` and ``studentcourse``.  With ``delimited`` each
+    is first written as a comma-delimited text table and read back with its
+    declared schema."""
     from .. import schemas
     from ..session import scratch_path
     from .tables import read_csv_table
     parts = {"course": (course, schemas.COURSE), "student": (student, schemas.STUDENT),
              "studentcourse": (student_course, schemas.STUDENT_COURSE)}
+    out = {}
     for name, (make, schema) in parts.items():
-        df = make(spark, sf_dir)
+        out[name] = make(spark, sf_dir)
         if delimited:
             path = scratch_path(spark, f"delimited/{name}")
-            df.write.mode("overwrite").option("sep", ",").csv(path)
-            df = read_csv_table(spark, path, schema, sep=",")
-        df.createOrReplaceTempView(name)
+            out[name].write.mode("overwrite").option("sep", ",").csv(path)
+            out[name] = read_csv_table(spark, path, schema, sep=",")
+    return out

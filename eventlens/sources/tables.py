@@ -14,31 +14,11 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table.  Parquet: the scan gets column pruning and
-    predicate pushdown from whatever the caller selects and filters.
-
-    A file written as one row group is read by one task whatever its size.
-    With ``spread`` such a scan (more than 1 MiB, fewer splits than the
-    cluster has cores) is dealt round-robin over the cores before any
-    per-row work; inputs that already come in enough splits, the normal case
-    on a cluster, are left alone."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if not spread:
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size >= SPREAD_MIN_BYTES else df
-
-
-def register_all(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
-    for n in names:
-        load(spark, sf_dir, n).createOrReplaceTempView(n)
+    predicate pushdown from whatever the caller selects and filters, and the
+    splits the files have."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str,

@@ -1,9 +1,10 @@
-"""The chunked scan equals the one-window scan, including hot keys split
-over many chunks, chunks of one row and NULL keys."""
+"""The sliced scan equals one window per key, including hot keys split over
+many slices, slices of one row and NULL keys."""
 
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventlens.operators.ordered_scan import gt, scan
@@ -23,63 +24,65 @@ def _mark(cur, prev):
     return ~F.coalesce(gt(cur("v"), prev("v") * 1.1), F.lit(False))
 
 
-@pytest.mark.parametrize("seed,parts", [(1, 7), (2, 13), (3, 37)])
-def test_chunked_equals_window(spark, seed, parts):
+def window_scan(df, keys, order, sums=(), maxes=(), lags=(), mark=None):
+    """The plain form: one window per key."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    wb = w.rowsBetween(Window.unboundedPreceding, -1)
+    out = [F.col("*"), F.row_number().over(w).cast("bigint").alias("_rn")]
+    out += [F.coalesce(F.sum(c).over(wb), F.lit(0).cast(df.schema[c].dataType)).alias(f"_sb_{c}") for c in sums]
+    out += [F.max(c).over(wb).alias(f"_mb_{c}") for c in maxes]
+    for c in lags:
+        out += [F.lag(c, 1).over(w).alias(f"_l1_{c}"), F.lag(c, 2).over(w).alias(f"_l2_{c}")]
+    res = df.select(*out)
+    m = F.coalesce(mark(F.col, lambda c: F.col(f"_l1_{c}")), F.lit(False))
+    return res.withColumn("_mk", F.max(F.when(m, F.col("_rn"))).over(wb))
+
+
+COLS = ["k", "seq", "_rn", "_sb_v", "_mb_w", "_l1_v", "_l2_v", "_l1_t", "_l2_t", "_mk"]
+KW = dict(sums=["v"], maxes=["w"], lags=["v", "t"], mark=_mark)
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.select(*COLS).collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed,width", [(1, 1), (2, 3), (3, 10), (4, 1000)])
+def test_sliced_equals_window(spark, seed, width):
     df = _data(spark, seed)
-    kw = dict(sums=["v"], maxes=["w"], lags=["v", "t"], row_number=True, mark=_mark)
-    a = scan(df, "k", ["t", "seq"], strategy="chunked", partitions=parts, **kw)
-    b = scan(df, "k", ["t", "seq"], strategy="window", **kw)
-    cols = ["k", "seq", "_rn", "_sb_v", "_mb_w", "_l1_v", "_l2_v", "_l1_t", "_l2_t", "_mk"]
-    ra = sorted((tuple(r) for r in a.select(*cols).collect()), key=repr)
-    rb = sorted((tuple(r) for r in b.select(*cols).collect()), key=repr)
-    assert ra == rb
-    # the hot key really was split
-    assert a.filter("k = 'hot'").select("_chunk").distinct().count() > 1
-
-
-def test_hot_key_detection(spark):
-    from eventlens.operators.ordered_scan import has_hot_key
-    skewed = _data(spark, 9)                       # 70% of rows on one key
-    even = spark.range(4000).selectExpr("CAST(id % 400 AS string) AS k")
-    assert has_hot_key(skewed, "k", partitions=8)
-    assert not has_hot_key(even, "k", partitions=8)
-    # auto takes the chunked path on the skewed input
-    a = scan(skewed, "k", ["t", "seq"], sums=["v"], strategy="auto", partitions=8)
-    assert "_chunk" in a.columns
-
-
-def test_chunk_count_bounds(spark):
-    from eventlens.operators.ordered_scan import MAX_SLICES, chunk_count
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    small = spark.range(100)
-    assert chunk_count(small) == n
-    # an RDD-backed input has no size statistics: the setting is kept
-    rdd_df = spark.createDataFrame(spark.sparkContext.parallelize([(1,), (2,)]), "x long")
-    assert n <= chunk_count(rdd_df) <= MAX_SLICES
-
-
-def test_single_row_chunks(spark):
-    # one slice per row (or nearly): lag 2 and marks must reach across
-    # consecutive one-row chunks
+    a = scan(df, "k", ["t", "seq"], row_number=True, slice_width=width, **KW)
+    assert _rows(a) == _rows(window_scan(df, ["k"], ["t", "seq"], **KW))
+    assert set(a.columns) == {*df.columns, *COLS}  # no helper column is left
+
+
+def test_one_key_with_nearly_all_rows(spark):
+    df = spark.range(20_000).selectExpr("IF(id % 100 = 0, 'a', 'hot') AS k", "CAST(id AS int) AS t", "CAST(id AS int) AS seq",
+                                        "CAST(id % 17 AS double) AS v", "CAST(id % 5 AS int) AS w")
+    a = scan(df, "k", ["t", "seq"], row_number=True, slice_width=500, **KW)
+    assert _rows(a) == _rows(window_scan(df, ["k"], ["t", "seq"], **KW))
+
+
+def test_single_row_slices(spark):
+    # lag 2 and marks must reach across consecutive one-row slices
     rows = [("k", i, i, float((i * 7) % 5), i % 3) for i in range(40)]
     df = spark.createDataFrame(rows, "k string, t int, seq int, v double, w int")
-    kw = dict(sums=["v"], maxes=["w"], lags=["v", "t"], row_number=True, mark=_mark)
-    a = scan(df, "k", ["t", "seq"], strategy="chunked", partitions=40, **kw)
-    b = scan(df, "k", ["t", "seq"], strategy="window", **kw)
-    cols = ["seq", "_rn", "_sb_v", "_mb_w", "_l1_v", "_l2_v", "_l1_t", "_l2_t", "_mk"]
-    assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
-    assert a.select("_chunk").distinct().count() > 20
-
-
-def test_chunk_count_follows_size(spark):
-    from eventlens.operators.ordered_scan import MAX_SLICES, chunk_count
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
-    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    a = scan(df, "k", ["t", "seq"], row_number=True, slice_width=1, **KW)
+    assert _rows(a) == _rows(window_scan(df, ["k"], ["t", "seq"], **KW))
+
+
+def test_same_plan_at_any_partition_count(spark):
+    import re
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").selectExpr(
+        "l_suppkey AS k", "l_shipdate AS t", "l_orderkey AS seq", "l_tax AS v", "l_linenumber AS w")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    shapes = set()
     try:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
-        many = chunk_count(df)
+        for n in ("8", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+            a = scan(df, "k", ["t", "seq"], row_number=True, **KW)
+            assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == jobs  # nothing ran
+            plan = a._jdf.queryExecution().executedPlan().toString()
+            shapes.add(tuple(re.findall(r"Exchange|Window|SortMergeJoin|BroadcastHashJoin|HashAggregate", plan)))
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
-    assert n < many <= MAX_SLICES
-    assert chunk_count(df) == n            # 64 MB slices: the setting wins at this size
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(shapes) == 1
