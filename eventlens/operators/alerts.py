@@ -9,6 +9,9 @@ as per-key ordered scans (see ``ordered_scan``).
 Every operator takes the key, the event-time column and a tie-break
 (``order``) so the scan order is total; the reference follows arrival order,
 which equals this order for in-order input.
+
+Each operator has a ``..._step`` form that takes the state after earlier
+rows (or None) and also returns the state after these, for streams.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import messages
-from .ordered_scan import _cols, gt, scan
+from .ordered_scan import _cols, gt, scan_with_state
 
 DEFAULT_MARGIN = 5
 DEFAULT_RATE = 0.1
@@ -53,9 +56,14 @@ def _sum_before() -> Column:
     return F.col("_sb__xv").cast("double") + F.col("_sb__bv")
 
 
-def running_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: str = "temp",
-                        order=("seq",), margin: float = DEFAULT_MARGIN, time_col: str = "time",
-                        arrival: bool = False, slice_width: str | int | None = None) -> DataFrame:
+def running_mean_alerts(df: DataFrame, *args, **options) -> DataFrame:
+    """ALR1 over all of ``df``: see :func:`running_mean_step`."""
+    return running_mean_step(df, None, *args, **options)[0]
+
+
+def running_mean_step(df: DataFrame, state: DataFrame | None, key: str = "id", ts: str = "ts", value: str = "temp",
+                      order=("seq",), margin: float = DEFAULT_MARGIN, time_col: str = "time",
+                      arrival: bool = False, slice_width: str | int | None = None) -> tuple[DataFrame, DataFrame]:
     """ALR1: ``high`` when ``value > mean + margin``, ``low`` when
     ``value < mean - margin`` (strict), where ``mean`` is over the key's
     earlier readings; every reading then joins the mean.  The first reading
@@ -65,28 +73,32 @@ def running_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: s
     The rule is the reference's (sum and count, compared in double) with the
     sum kept exactly (:func:`_summable`), so that the result does not depend
     on the plan."""
-    s = scan(_summable(df, value), key, _ordering(ts, order, arrival), sums=["_xv", "_bv"], row_number=True,
-             slice_width=slice_width)
+    s, after = scan_with_state(_summable(df, value), key, _ordering(ts, order, arrival), sums=["_xv", "_bv"],
+                               maxes=[ts], row_number=True, slice_width=slice_width, state=state)
     n_before = F.col("_rn") - 1
     mean = F.when(n_before > 0, _sum_before() / n_before)
     kinds = F.array_compact(F.array(F.when(gt(F.col(value), mean + F.lit(margin)), F.lit("high")),
                                     F.when(gt(mean - F.lit(margin), F.col(value)), F.lit("low"))))
     out = (s.select(F.col(key), F.col(ts), F.col(time_col), F.col(value), n_before.alias("n_before"),
                     _sum_before().alias("sum_before"), F.explode(kinds).alias("kind")))
-    return out.withColumn("message", messages.temp_alert(key, time_col, value, "kind"))
+    return out.withColumn("message", messages.temp_alert(key, time_col, value, "kind")), after
+
+
+def window_mean_alerts(df: DataFrame, *args, **options) -> DataFrame:
+    """ALR2 over all of ``df``: see :func:`window_mean_step`."""
+    return window_mean_step(df, None, *args, **options)[0]
 
 
-def window_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: str = "temp",
-                       order=("seq",), size: str = "1 day", margin: float = WINDOW_MARGIN,
-                       time_col: str = "time", arrival: bool = False,
-                       slice_width: str | int | None = None) -> DataFrame:
+def window_mean_step(df: DataFrame, state: DataFrame | None, key: str = "id", ts: str = "ts", value: str = "temp",
+                     order=("seq",), size: str = "1 day", margin: float = WINDOW_MARGIN, time_col: str = "time",
+                     arrival: bool = False, slice_width: str | int | None = None) -> tuple[DataFrame, DataFrame]:
     """ALR2: inside each tumbling window of the key, alert when
     ``value - mean_so_far > margin``; the mean restarts with every window.
-    Sums as in :func:`running_mean_alerts`."""
+    Sums as in :func:`running_mean_step`."""
     win = F.window(ts, size).start.alias("window_start")
     keyed = _summable(df, value).withColumn("window_start", win)
-    s = scan(keyed, [key, "window_start"], _ordering(ts, order, arrival), sums=["_xv", "_bv"], row_number=True,
-             slice_width=slice_width)
+    s, after = scan_with_state(keyed, [key, "window_start"], _ordering(ts, order, arrival), sums=["_xv", "_bv"],
+                               row_number=True, slice_width=slice_width, state=state)
     n_before = F.col("_rn") - 1
     mean = F.when(n_before > 0, _sum_before() / n_before)
     hit = gt(F.col(value) - mean, F.lit(margin))
@@ -94,13 +106,18 @@ def window_mean_alerts(df: DataFrame, key: str = "id", ts: str = "ts", value: st
             .select(F.col(key), "window_start", F.col(ts), F.col(time_col), F.col(value),
                     n_before.alias("n_before"), _sum_before().alias("sum_before"),
                     F.lit("high").alias("kind"))
-            .withColumn("message", messages.temp_alert(key, time_col, value, "kind")))
+            .withColumn("message", messages.temp_alert(key, time_col, value, "kind"))), after
 
 
-def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metrics=METRICS,
-                  rate: float = DEFAULT_RATE, variant: str = "keep", time_col: str = "time",
-                  with_message: bool = False, arrival: bool = False,
-                  slice_width: str | int | None = None) -> DataFrame:
+def breach_alerts(df: DataFrame, *args, **options) -> DataFrame:
+    """ALR3 / ALR4 over all of ``df``: see :func:`breach_step`."""
+    return breach_step(df, None, *args, **options)[0]
+
+
+def breach_step(df: DataFrame, state: DataFrame | None, key: str = "id", ts: str = "ts", order=(), metrics=METRICS,
+                rate: float = DEFAULT_RATE, variant: str = "keep", time_col: str = "time",
+                with_message: bool = False, arrival: bool = False,
+                slice_width: str | int | None = None) -> tuple[DataFrame, DataFrame]:
     """ALR3 (``keep``) / ALR4 (``drop``): alert for metric ``m`` when two
     readings in a row exceed the baseline reading by more than ``rate``.
 
@@ -136,8 +153,8 @@ def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metr
             b = b | F.coalesce(gt(cur(m), prev(m) * factor), F.lit(False))
         return ~b
 
-    s = scan(df, key, ordering, lags=[*metrics, time_col], row_number=True,
-             mark=non_breach if variant == "keep" else None, slice_width=slice_width)
+    s, after = scan_with_state(df, key, ordering, lags=[*metrics, time_col], maxes=[ts], row_number=True,
+                               mark=non_breach if variant == "keep" else None, slice_width=slice_width, state=state)
     rn = F.col("_rn")
     over = {m: (gt(F.col(m), F.col(f"_l2_{m}") * factor),                    # v over s0
                 gt(F.col(f"_l1_{m}"), F.col(f"_l2_{m}") * factor))           # s1 over s0
@@ -161,15 +178,21 @@ def breach_alerts(df: DataFrame, key: str = "id", ts: str = "ts", order=(), metr
     if with_message:
         out = out.withColumn("message", messages.breach_alert(key, "metric", "first_time", "first_value",
                                                               "second_time", "second_value"))
-    return out
+    return out, after
+
+
+def keyed_running_sum(df: DataFrame, key_expr: Column, value: str, ts: str, **options) -> DataFrame:
+    """AGG6 over all of ``df``: see :func:`running_sum_step`."""
+    return running_sum_step(df, None, key_expr, value, ts, **options)[0]
 
 
-def keyed_running_sum(df: DataFrame, key_expr: Column, value: str, ts: str, order=("seq",),
-                      key_name: str = "key", arrival: bool = False,
-                      slice_width: str | int | None = None) -> DataFrame:
+def running_sum_step(df: DataFrame, state: DataFrame | None, key_expr: Column, value: str, ts: str, order=("seq",),
+                     key_name: str = "key", arrival: bool = False,
+                     slice_width: str | int | None = None) -> tuple[DataFrame, DataFrame]:
     """AGG6: ``keyBy(f).sum(field)``: for every element, the running sum of
     ``value`` of its key (the key may be any expression, e.g. a boolean)."""
     keyed = _summable(df.withColumn(key_name, key_expr), value)
-    s = scan(keyed, key_name, _ordering(ts, order, arrival), sums=["_xv", "_bv"], slice_width=slice_width)
+    s, after = scan_with_state(keyed, key_name, _ordering(ts, order, arrival), sums=["_xv", "_bv"],
+                               maxes=[ts], slice_width=slice_width, state=state)
     total = (F.col("_sb__xv") + F.col("_xv")).cast("double") + (F.col("_sb__bv") + F.col("_bv"))
-    return s.withColumn(f"running_{value}", total).drop("_sb__xv", "_sb__bv", "_xv", "_bv")
+    return s.withColumn(f"running_{value}", total).drop("_sb__xv", "_sb__bv", "_xv", "_bv", f"_mb_{ts}"), after

@@ -21,6 +21,10 @@ be a third of the job in one task.
 4. that carry-in is joined back on (key, slice), on which the rows are
    partitioned already; Spark decides by size whether to broadcast it.
 
+The state after a part of the data has the same form as a slice's summary,
+so a stream's micro-batches go on where the last one ended
+(:func:`scan_with_state`).
+
 Nothing runs while the query is built, and the plan does not depend on the
 data's size or on any setting.
 """
@@ -57,8 +61,13 @@ def slice_expr(df: DataFrame, column: str, width: str | int | None = None) -> Co
     raise ValueError(f"slices need a time or whole-number order column, {column} is {kind.simpleString()}")
 
 
-def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number: bool = False,
-         mark=None, slice_width: str | int | None = None) -> DataFrame:
+def scan(df: DataFrame, keys, order, **options) -> DataFrame:
+    """The rows of :func:`scan_with_state`, from the start of every key."""
+    return scan_with_state(df, keys, order, **options)[0]
+
+
+def scan_with_state(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number: bool = False, mark=None,
+                    slice_width: str | int | None = None, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Add exclusive per-key prefix aggregates in ``order``:
 
     * ``_rn``: 1-based position of the row in its key (``row_number``);
@@ -72,12 +81,17 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
 
     ``order`` must make rows of a key unique (add a sequence column).  NULL
     keys are a group like any other, NULL order values come first.
+
+    Returns the rows and the state after them: one row per key with its
+    count, totals, maxima, last two rows and last mark.  Passed as ``state``
+    with a later part of the data, it goes on from there: it stands for a
+    slice before all others.
     """
     keys, order = _cols(keys), _cols(order)
     sums, maxes, lags = _cols(sums), _cols(maxes), _cols(lags)
     zero = {c: F.lit(0).cast(df.schema[c].dataType) for c in sums}
     # one struct column: null keys compare equal in windows and joins alike
-    part = F.struct(F.struct(*keys).alias("key"), slice_expr(df, order[0], slice_width).alias("slice"))
+    part = F.struct(F.struct(*keys).alias("key"), slice_expr(df, order[0], slice_width).alias("slice"), F.lit(1).alias("now"))
     w = Window.partitionBy("_part").orderBy(*order)
     wb = w.rowsBetween(Window.unboundedPreceding, -1)
     local = df.withColumn("_part", part).select(
@@ -108,7 +122,10 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
         F.min_by(ends, F.col("_lrn")).alias("_first"),
         *([F.max("_lmp").alias("_lmpmax")] if mark else []),
     )
-    wc = Window.partitionBy("_part.key").orderBy("_part.slice")
+    if state is not None:
+        earlier = F.struct(F.col("key"), F.lit(None).cast("bigint").alias("slice"), F.lit(0).alias("now"))
+        summ = summ.unionByName(state.withColumn("_first", F.col("_last")).withColumn("_part", earlier).drop("key"))
+    wc = Window.partitionBy("_part.key").orderBy("_part.now", "_part.slice")
     wcb = wc.rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select(
         F.col("_part").alias("_cpart"),
@@ -118,7 +135,8 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
         F.lag("_last", 1).over(wc).alias("_p1"),
         F.lag("_last", 2).over(wc).alias("_p2"),
         F.lag("_cnt", 1).over(wc).alias("_pc"),
-        "_first", *(["_lmpmax"] if mark else []),
+        "_first", "_last", "_cnt", *[f"_tot_{c}" for c in sums], *[f"_max_{c}" for c in maxes],
+        *(["_lmpmax"] if mark else []),
     )
     if mark:
         # first row's mark against the previous slice's last row, then the
@@ -126,11 +144,25 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
         mf = F.coalesce(mark(lambda c: F.col(f"_first.v_{c}"), lambda c: F.col(f"_p1.v_{c}")), F.lit(False))
         carry = carry.withColumn("_mf", mf)
         last_mark = F.greatest(F.when(F.col("_mf"), F.col("_cb") + 1), F.col("_cb") + F.col("_lmpmax"))
-        wck = (Window.partitionBy("_cpart.key").orderBy("_cpart.slice")
+        wck = (Window.partitionBy("_cpart.key").orderBy("_cpart.now", "_cpart.slice")
                .rowsBetween(Window.unboundedPreceding, -1))
-        carry = carry.withColumn("_cmk", F.max(last_mark).over(wck))
-
-    j = local.join(carry.drop("_first"), F.col("_part") == F.col("_cpart"))
+        carry = carry.withColumn("_cmk", F.max(last_mark).over(wck)).withColumn("_mark", last_mark)
+
+    # the state after all slices of a key, in the form of one slice
+    before_last = lambda c: F.when(F.col("_cnt") >= 2, F.col(f"_last.p_{c}")).otherwise(F.col(f"_p1.v_{c}"))
+    after = F.struct(
+        (F.col("_cb") + F.col("_cnt")).alias("_cnt"),
+        *[(F.coalesce(F.col(f"_csb_{c}"), zero[c]) + F.coalesce(F.col(f"_tot_{c}"), zero[c])).cast(summ.schema[f"_tot_{c}"].dataType).alias(f"_tot_{c}") for c in sums],
+        *[F.greatest(f"_cmb_{c}", f"_max_{c}").alias(f"_max_{c}") for c in maxes],
+        F.struct(F.lit(1).alias("_"), *[F.col(f"_last.v_{c}").alias(f"v_{c}") for c in lags],
+                 *[before_last(c).alias(f"p_{c}") for c in lags]).alias("_last"),
+        *([F.greatest("_cmk", "_mark").alias("_lmpmax")] if mark else []))
+    ended = (carry.groupBy(F.col("_cpart.key").alias("key"))
+             .agg(F.max_by(after, F.struct("_cpart.now", "_cpart.slice")).alias("s")).select("key", "s.*"))
+
+    own = ["_cpart", "_cb", "_p1", "_p2", "_pc", *[f"_csb_{c}" for c in sums], *[f"_cmb_{c}" for c in maxes],
+           *(["_mf", "_cmk"] if mark else [])]
+    j = local.join(carry.select(*own), F.col("_part") == F.col("_cpart"))
     first, second = F.col("_lrn") == 1, F.col("_lrn") == 2
     cb = F.col("_cb")
     out = [F.col(c) for c in df.columns]
@@ -150,7 +182,7 @@ def scan(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number:
         out.append(F.when(first, F.col("_cmk"))
                    .otherwise(F.greatest(F.col("_cmk"), F.when(first_marked, cb + 1), cb + F.col("_lmk")))
                    .alias("_mk"))
-    return j.select(*out)
+    return j.select(*out), ended
 
 
 def gt(a: Column, b: Column) -> Column:

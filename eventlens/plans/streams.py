@@ -16,14 +16,17 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import messages
-from ..functions.timecols import to_ntz, to_stream_time
+from ..functions.timecols import add_seconds, to_ntz, to_stream_time
+from ..operators import alerts
 from ..session import scratch_path
 from ..sources import files, stand_ins
 from ..streaming import jobs
+from ..streaming.processors import RunningSumProcessor
 from . import hot, iot, tables_sql
 from .registry import query
 
 FAR_FUTURE = "2100-01-01 00:00:00"
+FILES = 2          # files per trigger
 
 
 def _temps(spark, sf_dir):
@@ -46,10 +49,10 @@ def _ntz(df, *cols):
 def _daily_avg_stream(spark, sf_dir, late_row: bool):
     inp, sink, ck = jobs.fresh(spark, "daily_avg")
     t = _temps(spark, sf_dir)
-    jobs.stage(t, inp)
+    jobs.stage_in_order(t, inp, "ts", files=FILES)
 
     def writer():
-        s = jobs.file_stream(spark, inp, t.schema)
+        s = jobs.file_stream(spark, inp, t.schema, max_files_per_trigger=FILES)
         return jobs.to_parquet(jobs.window_mean(s, "id", "ts", "temp", "1 day", "1 second"), sink)()
 
     jobs.run_available_now(writer, ck)
@@ -83,11 +86,12 @@ def stream_hot_items(spark, sf_dir):
     top 3 per window end ranked in ``foreachBatch``."""
     inp, sink, ck = jobs.fresh(spark, "hot_items")
     ub = stand_ins.user_behavior(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    jobs.stage(ub, inp)
+    jobs.stage_in_order(ub, inp, "ts", files=FILES)
 
     def writer():
-        s = jobs.file_stream(spark, inp, ub.schema).filter(F.col("behavior") == "pv")
-        counts = jobs.window_counts(s, "item_id", "ts", "1 hour", "5 minutes", "0 seconds")
+        # every row moves the watermark, only views are counted
+        s = jobs.file_stream(spark, inp, ub.schema, max_files_per_trigger=FILES).withWatermark("ts", "0 seconds")
+        counts = jobs.window_counts_panes(s.filter(F.col("behavior") == "pv"), "item_id", "ts", "1 hour", "5 minutes")
         return jobs.to_batches(counts, jobs.rank_each_batch(sink, "window_end", "cnt", 3, "item_id",
                                                             ["window_end", "rk", "item_id", "cnt"]))()
 
@@ -97,34 +101,57 @@ def stream_hot_items(spark, sf_dir):
     return _ntz(spark.read.parquet(sink).select("window_end", "rk", "item_id", "cnt"), "window_end")
 
 
-def _alert_stream(spark, kind, staged, build, cols, ntz_cols):
+def _alert_stream(spark, kind, staged, ts, step, cols, ntz_cols, **clock):
+    """Stage in event-time order, run one group of files per trigger with
+    carried state, read the alerts back."""
     inp, sink, ck = jobs.fresh(spark, kind)
-    jobs.stage(staged, inp)
+    jobs.stage_in_order(staged, inp, ts, files=FILES)
 
     def writer():
-        return jobs.to_parquet(build(jobs.file_stream(spark, inp, staged.schema)), sink)()
+        s = jobs.file_stream(spark, inp, staged.schema, max_files_per_trigger=FILES)
+        return jobs.to_batches(s, jobs.carried(step, sink, f"{ck}-state", ts, **clock))()
 
     jobs.run_available_now(writer, ck)
-    return _ntz(spark.read.parquet(sink), *ntz_cols).select(*cols)
+    return _ntz(spark.read.parquet(sink).drop("batch"), *ntz_cols).select(*cols)
 
 
 @query("stream_running_mean", iot.RUNNING_MEAN)
 def stream_running_mean(spark, sf_dir):
-    """ALR1 on a stream with a ``StatefulProcessor`` (n, sum) per sensor."""
-    out = _alert_stream(spark, "running_mean", _temps(spark, sf_dir), jobs.running_mean_alerts,
-                        ["id", "ts", "time", "temp", "n_before", "sum_before", "kind"], ["ts"])
-    return out.select("*", messages.temp_alert("id", "time", "temp", "kind").alias("message")) \
-              .withColumn("sum_before", F.round("sum_before", 6))
+    """ALR1 on a stream: (n, sum) per sensor carried between triggers."""
+    out = _alert_stream(spark, "running_mean", _temps(spark, sf_dir), "ts", alerts.running_mean_step,
+                        ["id", "ts", "time", "temp", "n_before", "sum_before", "kind", "message"], ["ts"])
+    return out.withColumn("sum_before", F.round("sum_before", 6))
+
+
+WINDOW_COLS = ["id", "window_start", "ts", "time", "temp", "n_before", "sum_before", "kind", "message"]
 
 
 @query("stream_window_mean", iot.WINDOW_MEAN)
 def stream_window_mean(spark, sf_dir):
-    """ALR2 on a stream: state per (sensor, day)."""
-    out = _alert_stream(spark, "window_mean", _temps(spark, sf_dir), jobs.window_mean_alerts,
-                        ["id", "window_start", "ts", "time", "temp", "n_before", "sum_before", "kind"],
-                        ["ts", "window_start"])
-    return out.select("*", messages.temp_alert("id", "time", "temp", "kind").alias("message")) \
-              .withColumn("sum_before", F.round("sum_before", 6))
+    """ALR2 on a stream: state per (sensor, day), cleared when the day ends."""
+    out = _alert_stream(spark, "window_mean", _temps(spark, sf_dir), "ts", alerts.window_mean_step,
+                        WINDOW_COLS, ["ts", "window_start"], delay="1 second", window="1 day")
+    return out.withColumn("sum_before", F.round("sum_before", 6))
+
+
+@query("stream_window_mean_late", iot.WINDOW_MEAN)
+def stream_window_mean_late(spark, sf_dir):
+    """ALR2 + STR15: the first day's readings arrive once more, far too hot,
+    after all others; their day has ended, so they raise no alert."""
+    t = _temps(spark, sf_dir)
+    inp, sink, ck = jobs.fresh(spark, "window_mean_late")
+    jobs.stage_in_order(t, inp, "ts", files=FILES)
+    first_day = t.where(F.col("ts") < add_seconds(F.lit(t.agg(F.min("ts")).first()[0]), 3600))
+    jobs.stage(first_day.withColumn("temp", F.lit(1e6)).withColumn("seq", F.col("seq") + (1 << 40)).repartition(FILES), inp)
+
+    def writer():
+        s = jobs.file_stream(spark, inp, t.schema, max_files_per_trigger=FILES)
+        return jobs.to_batches(s, jobs.carried(alerts.window_mean_step, sink, f"{ck}-state", "ts",
+                                               delay="1 second", window="1 day"))()
+
+    jobs.run_available_now(writer, ck)
+    out = _ntz(spark.read.parquet(sink).drop("batch"), "ts", "window_start").select(*WINDOW_COLS)
+    return out.withColumn("sum_before", F.round("sum_before", 6))
 
 
 def _quality(spark, sf_dir):
@@ -136,13 +163,15 @@ def _quality(spark, sf_dir):
 def _breach_stream(spark, sf_dir, variant):
     cols = ["id", "ts", "l_orderkey", "l_linenumber", "l_partkey", "metric", "first_time", "first_value",
             "second_time", "second_value"]
-    return _alert_stream(spark, f"breach_{variant}", _quality(spark, sf_dir),
-                         lambda s: jobs.breach_alerts(s, 0.1, variant), cols, ["ts"])
+    step = lambda rows, state: alerts.breach_step(
+        rows, state, order=["l_orderkey", "l_linenumber", "l_partkey"], rate=0.1, variant=variant, slice_width="30 days")
+    return _alert_stream(spark, f"breach_{variant}", _quality(spark, sf_dir), "ts", step, cols, ["ts"])
 
 
 @query("stream_breach_keep", iot._breach_oracle("keep"))
 def stream_breach_keep(spark, sf_dir):
-    """ALR3 on a stream: the state machine in a ``StatefulProcessor``."""
+    """ALR3 on a stream: the last two readings and the last mark per key
+    carried between triggers."""
     return _breach_stream(spark, sf_dir, "keep")
 
 
@@ -152,29 +181,59 @@ def stream_breach_drop(spark, sf_dir):
     return _breach_stream(spark, sf_dir, "drop")
 
 
+def _sensors(spark, sf_dir):
+    return stand_ins.sensor_readings(spark, sf_dir).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+
+
 @query("stream_running_sum", iot.RUNNING_SUM)
 def stream_running_sum(spark, sf_dir):
     """AGG6 on a stream: running sum of the temperature keyed by
     ``id == 'sensor_6'``, one row per element."""
-    s = stand_ins.sensor_readings(spark, sf_dir).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    out = _alert_stream(spark, "running_sum", s, lambda x: jobs.keyed_running_sum(x, F.col("id") == "sensor_6"),
+    step = lambda rows, state: alerts.running_sum_step(
+        rows, state, F.col("id") == "sensor_6", "temper", "event_ts")
+    out = _alert_stream(spark, "running_sum", _sensors(spark, sf_dir), "event_ts", step,
                         ["key", "seq", "id", "temper", "running_temper"], [])
     return out.withColumn("running_temper", F.round("running_temper", 6))
 
 
+KEYED_SUM = """
+SELECT event_id AS seq, 'sensor_' || user_id AS id, value AS temper,
+       round(sum(CAST(value AS DECIMAL(28, 10))) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                                       ROWS UNBOUNDED PRECEDING)::DOUBLE, 6) AS running_temper
+FROM events
+"""
+
+
+@query("stream_keyed_process", KEYED_SUM)
+def stream_keyed_process(spark, sf_dir):
+    """UDF6: a user's ``StatefulProcessor`` per sensor, here a running sum."""
+    s = _sensors(spark, sf_dir)
+    inp, sink, ck = jobs.fresh(spark, "keyed_process")
+    jobs.stage_in_order(s, inp, "event_ts", files=FILES)
+
+    def writer():
+        stream = jobs.file_stream(spark, inp, s.schema, max_files_per_trigger=FILES)
+        processor = RunningSumProcessor("temper", ["event_ts", "seq"], ["seq", "id", "temper"])
+        return jobs.to_parquet(jobs.keyed_process(
+            stream, ["id"], processor, "seq long, id string, temper double, running_temper double"), sink)()
+
+    jobs.run_available_now(writer, ck)
+    return spark.read.parquet(sink).withColumn("running_temper", F.round("running_temper", 6))
+
+
 @query("stream_tagged_split", tables_sql.TAGGED)
 def stream_tagged_split(spark, sf_dir):
     """SNK5/SNK6 on a stream: main output and one folder per tag, written
     per micro-batch by ``foreachBatch``."""
     inp, sink, ck = jobs.fresh(spark, "tagged")
     s = stand_ins.sensor_readings(spark, sf_dir).select("id", "ts", "temper", "seq")
-    jobs.stage(s, inp)
+    jobs.stage_in_order(s.withColumn("at", F.timestamp_seconds("ts")), inp, "at", files=FILES)
     i = F.col("id")
     routes = {"tmp-output": i == "sensor_6", "qa-output": i == "sensor_1"}
     msgs = {"tmp-output": F.concat(F.lit(messages.SIDE_TAG_6), i),
             "qa-output": F.concat(F.lit(messages.SIDE_TAG_1), i)}
     jobs.run_available_now(
-        lambda: jobs.to_batches(jobs.file_stream(spark, inp, s.schema), jobs.tagged_sink(sink, routes, msgs))(), ck)
+        lambda: jobs.to_batches(jobs.file_stream(spark, inp, s.schema, max_files_per_trigger=FILES), jobs.tagged_sink(sink, routes, msgs))(), ck)
     out = spark.read.parquet(sink)
     return out.select("id", "ts", "temper", "seq", F.col("tag").cast("string").alias("tag"), "message")
 
@@ -185,10 +244,10 @@ def stream_group_count(spark, sf_dir):
     unbounded count per id in complete mode."""
     root = scratch_path(spark, "stream/group_count")
     inp, sink, ck = f"{root}/input", f"{root}/sink", f"{root}/checkpoint"
-    files.write_lines(stand_ins.sensor_csv_lines(spark, sf_dir), inp)
+    files.write_lines(stand_ins.sensor_csv_lines(spark, sf_dir).repartition(6), inp)
 
     def writer():
-        s = spark.readStream.schema(schemas.SENSOR_CSV).csv(inp)
+        s = spark.readStream.schema(schemas.SENSOR_CSV).option("maxFilesPerTrigger", 1).csv(inp)
         counts = s.groupBy("id").agg(F.count(F.col("id")).alias("cnt"))
         return jobs.to_batches(counts, jobs.complete_counts(sink), mode="complete")()
 

@@ -11,10 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.timecols import add_seconds, duration_seconds
 from ..operators import ranking
 from ..session import scratch_path
-from .processors import (BREACH_OUT, MEAN_OUT, SUM_OUT, WINDOW_MEAN_OUT, BreachProcessor,
-                         RunningMeanProcessor, RunningSumProcessor)
 
 
 # ----------------------------------------------------------------- plumbing
@@ -24,6 +23,21 @@ def stage(df: DataFrame, path: str, mode: str = "append") -> str:
     return path
 
 
+def stage_in_order(df: DataFrame, path: str, ts: str, parts: int = 6, files: int = 2) -> str:
+    """Write rows as ``parts`` groups of ``files`` files, one group after
+    another in event-time order; with ``maxFilesPerTrigger=files`` a stream
+    reads one group per trigger, in that order."""
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    cuts = df.agg(F.percentile_approx(at, [k / parts for k in range(1, parts)], 10_000)).first()[0] or []
+    low = None
+    for high in [*dict.fromkeys(cuts), None]:
+        part = df if low is None else df.where(at > low)
+        part = part if high is None else part.where(at <= high)
+        part.repartition(files).write.mode("append").parquet(path)
+        low = high
+    return path
+
+
 def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
     r = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
@@ -31,12 +45,12 @@ def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: i
     return r.load(path)
 
 
-def run_available_now(writer_factory, checkpoint: str, timeout_s: float = 3600) -> None:
-    """Start, process everything available, stop; re-raise a failure.  A
-    run that has not finished after ``timeout_s`` is stopped and reported
-    (progress so far is kept in the checkpoint, a rerun resumes it)."""
+def run_available_now(writer_factory, checkpoint: str, timeout_s: float | None = None) -> None:
+    """Start, process everything available, stop; re-raise a failure.  With
+    ``timeout_s`` a run that has not finished by then is stopped and reported
+    (progress is kept in the checkpoint, a rerun resumes it)."""
     q: StreamingQuery = writer_factory().option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    finished = q.awaitTermination(timeout_s)
+    finished = q.awaitTermination(timeout_s) if timeout_s else (q.awaitTermination() or True)
     if not finished:
         q.stop()
         raise TimeoutError(f"stream {q.id} did not finish within {timeout_s} s")
@@ -66,13 +80,14 @@ def window_mean(df: DataFrame, key: str, ts: str, value: str, size: str = "1 day
                     (F.col("sum_value") / F.col("n")).alias("avg_value")))
 
 
-def window_counts(df: DataFrame, key: str, ts: str, size: str, slide: str,
-                  delay: str = "0 seconds") -> DataFrame:
-    """STR3 + STR8 + AGG1: append-mode counts per (key, sliding window)."""
-    return (df.withWatermark(ts, delay)
-            .groupBy(F.window(ts, size, slide).alias("window"), F.col(key))
-            .agg(F.count(F.lit(1)).alias("cnt"))
-            .select(F.col(key), F.col("window.end").alias("window_end"), "cnt"))
+def window_counts_panes(df: DataFrame, key: str, ts: str, size: str, slide: str) -> DataFrame:
+    """STR3 + STR8/9 + AGG1: append-mode counts per (key, sliding window) of a
+    stream with a watermark.  Rows are counted per pane (one slide long)
+    first, and a pane is counted into the windows that hold it by its window
+    time, so the state holds panes instead of every row's windows."""
+    panes = df.groupBy(F.window(ts, slide).alias("pane"), F.col(key)).agg(F.count(F.lit(1)).alias("n"))
+    return (panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("window"), F.col(key))
+            .agg(F.sum("n").alias("cnt")).select(F.col(key), F.col("window.end").alias("window_end"), "cnt"))
 
 
 def rank_each_batch(sink: str, group: str, score: str, n: int, tie: str, cols: list[str]):
@@ -87,32 +102,53 @@ def rank_each_batch(sink: str, group: str, score: str, n: int, tie: str, cols: l
 
 
 # ------------------------------------------------------------- stateful alerts
-def running_mean_alerts(df: DataFrame, margin: float = 5) -> DataFrame:
-    """ALR1 on a stream (STR11/12/14/15, UDF6): keyed by ``id``."""
-    return df.groupBy("id").transformWithStateInPandas(
-        RunningMeanProcessor(margin), MEAN_OUT, "append", "None")
-
-
-def window_mean_alerts(df: DataFrame, size: str = "1 day", margin: float = 5.0) -> DataFrame:
-    """ALR2 on a stream (STR16): keyed by (id, window start); state restarts
-    with every window."""
-    keyed = df.withColumn("window_start", F.window("ts", size).start)
-    return keyed.groupBy("id", "window_start").transformWithStateInPandas(
-        RunningMeanProcessor(margin, high_only=True, window_col="window_start"),
-        WINDOW_MEAN_OUT, "append", "None")
-
-
-def breach_alerts(df: DataFrame, rate: float = 0.1, variant: str = "keep") -> DataFrame:
-    """ALR3 / ALR4 on a stream: keyed by supplier."""
-    return df.groupBy("id").transformWithStateInPandas(
-        BreachProcessor(rate, variant), BREACH_OUT, "append", "None")
+def carried(step, sink: str, state_dir: str, ts: str, delay: str = "0 seconds", window: str | None = None,
+            ttl: str | None = None):
+    """STR11/12/14-16: an ordered-scan operator on a stream.  Every
+    micro-batch runs ``step(rows, state)``, the operator's batch form, so a
+    hot key spreads over tasks as it does there; the state after the batch
+    (one row per key) is written for the next one.
+
+    ``window``: the state is keyed by ``window_start`` too; rows of windows
+    that the watermark (largest ``ts`` of earlier batches less ``delay``) has
+    passed are late and dropped, and the windows' state is cleared.  ``ttl``:
+    the state of keys without rows for that long is cleared.
+
+    States and clocks alternate between two folders, so a replayed batch
+    finds the state it started from; outputs go to a folder per batch.
+    Rows should arrive in event-time order between triggers: a row is
+    compared with what arrived before it.
+    """
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark, old, new = batch.sparkSession, f"slot={(batch_id - 1) % 2}", f"slot={batch_id % 2}"
+        state = spark.read.parquet(f"{state_dir}/keys/{old}") if batch_id else None
+        clock = spark.read.parquet(f"{state_dir}/clock/{old}") if batch_id else None
+        latest = batch.select(F.max(ts).alias("latest"))
+        clock = latest if clock is None else clock.union(latest).agg(F.max("latest").alias("latest"))
+        passed = clock.first()["latest"]
+        if window:
+            before = None if state is None else spark.read.parquet(f"{state_dir}/clock/{old}").first()["latest"]
+            if before is not None:
+                end = F.window(ts, window).end
+                batch = batch.where(end > add_seconds(F.lit(before), -duration_seconds(delay)))
+        out, after = step(batch, state)
+        if passed is not None:
+            mark = add_seconds(F.lit(passed), -duration_seconds(delay))
+            if window:
+                after = after.where(add_seconds(F.col("key.window_start"), duration_seconds(window)) > mark)
+            if ttl:
+                after = after.where(add_seconds(F.col(f"_max_{ts}"), duration_seconds(ttl)) > mark)
+        after.write.mode("overwrite").parquet(f"{state_dir}/keys/{new}")
+        out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        spark.createDataFrame([(passed,)], clock.schema).write.mode("overwrite").parquet(f"{state_dir}/clock/{new}")
+    return fn
 
 
-def keyed_running_sum(df: DataFrame, key_expr: Column, value: str = "temper") -> DataFrame:
-    """AGG6 on a stream: running sum per key expression (a boolean in the
-    reference), one output row per element."""
-    return df.withColumn("key", key_expr).groupBy("key").transformWithStateInPandas(
-        RunningSumProcessor(value), SUM_OUT, "append", "None")
+def keyed_process(df: DataFrame, keys: list[str], processor, out_schema: str, time_mode: str = "None") -> DataFrame:
+    """UDF6: any user ``StatefulProcessor`` per key.  A key's rows of a
+    trigger go to one worker; operators that must split hot keys use
+    :func:`carried`."""
+    return df.groupBy(*keys).transformWithStateInPandas(processor, out_schema, "append", time_mode)
 
 
 # --------------------------------------------------------------- split / count

@@ -1,216 +1,39 @@
-"""Stateful processors for the alert operators on streams
-(``transformWithStateInPandas``, RocksDB state store, ``timeMode='None'``).
-
-Keyed state holds O(1) per key: the running (count, sum) for the mean
-alerts, the state size and up to two stored readings for the breach alerts.
-Rows of a key inside one micro-batch arrive unordered, so each handler
-sorts them by (ts, seq) first; the batch's size is bounded by the source's
-``maxFilesPerTrigger``.  ``timeMode='None'`` keeps late rows, as the
-reference's keyed process functions do (windows drop them, alerts do not).
+"""Stateful processors for ``jobs.keyed_process``
+(``transformWithStateInPandas``, RocksDB state store): the form for a user's
+own keyed function.  Rows of a key inside one micro-batch arrive unordered,
+so a handler sorts them first; the batch's size is bounded by the source's
+``maxFilesPerTrigger``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-MEAN_STATE = "n long, total double"
-MEAN_OUT = ("id string, ts timestamp, time string, temp double, n_before long, sum_before double, "
-            "kind string")
-WINDOW_MEAN_OUT = ("id string, window_start timestamp, ts timestamp, time string, temp double, "
-                   "n_before long, sum_before double, kind string")
-BREACH_STATE = ("size int, a0 double, c0 double, w0 double, t0 string, "
-                "a1 double, c1 double, w1 double, t1 string")
-BREACH_OUT = ("id long, ts timestamp, l_orderkey long, l_linenumber int, l_partkey long, metric string, "
-              "first_time string, first_value double, second_time string, second_value double")
-
-
-def _sorted(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    pdf = pd.concat(list(rows), ignore_index=True)
-    return pdf.sort_values(order, kind="stable").reset_index(drop=True)
-
-
-def _gt(a, b):
-    # NaN compares false, as on the JVM
-    with np.errstate(invalid="ignore"):
-        return np.asarray(a > b, dtype=bool)
-
-
-class RunningMeanProcessor(StatefulProcessor):
-    """ALR1 on a stream: state (n, total) per sensor, never expired."""
-
-    def __init__(self, margin: float = 5, high_only: bool = False, window_col: str | None = None):
-        self.margin = margin
-        self.high_only = high_only
-        self.window_col = window_col
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("mean", MEAN_STATE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, ["ts", "seq"])
-        n0, s0 = self.state.get() if self.state.exists() else (0, 0.0)
-        temps = pdf["temp"].to_numpy(dtype="float64")
-        n_before = n0 + np.arange(len(pdf), dtype="int64")
-        sum_before = s0 + np.concatenate([[0.0], np.cumsum(temps)[:-1]])
-        with np.errstate(invalid="ignore", divide="ignore"):
-            mean = np.where(n_before > 0, sum_before / np.maximum(n_before, 1), np.nan)
-        if self.high_only:
-            high = _gt(temps - mean, self.margin)
-            low = np.zeros(len(pdf), dtype=bool)
-        else:
-            high = _gt(temps, mean + self.margin)
-            low = _gt(mean - self.margin, temps)
-        self.state.update((int(n0 + len(pdf)), float(s0 + temps.sum())))
-        cols = (["id"] + ([self.window_col] if self.window_col else [])
-                + ["ts", "time", "temp"])
-        out = []
-        for mask, kind in ((high, "high"), (low, "low")):
-            if mask.any():
-                part = pdf.loc[mask, cols].copy()
-                part["n_before"] = n_before[mask]
-                part["sum_before"] = sum_before[mask]
-                part["kind"] = kind
-                out.append(part)
-        if out:
-            yield pd.concat(out, ignore_index=True)
-
-    def close(self) -> None:
-        pass
-
-
-SUM_STATE = "total double"
-SUM_OUT = "key boolean, seq long, id string, temper double, running_temper double"
-
 
 class RunningSumProcessor(StatefulProcessor):
-    """AGG6 on a stream (``keyBy(f).sum(field)``): every element with the
-    running sum of its key, state = the key's total so far."""
+    """AGG6 as a keyed process function: every element with the running sum
+    of its key; the state is the key's total so far.  Columns are arguments."""
 
-    def __init__(self, value: str = "temper", order=("event_ts", "seq"), out_cols=("key", "seq", "id", "temper")):
-        self.value = value
-        self.order = list(order)
-        self.out_cols = list(out_cols)
+    def __init__(self, value: str, order: list[str], out_cols: list[str]):
+        self.value, self.order, self.out_cols = value, list(order), list(out_cols)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("sum", SUM_STATE)
+        self.state = handle.getValueState("sum", "total double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, self.order)
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
         total = self.state.get()[0] if self.state.exists() else 0.0
-        run = total + np.cumsum(pdf[self.value].to_numpy(dtype="float64"))
-        if len(run):
-            self.state.update((float(run[-1]),))
+        running = []
+        for v in pdf[self.value].astype("float64"):
+            total += v
+            running.append(total)
+        self.state.update((total,))
         out = pdf[self.out_cols].copy()
-        out["running_" + self.value] = run
+        out["running_" + self.value] = running
         yield out
 
     def close(self) -> None:
         pass
-
-
-def breach_step(size: int, stored: np.ndarray, vals: np.ndarray, rate: float, variant: str):
-    """One key's micro-batch through the two-reading state machine, in numpy.
-
-    ``size`` and ``stored`` (``size`` x 3 metric rows, oldest first) are the
-    state before the batch; ``vals`` holds the batch's metric rows in scan
-    order.  Returns ``(alerts, new_size)`` where ``alerts`` is a list of
-    ``(row, metric, prev_row)`` with ``prev_row = -1`` meaning the last
-    stored reading; the new stored readings are the last ``new_size`` rows
-    of ``stored`` followed by ``vals``.
-
-    The stored readings are always the previous one or two rows, so only the
-    size depends on history: keep (``E[i+1] = not E[i] and b[i]``) alternates
-    along each run of breaches; drop alternates size 1 / not 1 strictly.
-    """
-    n = len(vals)
-    f = 1.0 + rate
-    allv = np.vstack([stored, vals]) if len(stored) else vals
-    off = len(stored)
-    idx = np.arange(n)
-    pos = off + idx                                   # row i in allv
-    has1 = pos >= 1
-    prev1 = np.where(has1[:, None], allv[np.maximum(pos - 1, 0)], np.nan)
-    has2 = pos >= 2
-    prev2 = np.where(has2[:, None], allv[np.maximum(pos - 2, 0)], np.nan)
-    with np.errstate(invalid="ignore"):
-        breach = np.any(vals > prev1 * f, axis=1) & has1     # b[i]: row i over row i-1
-    if variant == "drop":
-        is1 = ((size == 1) ^ (idx % 2 == 1))           # size before row i is 1
-        two = np.zeros(n, dtype=bool)
-        two[1:] = is1[:-1] & breach[:-1]
-        if n:
-            two[0] = size == 2
-        last_is1 = bool(is1[-1]) if n else size == 1
-        new_size = (2 if breach[-1] else 0) if (n and last_is1) else (1 if n else size)
-    else:
-        # reset where the previous row did not breach (or at the batch start)
-        reset = np.ones(n, dtype=bool)
-        reset[1:] = ~breach[:-1]
-        start = np.maximum.accumulate(np.where(reset, idx, 0))
-        first_two = (size == 2)
-        base = np.where(start == 0, first_two, False)
-        two = base ^ ((idx - start) % 2 == 1)
-        # (size 0 only before a key's first row: that row has no previous
-        # row, so it does not breach and the alternation restarts after it)
-        if n == 0:
-            new_size = size
-        elif n == 1 and size == 0:
-            new_size = 1
-        else:
-            new_size = 2 if (not two[-1] and breach[-1]) else 1
-    alerts = []
-    with np.errstate(invalid="ignore"):
-        over0 = vals > prev2 * f
-        over1 = prev1 > prev2 * f
-    hit = two[:, None] & over0 & over1
-    for i, m in zip(*np.nonzero(hit)):
-        alerts.append((int(i), int(m), int(i) - 1))
-    return alerts, new_size
-
-
-class BreachProcessor(StatefulProcessor):
-    """ALR3 / ALR4 on a stream: the reference's state machine (at most two
-    stored readings per key) over the key's sorted rows, vectorised by
-    :func:`breach_step`."""
-
-    METRICS = ("acid", "cons", "water_rate")
-
-    def __init__(self, rate: float = 0.1, variant: str = "keep"):
-        self.rate = rate
-        self.variant = variant
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("last_two", BREACH_STATE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, ["ts", "l_orderkey", "l_linenumber", "l_partkey"])
-        st = self.state.get() if self.state.exists() else (0, None, None, None, None, None, None, None, None)
-        size = int(st[0])
-        stored_rows = [st[1:5], st[5:9]][:size]
-        stored = np.array([r[:3] for r in stored_rows], dtype="float64").reshape(size, 3)
-        stored_times = [r[3] for r in stored_rows]
-        vals = pdf[["acid", "cons", "water_rate"]].to_numpy(dtype="float64")
-        times = pdf["time"].tolist()
-        alerts, new_size = breach_step(size, stored, vals, self.rate, self.variant)
-        all_vals = np.vstack([stored, vals]) if size else vals
-        all_times = stored_times + times
-        keep_rows = [(*map(float, all_vals[j]), all_times[j]) for j in range(len(all_times) - new_size, len(all_times))]
-        blank = (None, None, None, None)
-        keep_rows += [blank] * (2 - len(keep_rows))
-        self.state.update((int(new_size), *keep_rows[0], *keep_rows[1]))
-        if alerts:
-            idx = [a[0] for a in alerts]
-            res = pdf.loc[idx, ["id", "ts", "l_orderkey", "l_linenumber", "l_partkey"]].reset_index(drop=True)
-            res["metric"] = [self.METRICS[a[1]] for a in alerts]
-            res["first_time"] = [all_times[size + a[2]] for a in alerts]
-            res["first_value"] = [float(all_vals[size + a[2], a[1]]) for a in alerts]
-            res["second_time"] = [times[a[0]] for a in alerts]
-            res["second_value"] = [float(vals[a[0], a[1]]) for a in alerts]
-            yield res
-
-    def close(self) -> None:
-        pass

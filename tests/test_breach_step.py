@@ -1,54 +1,34 @@
-"""The vectorised micro-batch step of the streaming breach processor equals
-the row-by-row state machine for any split of the input into batches."""
-
-import numpy as np
-from hypothesis import given, settings
-from hypothesis import strategies as st
-
-from eventlens.streaming.processors import breach_step
-
-
-def simulate(rows, rate, variant):
-    out, state = [], []
-    f = 1 + rate
-    for i, r in enumerate(rows):
-        if not state:
-            state = [r]
-        elif len(state) == 1:
-            s0 = state[0]
-            if any(r[m] > s0[m] * f for m in range(3)):
-                state = [s0, r]
-            else:
-                state = [r] if variant == "keep" else []
-        else:
-            s0, s1 = state
-            for m in range(3):
-                if r[m] > s0[m] * f and s1[m] > s0[m] * f:
-                    out.append((i, m))
-            state = [r]
-    return out
-
-
-def stepped(rows, cuts, rate, variant):
-    vals = np.array(rows, dtype="float64").reshape(len(rows), 3)
-    size, stored, out, base = 0, np.zeros((0, 3)), [], 0
-    bounds = sorted(set([0, len(rows), *cuts]))
-    for a, b in zip(bounds, bounds[1:]):
-        batch = vals[a:b]
-        alerts, new_size = breach_step(size, stored, batch, rate, variant)
-        out += [(base + i, m) for i, m, _ in alerts]
-        allv = np.vstack([stored, batch]) if len(stored) else batch
-        stored = allv[len(allv) - new_size:] if new_size else np.zeros((0, 3))
-        size, base = new_size, b
-    return out
-
-
-rows_st = st.lists(st.tuples(*[st.integers(5, 15).map(float)] * 3), min_size=0, max_size=60)
-
-
-@settings(max_examples=300, deadline=None)
-@given(rows=rows_st, cuts=st.lists(st.integers(0, 60), max_size=8),
-       variant=st.sampled_from(["keep", "drop"]))
-def test_breach_step_matches_state_machine(rows, cuts, variant):
-    cuts = [c for c in cuts if c <= len(rows)]
-    assert sorted(stepped(rows, cuts, 0.1, variant)) == sorted(simulate(rows, 0.1, variant))
+"""Carried state: an operator run over consecutive parts of the data equals
+the row-by-row state machine over all of it, for any split."""
+
+import datetime as dt
+import random
+
+import pytest
+from test_alerts import simulate
+
+from eventlens.operators import alerts
+
+T0 = dt.datetime(2024, 1, 1)
+SCHEMA = "id long, ts timestamp_ntz, seq long, acid double, cons long, water_rate double, time string"
+
+
+@pytest.mark.parametrize("seed,variant", [(1, "keep"), (2, "keep"), (1, "drop"), (2, "drop")])
+def test_split_runs_equal_state_machine(spark, seed, variant):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(90):
+        k = 1 if rng.random() < .8 else rng.choice([2, 3])
+        rows.append((k, T0 + dt.timedelta(minutes=i), i, float(rng.randint(5, 15)), rng.randint(5, 15), float(rng.randint(5, 15)), str(i)))
+    cuts = [0, *sorted(rng.sample(range(1, 90), 3)), 90]
+    names = ["acid", "cons", "water_rate"]
+    want = []
+    for k in (1, 2, 3):
+        want += [(s, names[m]) for s, m in simulate([(r[3], float(r[4]), r[5], r[2]) for r in rows if r[0] == k], 0.1, variant)]
+    state, got = None, []
+    for a, b in zip(cuts, cuts[1:]):
+        df = spark.createDataFrame(rows[a:b], SCHEMA)
+        out, state = alerts.breach_step(df, state, order=["seq"], variant=variant, slice_width="7 minutes")
+        got += [(r.seq, r.metric) for r in out.collect()]
+        state = state.checkpoint()
+    assert sorted(got) == sorted(want)

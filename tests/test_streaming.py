@@ -30,7 +30,8 @@ def test_stream_late_row(spark):
         return jobs.to_parquet(jobs.window_mean(s, "id", "ts", "temp", "1 day", "1 second"), sink_w)()
 
     def alr():
-        return jobs.to_parquet(jobs.running_mean_alerts(jobs.file_stream(spark, inp, SCHEMA)), sink_a)()
+        return jobs.to_batches(jobs.file_stream(spark, inp, SCHEMA),
+                               jobs.carried(alerts.running_mean_step, sink_a, f"{root}/state", "ts"))()
 
     jobs.run_available_now(win, f"{root}/ck_w")
     jobs.run_available_now(alr, f"{root}/ck_a")
@@ -55,17 +56,45 @@ def test_stream_late_row(spark):
 
 def test_stream_equals_batch_alerts(spark):
     root = scratch_path(spark, "test/stream2")
-    items = [(T0 + dt.timedelta(minutes=i), v) for i, v in enumerate([20, 21, 30, 10, 27, 5, 40, 12])]
+    items = [(T0 + dt.timedelta(minutes=i), v) for i, v in enumerate([20, 21, 30, 10, 27, 5, 40, 12, float("inf"), 3])]
     df = _rows(spark, items)
-    jobs.stage(df.filter("seq < 3"), f"{root}/in")
-    jobs.stage(df.filter("seq >= 3"), f"{root}/in")
+    jobs.stage_in_order(df, f"{root}/in", "ts", parts=5, files=1)
     jobs.run_available_now(
-        lambda: jobs.to_parquet(jobs.running_mean_alerts(jobs.file_stream(spark, f"{root}/in", SCHEMA)),
-                                f"{root}/out")(), f"{root}/ck")
-    s = sorted((r.seq if hasattr(r, "seq") else None, r.temp, r.kind) for r in spark.read.parquet(f"{root}/out").collect())
-    b = alerts.running_mean_alerts(df.withColumn("ts", F.col("ts").cast("timestamp_ntz")), partitions=2)
-    bb = sorted((None, r.temp, r.kind) for r in b.collect())
-    assert [x[1:] for x in s] == [x[1:] for x in bb]
+        lambda: jobs.to_batches(jobs.file_stream(spark, f"{root}/in", SCHEMA, max_files_per_trigger=1),
+                                jobs.carried(alerts.running_mean_step, f"{root}/out", f"{root}/state", "ts"))(), f"{root}/ck")
+    out = spark.read.parquet(f"{root}/out")
+    assert out.select("batch").distinct().count() >= 4
+    cols = ["temp", "kind", "n_before", "sum_before", "message"]
+    assert sorted(map(tuple, out.select(*cols).collect())) == sorted(map(tuple, alerts.running_mean_alerts(df).select(*cols).collect()))
+
+
+def test_window_state_is_cleared(spark):
+    root = scratch_path(spark, "test/stream3")
+    days = [(T0 + dt.timedelta(days=d, minutes=i), 20 + i) for d in range(4) for i in range(3)]
+    jobs.stage_in_order(_rows(spark, days), f"{root}/in", "ts", parts=4, files=1)
+    late = _rows(spark, [(T0 + dt.timedelta(minutes=30), 500)]).withColumn("seq", F.lit(99).cast("long"))
+    jobs.stage(late.repartition(1), f"{root}/in")
+    step = jobs.carried(alerts.window_mean_step, f"{root}/out", f"{root}/state", "ts", delay="1 second", window="1 day")
+    jobs.run_available_now(lambda: jobs.to_batches(
+        jobs.file_stream(spark, f"{root}/in", SCHEMA, max_files_per_trigger=1), step)(), f"{root}/ck")
+    assert spark.read.parquet(f"{root}/out").count() == 0      # the late 500 met no state and was dropped
+    last = max((spark.read.parquet(f"{root}/state/clock/slot={k}").first()[0], k) for k in (0, 1))
+    for k in (0, 1):
+        starts = {r[0].date() for r in spark.read.parquet(f"{root}/state/keys/slot={k}").select("key.window_start").collect()}
+        assert starts <= {dt.date(2024, 1, 3), dt.date(2024, 1, 4)}
+    assert last[0].date() == dt.date(2024, 1, 4)
+
+
+def test_ttl_clears_idle_keys(spark):
+    root = scratch_path(spark, "test/stream4")
+    a = _rows(spark, [(T0, 20)])
+    b = _rows(spark, [(T0 + dt.timedelta(days=9), 21)]).withColumn("id", F.lit("s2"))
+    for part in (a, b):
+        jobs.stage(part.repartition(1), f"{root}/in")
+    step = jobs.carried(alerts.running_mean_step, f"{root}/out", f"{root}/state", "ts", ttl="2 days")
+    jobs.run_available_now(lambda: jobs.to_batches(
+        jobs.file_stream(spark, f"{root}/in", SCHEMA, max_files_per_trigger=1), step)(), f"{root}/ck")
+    assert [r[0] for r in spark.read.parquet(f"{root}/state/keys/slot=1").select("key.id").collect()] == ["s2"]
 
 
 def test_ddl_table_stream_watermark(spark):
