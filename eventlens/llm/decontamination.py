@@ -138,7 +138,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = _keyed(docs)
     windows = written(_windows(docs, anchors), "deco-windows")
     per_doc = windows.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("windows"))
-    texts = docs.join(per_doc, "doc").select("doc", "doc_id", _lower_words(F.col("text")).alias("words"), "windows")
+    # texts with candidates grow with the corpus: always meet them by a shuffle, hashing the narrow side
+    texts = docs.join(per_doc.hint("shuffle_hash"), "doc").select("doc", "doc_id", _lower_words(F.col("text")).alias("words"), "windows")
     cutouts = F.transform("windows", lambda x: F.struct(
         x["start"].alias("start"), x["n"].alias("n"), F.slice("words", x["start"] + 1, x["n"]).alias("words")))
     cut = texts.select("doc", "doc_id", F.explode(cutouts).alias("w")).select("doc", "doc_id", "w.*").distinct()
