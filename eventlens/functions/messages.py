@@ -20,6 +20,8 @@ SECOND_TIME = "第二次"          # second time
 TOO_HIGH = "过高"               # too high
 SIDE_TAG_6 = "6传感器id："       # sensor 6 id:
 SIDE_TAG_1 = "1传感器id："       # sensor 1 id:
+TOPN_RANK = "No"                # rank number
+MAIN_TAG, TAG_6, TAG_1 = "main", "tmp-output", "qa-output"   # outputs of the sensor split
 TOPN_RULE = "===================================="
 TOPN_TIME = "时间: "            # time:
 TOPN_ITEM = "  商品ID="         # item id =

@@ -146,14 +146,14 @@ def parse_user_behavior(lines: DataFrame, on_error: str = "fail"):
     return _finish(df, ["user_id", "item_id", "category_id", "behavior", "ts"], on_error)
 
 
-def parse_access_log(lines: DataFrame, on_error: str = "fail"):
+def parse_access_log(lines: DataFrame, on_error: str = "fail", keep: list[str] | None = None):
     """PRJ4: split on one space; [0] ip, [2] user, [3] time
     ``dd/MM/yyyy:HH:mm:ss``, [5] method, [6] url; the zone field [4] is
     ignored (times are read as UTC)."""
     safe = _check(on_error)
     arr = F.split(F.col("value"), " ")
     df = lines.select(
-        "value",
+        "value", *(keep or []),
         _field(arr, 0, safe).alias("ip"),
         _field(arr, 2, safe).alias("user_id"),
         _ts(_field(arr, 3, safe), LOG_TIME_FMT, safe).alias("ts"),

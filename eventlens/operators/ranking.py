@@ -27,7 +27,7 @@ def top_n_report(ranked: DataFrame, group: str, item: str, score: str, rank_name
     """The printed report of the reference, one text per window end, built
     from at most ``n`` rows per group."""
     from ..functions import messages as m
-    line = F.concat(F.lit("No"), F.col(rank_name).cast("string"), F.lit(":"), F.lit(m.TOPN_ITEM),
+    line = F.concat(F.lit(m.TOPN_RANK), F.col(rank_name).cast("string"), F.lit(":"), F.lit(m.TOPN_ITEM),
                     F.col(item).cast("string"), F.lit(m.TOPN_VIEWS), F.col(score).cast("string"))
     agg = ranked.groupBy(group).agg(
         F.array_sort(F.collect_list(F.struct(F.col(rank_name), line.alias("l")))).alias("_lines"))

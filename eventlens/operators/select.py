@@ -49,6 +49,6 @@ def sensor_alarm(df: DataFrame, id_col: str = "id") -> DataFrame:
     ``sensor_1`` to ``qa-output``, every element to main."""
     i = F.col(id_col)
     return route(df,
-                 {"tmp-output": i == "sensor_6", "qa-output": i == "sensor_1"},
-                 {"tmp-output": F.concat(F.lit(messages.SIDE_TAG_6), i),
-                  "qa-output": F.concat(F.lit(messages.SIDE_TAG_1), i)})
+                 {messages.TAG_6: i == "sensor_6", messages.TAG_1: i == "sensor_1"},
+                 {messages.TAG_6: F.concat(F.lit(messages.SIDE_TAG_6), i),
+                  messages.TAG_1: F.concat(F.lit(messages.SIDE_TAG_1), i)})

@@ -116,12 +116,23 @@ def daily_avg_incremental(spark, sf_dir):
     return _round(windows.window_mean(t, "id", "ts", "temp", "1 day", incremental=True), "sum_value", "avg_value")
 
 
-@query("daily_report_text")
+DAILY_REPORT = f"""
+WITH {TEMP_CTE},
+d AS (SELECT id, date_trunc('day', ts) AS window_start,
+             CAST(sum(CAST(temp AS DECIMAL(28, 10))) AS DOUBLE) / count(*) AS mean FROM temp GROUP BY 1, 2)
+SELECT id, window_start, chr(10) || '{messages.REPORT_TITLE}' || chr(10) || '{messages.REPORT_TEMP}'
+       || strftime(window_start, '%Y-%m-%d') || ' ' || CAST(round(CAST(CAST(mean AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DECIMAL(28, 2)) || chr(10) AS report
+FROM d
+"""
+
+
+@query("daily_report_text", DAILY_REPORT)
 def daily_report_text(spark, sf_dir):
-    """FN10-12: the printed report, ``报表结果：/温度：<day> <mean %.2f>``
-    (Java half-up rounding, so no DuckDB oracle)."""
-    t = stand_ins.temperature_readings(spark, sf_dir)
-    m = windows.window_mean(t, "id", "ts", "temp", "1 day")
+    """FN10-12: the printed report, day label and mean with two decimals
+    (half up), from exact sums."""
+    t = stand_ins.temperature_readings(spark, sf_dir).withColumn("temp", F.col("temp").cast(alerts.SUM_TYPE))
+    m = windows.window_mean(t, "id", "ts", "temp", "1 day", incremental=True)
+    m = m.withColumn("avg_value", F.col("sum_value").cast("double") / F.col("n"))
     return m.select("id", "window_start", messages.daily_report("window_start", "avg_value").alias("report"))
 
 
@@ -144,7 +155,7 @@ def window_mean_alerts(spark, sf_dir):
 def _breach(spark, sf_dir, variant):
     q = stand_ins.quality_readings(spark, sf_dir)
     return alerts.breach_alerts(q, "id", "ts", order=["l_orderkey", "l_linenumber", "l_partkey"],
-                                rate=0.1, variant=variant)
+                                rate=0.1, variant=variant, slice_width="30 days")
 
 
 @query("breach_alerts_keep", _breach_oracle("keep"))
@@ -153,6 +164,21 @@ def breach_alerts_keep(spark, sf_dir):
     return _breach(spark, sf_dir, "keep")
 
 
+def _breach_text() -> str:
+    label = "CASE metric " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in messages.METRIC_LABEL.items()) + " END"
+    line = lambda t, v, nth: f"id || ',' || {t} || ',' || {label} || ':' || {v} || ' {nth}' || {label} || '{messages.TOO_HIGH}'"
+    return line("first_time", "first_value", messages.FIRST_TIME) + " || chr(10) || " + line("second_time", "second_value", messages.SECOND_TIME)
+
+
+@query("breach_alert_text", f"SELECT id, ts, l_orderkey, l_linenumber, l_partkey, metric, {_breach_text()} AS message FROM ({_breach_oracle('keep')}) x")
+def breach_alert_text(spark, sf_dir):
+    """FN12 + SNK3: the printed two-line breach alert."""
+    q = stand_ins.quality_readings(spark, sf_dir)
+    out = alerts.breach_alerts(q, "id", "ts", order=["l_orderkey", "l_linenumber", "l_partkey"], rate=0.1,
+                               variant="keep", with_message=True, slice_width="30 days")
+    return out.select("id", "ts", "l_orderkey", "l_linenumber", "l_partkey", "metric", "message")
+
+
 @query("breach_alerts_drop", _breach_oracle("drop"))
 def breach_alerts_drop(spark, sf_dir):
     """ALR4: two readings in a row over the baseline, drop variant."""

@@ -15,11 +15,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import messages
+from ..functions import messages, parsing
 from ..functions.timecols import add_seconds, to_ntz, to_stream_time
 from ..operators import alerts
 from ..session import scratch_path
-from ..sources import files, stand_ins
+from ..sources import files, stand_ins, tables
 from ..streaming import jobs
 from ..streaming.processors import RunningSumProcessor
 from . import hot, iot, tables_sql
@@ -82,21 +82,24 @@ def stream_late_data(spark, sf_dir):
 
 @query("stream_hot_items", hot.HOT_ITEMS)
 def stream_hot_items(spark, sf_dir):
-    """Entry point B on a stream: ascending watermark, 1 h / 5 min counts,
+    """Entry point B on a stream, from CSV lines: parsed, the watermark moved
+    by every row, page views counted per 1 h / 5 min window through panes,
     top 3 per window end ranked in ``foreachBatch``."""
     inp, sink, ck = jobs.fresh(spark, "hot_items")
-    ub = stand_ins.user_behavior(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    jobs.stage_in_order(ub, inp, "ts", files=FILES)
+    ub = stand_ins.user_behavior(spark, sf_dir)
+    lines = ub.select(F.concat_ws(",", "user_id", "item_id", "category_id", "behavior",
+                                  stand_ins.epoch_seconds("ts")).alias("value"), F.col("ts").cast("timestamp").alias("ts"))
+    jobs.stage_in_order(lines, inp, "ts", files=FILES, fmt="text", columns=["value"])
 
     def writer():
-        # every row moves the watermark, only views are counted
-        s = jobs.file_stream(spark, inp, ub.schema, max_files_per_trigger=FILES).withWatermark("ts", "0 seconds")
-        counts = jobs.window_counts_panes(s.filter(F.col("behavior") == "pv"), "item_id", "ts", "1 hour", "5 minutes")
+        log = parsing.parse_user_behavior(files.read_lines(spark, inp, stream=True, max_files_per_trigger=FILES))
+        log = log.withColumn("ts", to_stream_time("ts")).withWatermark("ts", "0 seconds")
+        counts = jobs.window_counts_panes(log.filter(F.col("behavior") == "pv"), "item_id", "ts", "1 hour", "5 minutes")
         return jobs.to_batches(counts, jobs.rank_each_batch(sink, "window_end", "cnt", 3, "item_id",
                                                             ["window_end", "rk", "item_id", "cnt"]))()
 
     jobs.run_available_now(writer, ck)
-    jobs.stage(_sentinel_like(ub, behavior="pv", ts=FAR_FUTURE, item_id=-1), inp)
+    spark.createDataFrame([("0,-1,0,pv,4102444800",)], "value string").write.mode("append").text(inp)
     jobs.run_available_now(writer, ck)
     return _ntz(spark.read.parquet(sink).select("window_end", "rk", "item_id", "cnt"), "window_end")
 
@@ -229,15 +232,71 @@ def stream_tagged_split(spark, sf_dir):
     s = stand_ins.sensor_readings(spark, sf_dir).select("id", "ts", "temper", "seq")
     jobs.stage_in_order(s.withColumn("at", F.timestamp_seconds("ts")), inp, "at", files=FILES)
     i = F.col("id")
-    routes = {"tmp-output": i == "sensor_6", "qa-output": i == "sensor_1"}
-    msgs = {"tmp-output": F.concat(F.lit(messages.SIDE_TAG_6), i),
-            "qa-output": F.concat(F.lit(messages.SIDE_TAG_1), i)}
+    routes = {messages.TAG_6: i == "sensor_6", messages.TAG_1: i == "sensor_1"}
+    msgs = {messages.TAG_6: F.concat(F.lit(messages.SIDE_TAG_6), i),
+            messages.TAG_1: F.concat(F.lit(messages.SIDE_TAG_1), i)}
     jobs.run_available_now(
         lambda: jobs.to_batches(jobs.file_stream(spark, inp, s.schema, max_files_per_trigger=FILES), jobs.tagged_sink(sink, routes, msgs))(), ck)
     out = spark.read.parquet(sink)
     return out.select("id", "ts", "temper", "seq", F.col("tag").cast("string").alias("tag"), "message")
 
 
+EVENT_TIME_HOURS = """
+SELECT 'sensor_' || CAST(user_id AS VARCHAR) AS id, date_trunc('hour', ts) AS window_start, count(*) AS n
+FROM events GROUP BY 1, 2
+"""
+
+
+@query("stream_event_time_table", EVENT_TIME_HOURS)
+def stream_event_time_table(spark, sf_dir):
+    """SRC5 + PRJ11 + STR4/5 + FN16 on a stream: the CSV table declared with a
+    computed row time and a 1-second watermark, counted per sensor and hour."""
+    root = scratch_path(spark, "stream/event_time_table")
+    inp, sink, ck = f"{root}/input", f"{root}/sink", f"{root}/checkpoint"
+    lines = stand_ins.sensor_csv_lines(spark, sf_dir)
+    at = F.timestamp_seconds(F.split("value", ",")[1].cast("bigint"))
+    jobs.stage_in_order(lines.withColumn("at", at), inp, "at", files=FILES, fmt="text", columns=["value"])
+
+    def writer():
+        tables.create_csv_table_ddl(spark, "sensor_stream", inp, "id string, ts bigint, temperature double",
+                                    computed={"rt": "to_timestamp(from_unixtime(ts))"}, watermark=("rt", "1 second"),
+                                    stream=True, max_files_per_trigger=FILES)
+        counts = spark.sql("SELECT id, window(rt, '1 hour').start AS window_start, count(*) AS n "
+                           "FROM sensor_stream GROUP BY id, window(rt, '1 hour')")
+        return jobs.to_parquet(counts, sink)()
+
+    jobs.run_available_now(writer, ck)
+    flush = spark.createDataFrame([("__sentinel__,4102444800,0.0",)], "value string")
+    flush.write.mode("append").text(inp)
+    jobs.run_available_now(writer, ck)
+    return _ntz(spark.read.parquet(sink), "window_start").select("id", "window_start", "n")
+
+
+URL_LOG_FLUSH = "0.0.0.0 - - 01/01/2100:00:00:00 +0000 GET /__sentinel__"
+
+
+@query("stream_hot_urls", hot.HOT_URLS)
+def stream_hot_urls(spark, sf_dir):
+    """STR9 + AGG14 + RNK2 on a stream, from access-log lines: parsed, counted
+    per 1 min / 5 s window through panes, top 3 per window end."""
+    inp, sink, ck = jobs.fresh(spark, "hot_urls")
+    lines = stand_ins.access_log_lines(spark, sf_dir)
+    parsed = parsing.parse_access_log(lines.withColumn("line", F.col("value")), keep=["line"])
+    jobs.stage_in_order(parsed.withColumnRenamed("line", "value").withColumn("ts", to_stream_time("ts")), inp, "ts", files=FILES, fmt="text", columns=["value"])
+
+    def writer():
+        log = parsing.parse_access_log(files.read_lines(spark, inp, stream=True, max_files_per_trigger=FILES))
+        log = log.withColumn("ts", to_stream_time("ts")).withWatermark("ts", "0 seconds")
+        counts = jobs.window_counts_panes(log, "url", "ts", "1 minute", "5 seconds")
+        return jobs.to_batches(counts, jobs.rank_each_batch(sink, "window_end", "cnt", 3, "url",
+                                                            ["window_end", "rk", "url", "cnt"]))()
+
+    jobs.run_available_now(writer, ck)
+    spark.createDataFrame([(URL_LOG_FLUSH,)], "value string").write.mode("append").text(inp)
+    jobs.run_available_now(writer, ck)
+    return _ntz(spark.read.parquet(sink).select("window_end", "rk", "url", "cnt"), "window_end")
+
+
 @query("stream_group_count", tables_sql.GROUP_COUNT)
 def stream_group_count(spark, sf_dir):
     """AGG7 + SRC3 on a stream: CSV file stream with the declared schema,

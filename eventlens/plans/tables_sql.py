@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.timecols import to_ntz
+from ..functions import messages
+from ..functions.timecols import add_seconds, to_ntz
 from ..operators import select, windows
 from ..session import scratch_path
 from ..sources import files, stand_ins, tables
@@ -44,7 +45,7 @@ SELECT 'sensor_' || CAST(user_id AS VARCHAR) AS id, count(*) AS cnt FROM events
 """
 
 
-def sensor_csv_table(spark, sf_dir, name: str = "inputTable"):
+def sensor_csv_table(spark, sf_dir, name: str = "sensors"):
     """SRC3 + SRC4: the sensor CSV written as a file, read back with the
     declared schema and registered under a name."""
     path = files.write_lines(stand_ins.sensor_csv_lines(spark, sf_dir), scratch_path(spark, "csv/sensor"))
@@ -62,8 +63,8 @@ def select_filter_df(spark, sf_dir):
 @query("select_filter_sql", SENSOR_1)
 def select_filter_sql(spark, sf_dir):
     """PRJ8: the same as SQL over the registered table."""
-    sensor_csv_table(spark, sf_dir, "inputTable")
-    return spark.sql("select id, temperature from inputTable where id = 'sensor_1'")
+    sensor_csv_table(spark, sf_dir, "sensors")
+    return spark.sql("SELECT id, temperature FROM sensors WHERE id = 'sensor_1'")
 
 
 @query("event_time_table", EVENT_TIME)
@@ -73,18 +74,29 @@ def event_time_table(spark, sf_dir):
     1-second watermark (applied when the table is read as a stream)."""
     _, path = sensor_csv_table(spark, sf_dir, "sensor_src")
     df = tables.create_csv_table_ddl(
-        spark, "dataTable", path, "id string, ts bigint, temperature double",
+        spark, "sensors_rt", path, "id string, ts bigint, temperature double",
         computed={"rt": "to_timestamp(from_unixtime(ts))"}, watermark=("rt", "1 second"))
     return df.select("id", "ts", "temperature", to_ntz("rt").alias("rt"))
 
 
-@query("proctime_table")
+PROC_TIME = """
+SELECT 'sensor_' || CAST(user_id AS VARCHAR) AS id, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS ts,
+       value AS temperature, true AS pt_is_now
+FROM events
+"""
+
+
+@query("proctime_table", PROC_TIME)
 def proctime_table(spark, sf_dir):
-    """STR6 + FN15: the DDL table with ``pt AS PROCTIME()``; the value is the
-    query's processing time, so only the rows are checked."""
+    """STR6 + FN15: the DDL table with a processing-time column ``pt``; its
+    value is the time of the query, so it is checked to lie between the call
+    and an hour later."""
     _, path = sensor_csv_table(spark, sf_dir, "sensor_src")
-    return tables.create_csv_table_ddl(spark, "dataTablePt", path, "id string, ts bigint, temperature double",
-                                       computed={"pt": "current_timestamp()"})
+    started = spark.sql("SELECT current_timestamp()").first()[0]
+    df = tables.create_csv_table_ddl(spark, "sensors_pt", path, "id string, ts bigint, temperature double",
+                                     computed={"pt": "current_timestamp()"})
+    in_time = F.col("pt").isNotNull() & (F.col("pt") >= F.lit(started)) & (F.col("pt") < add_seconds(F.lit(started), 3600))
+    return df.select("id", "ts", "temperature", in_time.alias("pt_is_now"))
 
 
 @query("elements_filter", ELEMENTS_6)

@@ -38,7 +38,7 @@ def register(df: DataFrame, name: str) -> DataFrame:
 def create_csv_table_ddl(spark: SparkSession, name: str, path: str, columns: str,
                          computed: dict[str, str] | None = None,
                          watermark: tuple[str, str] | None = None,
-                         stream: bool = False) -> DataFrame:
+                         stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """SQL DDL form of a CSV file table with computed columns.
 
     ``columns`` is a DDL column list (``"id string, ts bigint, temperature double"``),
@@ -52,7 +52,10 @@ def create_csv_table_ddl(spark: SparkSession, name: str, path: str, columns: str
     """
     extra = ", ".join(f"{expr} AS {col}" for col, expr in (computed or {}).items())
     if stream:
-        raw_df = spark.readStream.schema(columns).option("sep", ",").option("mode", "FAILFAST").csv(path)
+        reader = spark.readStream.schema(columns).option("sep", ",").option("mode", "FAILFAST")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        raw_df = reader.csv(path)
         df = raw_df.selectExpr("*", *[f"{expr} AS {col}" for col, expr in (computed or {}).items()])
         if watermark:
             df = df.withWatermark(*watermark)

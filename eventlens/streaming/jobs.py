@@ -23,7 +23,8 @@ def stage(df: DataFrame, path: str, mode: str = "append") -> str:
     return path
 
 
-def stage_in_order(df: DataFrame, path: str, ts: str, parts: int = 6, files: int = 2) -> str:
+def stage_in_order(df: DataFrame, path: str, ts: str, parts: int = 6, files: int = 2, fmt: str = "parquet",
+                   columns: list[str] | None = None) -> str:
     """Write rows as ``parts`` groups of ``files`` files, one group after
     another in event-time order; with ``maxFilesPerTrigger=files`` a stream
     reads one group per trigger, in that order."""
@@ -33,7 +34,8 @@ def stage_in_order(df: DataFrame, path: str, ts: str, parts: int = 6, files: int
     for high in [*dict.fromkeys(cuts), None]:
         part = df if low is None else df.where(at > low)
         part = part if high is None else part.where(at <= high)
-        part.repartition(files).write.mode("append").parquet(path)
+        part = part.select(*(columns or part.columns)).repartition(files)
+        part.write.mode("append").format(fmt).save(path)
         low = high
     return path
 
