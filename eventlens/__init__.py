@@ -21,3 +21,11 @@ __version__ = "0.1.0"
 
 __all__ = ["alerts", "build_session", "files", "parsing", "ranking", "scratch_path", "select", "tables",
            "udf", "windows"]
+
+# functions and processors reach Python workers by value: executors need the
+# third-party packages, but no copy of this one
+import sys as _sys  # noqa: E402
+
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

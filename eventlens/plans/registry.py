@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import apply_sql_defaults
+from ..session import own_session
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -18,8 +18,7 @@ def query(name: str, oracle: str | None = None):
     """Register a query and, when it is SQL-expressible, its DuckDB oracle."""
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            apply_sql_defaults(spark)
-            return fn(spark, sf_dir)
+            return fn(own_session(spark), sf_dir)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

@@ -29,10 +29,12 @@ SESSION_DEFAULTS = {
 
 
 def build_session(master: str | None = None, app: str = "eventlens",
-                  shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, extra: dict | None = None,
+                  scratch: str | None = None) -> SparkSession:
     """Builder used by tests, bench and scripts.  On a cluster the
-    submitter's settings win; only unset keys get our defaults."""
+    submitter's settings win; only unset keys get our defaults.  ``scratch``
+    is the shared folder for intermediate tables; a local master may leave it
+    out and gets a temporary one."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -44,8 +46,10 @@ def build_session(master: str | None = None, app: str = "eventlens",
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
-        conf.setdefault("spark.driver.memory", "16g")
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="eventlens-ckpt-")
+        conf.setdefault("spark.driver.memory", "8g")
+        scratch = scratch or tempfile.mkdtemp(prefix="eventlens-ckpt-")
+    if scratch:
+        conf["spark.checkpoint.dir"] = scratch
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -63,6 +67,17 @@ def apply_sql_defaults(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's, with the same settings but for those
+    results depend on: the caller's session keeps its own."""
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if k.startswith("spark.sql.") and own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    apply_sql_defaults(own)
+    return own
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
