@@ -89,7 +89,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     ranges as ``first-last`` and the text that stays."""
     runs = written(repeated_runs(docs), "lines-runs").select(F.col("doc_id").alias("r_id"), F.col("h").alias("r_h"), "runs")
     rows = _rows(docs)
-    rows = rows.join(runs, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("h") == F.col("r_h")), "left")
+    # documents with runs grow with the corpus: always meet them by a shuffle, hashing the narrow side
+    rows = rows.join(runs.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("h") == F.col("r_h")), "left")
     lines = F.split(text_of(), "\n")
     gone = lambda i: F.exists("runs", lambda r: (r["first"] <= i) & (r["last"] >= i))
     counted = lambda x: F.size(F.filter(x, lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))).cast("bigint")
