@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
            .where("low < high").select("key", "low"))
     slots = written(keyed.join(low, "key"), "near-slots")
     ids = written(slots.select(F.col("rep").alias("doc_id")).distinct(), "near-ids")
-    sets = written(texts.join(ids, "doc_id", "left_semi").select("doc_id", shingles_of(F.col("text")).alias("shingles")), "near-sets")
+    sets = written(texts.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").select("doc_id", shingles_of(F.col("text")).alias("shingles")), "near-sets")
 
     # a document with several texts is one vertex
     links = (member.groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("u"))

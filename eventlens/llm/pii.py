@@ -178,7 +178,7 @@ def _term_spans(docs: DataFrame, found: DataFrame, disclosing: DataFrame) -> Dat
     strongest = (held.join(disclosing, "entity").groupBy("key", "term").agg(F.max("disclosure").alias("disclosure")))
     per_text = written(strongest.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct(
         "term", F.when(F.col("disclosure") >= REMOVE, TERM_KINDS[1]).otherwise(TERM_KINDS[0])))).alias("actions")), "pii-actions")
-    texts = _rows(docs).select("key", "text").join(per_text, "key").dropDuplicates(["key"])
+    texts = _rows(docs).select("key", "text").join(per_text.hint("shuffle_hash"), "key").dropDuplicates(["key"])
     texts = texts.join(found.select("key", "spans").dropDuplicates(["key"]), "key")
     words = _matches(F.col("text"), TERM, "term")
     named = F.transform(words, lambda w: F.struct(
