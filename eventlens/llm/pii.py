@@ -187,12 +187,16 @@ def _term_spans(docs: DataFrame, found: DataFrame, disclosing: DataFrame) -> Dat
     return texts.select("key", F.filter(named, lambda w: w["kind"].isNotNull() & clear(w)).alias("terms"))
 
 
+def _of_kind(spans: str, kind: str) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == kind)
+
+
 def spans_of(docs: DataFrame) -> DataFrame:
     """doc_id, key, ``spans`` (base) and ``all_spans`` (with term spans) of every row."""
     found = found_spans(docs)
     terms = written(_term_spans(docs, found, disclosures(docs, found)), "pii-term-spans")
     terms = terms.select(F.col("key").alias("t_key"), "terms")
-    of_kind = [F.filter("terms", lambda s, k=k: s["kind"] == k) for k in TERM_KINDS]
+    of_kind = [_of_kind("terms", k) for k in TERM_KINDS]
     every = F.when(F.col("terms").isNull(), F.col("spans")).otherwise(F.concat("spans", *of_kind))
     return (found.join(terms, found.key == terms.t_key, "left")
             .select("doc_id", "key", "spans", every.alias("all_spans")))
@@ -204,7 +208,7 @@ def _joined(spans: str) -> Column:
 
 def digests(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, counts of base spans, their digest, and all spans."""
-    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
+    count = lambda k: F.size(_of_kind("spans", k)).cast("bigint").alias(f"n_{k}")
     return spans_of(docs).select("doc_id", *[count(k) for k, _, _ in KINDS],
                                  F.sha2(_joined("spans"), 256).alias("base_sha256"), _joined("all_spans").alias("spans"))
 
