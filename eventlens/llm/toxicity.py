@@ -116,7 +116,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, seed
     base = -50.0 if share == 0 else 50.0 if share == 1 else math.log(share / (1 - share))
     if not 0 < share < 1:
         return Machine({}, base, np.zeros(0), np.zeros((0, factors)))
-    count = lambda keep: np.bincount(np.concatenate([r for r, k in zip(rows, keep) if k] or [[]]).astype("i8"), minlength=1 << HASH_BITS)
+    count = lambda keep: np.bincount(np.concatenate([r for r, k in zip(rows, keep) if k] or [np.zeros(0, "i4")]), minlength=1 << HASH_BITS)
     pos, neg = count(y == 1), count(y == 0)
     chosen = np.flatnonzero((pos + neg >= MIN_DOCS) & (_tie(pos, neg, int(y.sum()), int((1 - y).sum())) >= MIN_TIE))
     index = {int(c): i for i, c in enumerate(chosen)}
@@ -163,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = 12_000) -> Machi
 
     table = (texts.select("doc_id", "toxic", "text").mapInArrow(buckets, "doc_id bigint, toxic int, buckets array<int>")
              .toArrow().sort_by("doc_id").combine_chunks())
-    rows = [np.array(r.values.to_numpy() if r.is_valid else [], "i8") for r in table.column("buckets")]
+    rows = [np.array(r.values.to_numpy() if r.is_valid else [], "i4") for r in table.column("buckets")]
     return fit(rows, table.column("toxic").to_numpy())
 
 
