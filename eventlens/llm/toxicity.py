@@ -1,11 +1,12 @@
 """Toxicity scores by a factorization machine over hashed terms.
 
-Terms of a text are its lower-cased words (``\\w+``) and the first
-``PREFIX`` characters of longer ones (inflected forms share them), hashed
-into ``2^HASH_BITS`` buckets; a text has a bucket or not.  From a bounded
-sample of labelled rows (``train_docs`` rows, smallest hashes first) the
-buckets that are tied to the label are chosen by their log-likelihood ratio,
-and a factorization machine is fitted to them:
+Terms of a text are its lower-cased words (``\\w+``), the first ``PREFIXES``
+characters of longer ones (inflected forms share them), and these once more
+where a word stands twice or oftener, hashed into ``2^HASH_BITS`` buckets; a
+text has a bucket or not.  From a bounded sample of labelled rows (about
+``train_docs``, chosen by hash) the buckets that are tied to the label are
+chosen by their log-likelihood ratio, and a factorization machine is fitted
+to them:
 
     logit = b + sum_i w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,11 +40,12 @@ from pyspark.sql import functions as F
 from .common import bounded_sample, text_of, with_defaults, written
 
 HASH_BITS = 20
-PREFIX = 5
+PREFIXES = (4, 5)
 FACTORS = 8
-MIN_DOCS = 4
-#: log-likelihood ratio (chi-square scale, one degree) a bucket needs
-MIN_TIE = 18.0
+MIN_DOCS = 3
+#: how many buckets without a tie may be chosen by chance, about: a bucket
+#: needs a log-likelihood ratio (chi-square scale) of 2 ln(buckets / CHANCE)
+CHANCE = 20
 STEPS, RATE, L2 = 300, 0.05, 2e-4
 THRESHOLD = 0.3
 SCORES = "doc_id bigint, score double"
@@ -60,7 +63,8 @@ class Terms:
         self.word, self.memo, self.wanted, self.limit = re.compile(r"\w+"), {}, wanted, limit
 
     def _of_word(self, w: str) -> tuple[int, ...]:
-        terms = (w, w[:PREFIX] + "*") if len(w) > PREFIX else (w,)
+        word, mark = w.rstrip("+"), w[len(w.rstrip("+")):]
+        terms = (w, *(f"{word[:k]}*{mark}" for k in PREFIXES if len(word) > k))
         buckets = (zlib.crc32(t.encode()) >> (32 - HASH_BITS) for t in terms)
         if self.wanted is None:
             return tuple(buckets)
@@ -70,12 +74,13 @@ class Terms:
         memo, out = self.memo, set()
         if len(memo) > self.limit:
             memo.clear()
-        for w in set(self.word.findall(text.lower())):
-            got = memo.get(w)
-            if got is None:
-                got = memo[w] = self._of_word(w)
-            if got:
-                out.update(got)
+        for w, n in Counter(self.word.findall(text.lower())).items():
+            for term in (w,) if n == 1 else (w, w + "+"):  # a plus is no word character
+                got = memo.get(term)
+                if got is None:
+                    got = memo[term] = self._of_word(term)
+                if got:
+                    out.update(got)
         return out
 
 
@@ -118,7 +123,9 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, seed
         return Machine({}, base, np.zeros(0), np.zeros((0, factors)))
     count = lambda keep: np.bincount(np.concatenate([r for r, k in zip(rows, keep) if k] or [np.zeros(0, "i4")]), minlength=1 << HASH_BITS)
     pos, neg = count(y == 1), count(y == 0)
-    chosen = np.flatnonzero((pos + neg >= MIN_DOCS) & (_tie(pos, neg, int(y.sum()), int((1 - y).sum())) >= MIN_TIE))
+    seen = pos + neg >= MIN_DOCS
+    least = max(8.0, 2 * math.log(max(int(seen.sum()), 1) / CHANCE))
+    chosen = np.flatnonzero(seen & (_tie(pos, neg, int(y.sum()), int((1 - y).sum())) >= least))
     index = {int(c): i for i, c in enumerate(chosen)}
     m, n = len(chosen), len(y)
     place = np.full(1 << HASH_BITS, -1)
