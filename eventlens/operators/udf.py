@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PandasFn = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -57,6 +58,18 @@ def user_aggregate(df: DataFrame, keys: list[str], partial: PandasFn, combine: P
     return partials.repartition(*keys).mapInPandas(phase2, out_schema)
 
 
+def process_windows(df: DataFrame, keys: list[str], ts: str, size: str, fn, out_schema: str) -> DataFrame:
+    """UDF3: a user function over the elements of every (keys, window).
+
+    ``fn(key, batches)`` gets the key's values with the window's start last,
+    and the elements as an iterator of bounded batches, and yields result
+    frames; annotate both iterators as ``Iterator[pd.DataFrame]``.  A window
+    of a key is one task's work, but never in memory as a whole; what can be
+    merged should be a :func:`user_aggregate`."""
+    windowed = df.withColumn("window_start", F.window(ts, size).start)
+    return windowed.groupBy(*keys, "window_start").applyInPandas(fn, out_schema)
+
+
 # ---- the reference's AvgTempFunction as a user aggregate (sum, count) -> mean
 def mean_partial(keys: list[str], value: str) -> PandasFn:
     def f(pdf: pd.DataFrame) -> pd.DataFrame:

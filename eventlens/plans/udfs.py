@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import Any
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..operators import udf
@@ -26,3 +30,25 @@ def udf_grouped_mean(spark, sf_dir):
         "id string, window_start timestamp_ntz, sum_value double, n bigint",
         "id string, window_start timestamp_ntz, n bigint, avg_value double")
     return out.select("id", "window_start", "n", F.round("avg_value", 6).alias("avg_value"))
+
+
+WINDOW_RANGE = """
+SELECT event_type AS id, date_trunc('day', ts) AS window_start, count(*) AS n, max(value) - min(value) AS spread
+FROM events GROUP BY event_type, date_trunc('day', ts)
+"""
+
+
+def value_spread(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Count and range of a window's temperatures."""
+    n, low, high = 0, float("inf"), float("-inf")
+    for b in batches:
+        n, low, high = n + len(b), min(low, b["temp"].min()), max(high, b["temp"].max())
+    yield pd.DataFrame({"id": [key[0]], "window_start": [key[1]], "n": [n], "spread": [high - low]})
+
+
+@query("udf_window_process", WINDOW_RANGE)
+def udf_window_process(spark, sf_dir):
+    """UDF3: a function over the elements of every (sensor, day)."""
+    t = stand_ins.temperature_readings(spark, sf_dir).select("id", "ts", "temp")
+    return udf.process_windows(t, ["id"], "ts", "1 day", value_spread,
+                               "id string, window_start timestamp_ntz, n bigint, spread double")
