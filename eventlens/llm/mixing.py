@@ -76,26 +76,29 @@ def _sized(docs: DataFrame, columns: list[str]) -> DataFrame:
         F.conv(F.substring(seeded, 1, 15), 16, 10).cast("bigint").alias("rank"))
 
 
-def _streamed(rows: DataFrame) -> DataFrame:
-    """Adds source_size, target and the words before each row in its source."""
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    n_all = sizes.groupBy().agg(F.sum("n")).first()[0] or 0
+def _streamed(rows: DataFrame, sizes: DataFrame, shards_of) -> tuple[DataFrame, DataFrame]:
+    """Adds source_size, target and the words before each row in its source;
+    also ``shards_of(sources)`` of the table of sources.  ``sizes`` holds
+    source, size and rank of all rows."""
+    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    n_all = totals.groupBy().agg(F.sum("n")).first()[0] or 0
     buckets = parts_for(n_all, BUCKET_DOCS)
     # ranks are uniform in 60 bits: buckets are ranges of the rank
-    rows = rows.withColumn("bucket", F.floor(F.col("rank") / F.lit((1 << 60) / buckets)))
+    bucket = F.floor(F.col("rank") / F.lit((1 << 60) / buckets))
     group = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = (rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+    before = (sizes.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
               .select(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket"),
                       F.coalesce(F.sum("words").over(group), F.lit(0)).alias("b_before")))
     own = Window.partitionBy("source", "bucket").orderBy("rank", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("in_bucket", F.coalesce(F.sum("size").over(own), F.lit(0)))
-    targets = written(source_targets(sizes), "mix-targets")
-    targets = targets.select(F.col("source").alias("t_source"), "source_size", "target")
+    rows = rows.withColumn("bucket", bucket).withColumn("in_bucket", F.coalesce(F.sum("size").over(own), F.lit(0)))
+    targets = written(source_targets(totals), "mix-targets")
     before = written(before, "mix-buckets")
-    return (rows.join(before, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
-            .join(targets, F.col("source").eqNullSafe(F.col("t_source")))
+    known = targets.select(F.col("source").alias("t_source"), "source_size", "target")
+    rows = (rows.join(before, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
+            .join(known, F.col("source").eqNullSafe(F.col("t_source")))
             .withColumn("before", F.col("b_before") + F.col("in_bucket"))
             .drop("b_source", "b_bucket", "b_before", "in_bucket", "bucket", "t_source"))
+    return rows, shards_of(targets)
 
 
 class Tree:
@@ -132,11 +135,10 @@ class Tree:
         return first, have
 
 
-def _blocks(streamed: DataFrame, block_words: int, shard_words: int) -> DataFrame:
+def _blocks(targets: DataFrame, block_words: int, shard_words: int) -> DataFrame:
     """(source, block, shard) of every block of the mix."""
-    spark = streamed.sparkSession
-    sources = (streamed.groupBy("source").agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"))
-               .orderBy(F.col("source").asc_nulls_last()).collect())
+    spark = targets.sparkSession
+    sources = targets.orderBy(F.col("source").asc_nulls_last()).collect()
     # a stream's last taken copy may start beyond the target only by half a document
     quotas = [int(r["target"] // block_words) + 1 if r["source_size"] else 0 for r in sources]
     shards = parts_for(int(sum(r["target"] for r in sources)), shard_words)
@@ -159,9 +161,12 @@ def mix(docs: DataFrame, columns: list[str] | None = None, block_words: int = 40
         shard_words: int = 1 << 22) -> DataFrame:
     """Per row of ``docs``: ``row`` (its ``columns``, by default all), size, source_size, target and ``shards``,
     the output shard of each copy that the mix takes (none, one or two)."""
-    streamed = written(_streamed(_sized(docs, docs.columns if columns is None else columns)), "mix-streams")
-    blocks = written(_blocks(streamed, block_words, shard_words), "mix-blocks")
-    out = streamed
+    if columns is None:  # texts stay where they are; only their sizes are written
+        rows = _sized(docs, docs.columns)
+        sizes = written(rows.select("source", "size", "rank"), "mix-sizes")
+    else:
+        rows = sizes = written(_sized(docs, columns), "mix-sizes")
+    out, blocks = _streamed(rows, sizes, lambda t: written(_blocks(t, block_words, shard_words), "mix-blocks"))
     for k in range(MAX_EPOCHS):
         place = F.col("before") + k * F.col("source_size")
         taken = (F.col("size") > 0) & (place + F.col("size") / 2 <= F.col("target"))

@@ -81,13 +81,18 @@ def _without(text: Column, chars: str) -> Column:
     return F.char_length(F.translate(text, chars, "")).cast("bigint")
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``row`` (the given row), base counts, verdict of the base rules, group
-    keys and the statistic vector."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``row`` (the given row), its text and group keys."""
     have = set(docs.columns)
     key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) if c in have else F.lit("null")
-    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_of().alias("text"),
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_of().alias("text"),
                        key("lang").alias("k_lang"), key("source").alias("k_source"))
+
+
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id and key of every row, base counts, verdict of the base rules,
+    group keys and the statistic vector."""
+    base = _keyed(docs).withColumn("key", _key()).withColumn("doc_id", F.col("row.doc_id"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(WHITE)) != "")
     counts = let(words_of(F.col("text")), lambda w: F.struct(
         F.size(w).cast("bigint").alias("n_words"), repeat_words(w).alias("n_repeat_words")))
@@ -95,10 +100,10 @@ def measured(docs: DataFrame) -> DataFrame:
         F.size(x).cast("bigint").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("dup")))
     n = F.char_length("text").cast("bigint")
     wide = base.select(
-        "row", "k_lang", "k_source", counts.alias("c"), line_counts.alias("l"),
+        "doc_id", "key", "k_lang", "k_source", counts.alias("c"), line_counts.alias("l"),
         _without(F.col("text"), WHITE).alias("word_chars"), (n - _without(F.col("text"), SYMBOLS)).alias("n_symbols"),
         (n - _without(F.col("text"), UPPER)).alias("n_upper"), (n - _without(F.col("text"), "0123456789")).alias("n_digits"))
-    flat = wide.select("row", "k_lang", "k_source", F.col("c.n_words").alias("n_words"), "word_chars", "n_symbols",
+    flat = wide.select("doc_id", "key", "k_lang", "k_source", F.col("c.n_words").alias("n_words"), "word_chars", "n_symbols",
                        F.col("l.dup").alias("n_dup_lines"), F.col("c.n_repeat_words").alias("n_repeat_words"),
                        F.col("l.n").alias("n_lines"), "n_upper", "n_digits")
     share = lambda a, b: F.sqrt(F.col(a) / F.greatest(F.col(b), F.lit(1)))
@@ -106,7 +111,7 @@ def measured(docs: DataFrame) -> DataFrame:
               share("n_dup_lines", "n_lines"), share("n_repeat_words", "n_words"),
               share("n_upper", "word_chars"), share("n_digits", "word_chars"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    return flat.select("row", "k_lang", "k_source", *BASE, failed.alias("base_failed"),
+    return flat.select("doc_id", "key", "k_lang", "k_source", *BASE, failed.alias("base_failed"),
                        *[v.alias(x) for v, x in zip(vector, VECTOR)])
 
 
@@ -218,19 +223,29 @@ def estimates_of(vectors: DataFrame) -> DataFrame:
     return now
 
 
-def judged(docs: DataFrame, carry: bool = False) -> DataFrame:
-    """Per row of ``docs``: doc_id (or, with ``carry``, the whole ``row``),
-    the base counts, base_failed and kept."""
-    rows = measured(docs).withColumn("k_all", F.lit(1))
-    rows = rows if carry else rows.withColumn("row", F.struct(F.col("row.doc_id").alias("doc_id")))
-    rows = written(rows, "quality-vectors")
+def _key() -> Column:
+    """A row's identity for the verdict: all that it depends on."""
+    return F.xxhash64(F.col("row.doc_id"), "text", "k_lang", "k_source")
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, the base counts, base_failed and kept;
+    also ``key`` (:func:`_key`) and the squared distance ``d2``."""
+    rows = written(measured(docs).withColumn("k_all", F.lit(1)), "quality-vectors")
     vectors = rows.where("not base_failed").select("k_all", "k_lang", "k_source", *VECTOR)
     far = _with_distance(rows, estimates_of(vectors), LEVELS[-1])
     inside = F.coalesce(F.col("d2") <= _chi2_quantile(1 - REJECT, P), F.lit(True))
-    out = far.select("row", *BASE, "base_failed", (~F.col("base_failed") & inside).alias("kept"), "d2")
-    return out if carry else out.select("row.doc_id", *BASE, "base_failed", "kept")
+    return far.select("doc_id", *BASE, "base_failed", (~F.col("base_failed") & inside).alias("kept"), "key", "d2")
+
+
+def verdicts(docs: DataFrame) -> DataFrame:
+    """doc_id, the base counts, base_failed and kept of every row."""
+    return judged(docs).drop("key", "d2")
 
 
 def keep_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no rule rejects."""
-    return judged(docs, carry=True).where("kept").select("row.*")
+    gone = written(judged(docs).where("not kept").select(F.col("key").alias("gone_key")).distinct(), "quality-gone")
+    # rejected rows grow with the corpus: always meet the texts by a shuffle, hashing the narrow side
+    rows = _keyed(docs)
+    return rows.join(gone.hint("shuffle_hash"), _key() == F.col("gone_key"), "left_anti").select("row.*")

@@ -27,8 +27,8 @@ def tokenizer_file(name: str) -> str:
 @query
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict on every document."""
-    from .quality_rules import judged
-    return judged(table(spark, sf_dir, "documents"))
+    from .quality_rules import verdicts
+    return verdicts(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -16,7 +16,7 @@ def test_base_counts_and_planted_outliers(spark):
     junk = {240: " ".join(w + "***" for w in _prose(g, 90).split()), 241: _prose(g, 90).upper() + " ABC" * 9,
             242: " ".join(str(g.randint(10**6, 10**9)) for _ in range(80)), 243: " ".join("m" * 40 + str(i) for i in range(70))}
     rows += [(i, t, "en", "s") for i, t in junk.items()] + [(244, "short text", "en", "s"), (245, "a b c " * 60, "en", "s"), (246, None, None, None)]
-    out = {r.doc_id: r for r in q.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    out = {r.doc_id: r for r in q.verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     for i, t, *_ in rows:
         r, e = out[i], brute.quality_base(t)
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == e
@@ -58,7 +58,7 @@ def test_estimates_match_concentration_steps_in_numpy(spark):
 
 
 def test_messy_and_empty(messy, messy_rows, empty):
-    out = q.judged(messy).collect()
+    out = q.verdicts(messy).collect()
     assert sorted(((r.doc_id is None, r.doc_id or 0), r.n_words) for r in out) == sorted(
         ((i is None, i or 0), len(brute.words(t))) for i, t, *_ in messy_rows)
     kept = q.keep_documents(messy)
