@@ -163,7 +163,7 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
              .groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= MIN_TEXTS))
     pairs = written(pairs.join(entities, "entity"), "pii-pairs")
     wanted = written(pairs.select("term").distinct(), "pii-terms")
-    counts = (_rows(docs).select("key", F.explode(_terms(F.col("text"))).alias("term"))
+    counts = (_rows(docs).select(F.xxhash64("key").alias("key"), F.explode(_terms(F.col("text"))).alias("term"))
               .join(wanted, "term").distinct().groupBy("term").agg(F.count("*").alias("n_t")))
     n = F.lit(float(texts or 0))
     share = F.log(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t"))) / F.log(n / F.col("n_c"))
