@@ -2,11 +2,12 @@
 
 A page is cut into blocks at block-level tags.  Each block has its word
 count and link density (share of words inside links), the same of its two
-neighbours, whether it is a heading, and its place: inside the page's main
-container, outside it or in a container that is never main text (by tag, or
-by a word of its class or id), or in a page without one.  A small decision tree, trained
-here by Gini impurity on ``LABELLED``, tells main text from the rest; the
-chosen blocks are joined in page order.
+neighbours, whether it is a heading, and its place: in a container that is
+never main text (by tag, or by a word of its class or id), beside the page's
+main container, in a page without one, or inside it.  An article or main
+element within a container that is never main text is no main container.  A
+small decision tree, trained here by Gini impurity on ``LABELLED``, tells
+main text from the rest; the chosen blocks are joined in page order.
 
 Pages are streamed through one function per partition, without a shuffle;
 a task holds one batch of pages.
@@ -50,9 +51,9 @@ BROKEN = re.compile(r"<(?=[a-zA-Z/])[^>]*+(>|\Z)")
 WORD = re.compile(r"[^\s]+")
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "place")
-#: place: inside a container that is never main text or outside the page's
-#: main container; page without a main container; inside it
-OUTSIDE, UNKNOWN, INSIDE = 0, 1, 2
+#: place: inside a container that is never main text; beside the page's main
+#: container; page without a main container; inside it
+OUTSIDE, BESIDE, UNKNOWN, INSIDE = 0, 1, 2, 3
 
 #: blocks of pages without a main container, labelled by hand: FEATURES but
 #: for the place, then 1 for main text
@@ -67,9 +68,12 @@ FLAT = (
     (2, 1.00, 0, 0.00, 40, 0.00, 0, 0), (6, 1.00, 33, 0.00, 60, 0.00, 0, 0), (15, 0.90, 0, 0.00, 75, 0.00, 0, 0),
     (3, 0.70, 80, 0.00, 35, 0.00, 0, 0), (5, 1.00, 2, 0.00, 120, 0.00, 0, 0), (40, 0.80, 60, 0.00, 30, 0.00, 0, 0),
 )
+#: words from which a block with few links beside the main container is main text
+BESIDE_WORDS = 30
 #: the whole table: blocks of any such shape are main text inside the main
-#: container and are not outside it
+#: container, are not where text is never main, and must be longer beside it
 LABELLED = (tuple((*r[:-1], UNKNOWN, r[-1]) for r in FLAT)
+            + tuple((*r[:-1], BESIDE, int(r[-1] and r[0] >= BESIDE_WORDS)) for r in FLAT)
             + tuple((*r[:-1], place, int(place == INSIDE)) for r in FLAT for place in (OUTSIDE, INSIDE)))
 
 
@@ -180,12 +184,12 @@ def blocks_of(page: str) -> list[dict]:
 def main_text(page: str, tree) -> str:
     """The blocks that the tree takes for main text, one per line."""
     blocks = blocks_of(page)
-    has_main = any(b["in_main"] for b in blocks)
+    has_main = any(b["in_main"] and not b["never"] for b in blocks)
     edge = {"words": 0, "links": 0.0}
     chosen = []
     for before, b, after in zip([edge, *blocks], blocks, [*blocks[1:], edge]):
         features = (b["words"], b["links"], before["words"], before["links"], after["words"], after["links"],
-                    b["heading"], OUTSIDE if b["never"] else INSIDE if b["in_main"] else OUTSIDE if has_main else UNKNOWN)
+                    b["heading"], OUTSIDE if b["never"] else INSIDE if b["in_main"] else BESIDE if has_main else UNKNOWN)
         if decide(tree, features):
             chosen.append(b["text"])
     return "\n".join(chosen)

@@ -27,6 +27,22 @@ def test_pages(page, text):
     assert h.main_text(page or "", TREE) == text
 
 
+@pytest.mark.parametrize("box", [
+    "<div class='comments'><article class='comment'><p>Nice</p></article><article class='comment'><p>Not so nice</p></article></div>",
+    "<aside><article><p>A teaser with a few words</p></article></aside>",
+    "<div class='related'><main><p>A teaser</p></main></div>",
+])
+def test_an_article_in_a_box_is_no_main_container(box):
+    for page in (f"<body><div><p>{LONG}</p><p>{LONG}</p></div>{box}</body>", f"<body>{box}<div><p>{LONG}</p><p>{LONG}</p></div></body>"):
+        assert h.main_text(page, TREE) == f"{LONG}\n{LONG}"
+
+
+def test_one_card_does_not_turn_off_the_text_beside_it():
+    more = " ".join([LONG, LONG])
+    page = f"<article><p>A card</p></article><div><p>{more}</p><p>{more}</p><p><a href=x>{more}</a></p><p>short</p></div>"
+    assert h.main_text(page, TREE) == f"A card\n{more}\n{more}"
+
+
 def test_long_malformed_page_is_linear():
     assert h.main_text("<article><p>" + "<a b='" * 3000 + "x " * 100_000, TREE) is not None
 
