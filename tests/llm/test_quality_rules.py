@@ -64,3 +64,14 @@ def test_messy_and_empty(messy, messy_rows, empty):
     kept = q.keep_documents(messy)
     assert kept.columns == messy.columns and kept.count() == sum(r.kept for r in out)
     assert q.keep_documents(empty).count() == 0
+
+
+def test_a_third_of_one_source_is_junk(spark):
+    g = random.Random(4)
+    rows = [(i, _prose(g, g.randint(60, 200)), "en", "a" if i < 600 else "b") for i in range(1800)]
+    junk = {i for i in range(600) if i % 3 == 0}
+    rows = [(i, "".join(c + "*" * (g.random() < .56) for c in t) if i in junk else t, k, s) for i, t, k, s in rows]
+    out = q.verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    kept = {r.doc_id for r in out if r.kept}
+    assert not kept & junk
+    assert len(kept) >= .99 * (len(rows) - len(junk))
