@@ -12,12 +12,15 @@ sought in windows of ``n`` words:
 2. Every window and item gets a 64-bit SimHash of its words.  The bits are
    cut into ``RADIUS + 1`` blocks; fingerprints within ``RADIUS`` bits agree
    in at least one block, so joining on (length, block, value) finds every
-   such pair; it is emitted at its first equal block only.
+   such pair; it is emitted at its first equal block only.  A window aligned to an
+   item's own anchor is a pair at any distance: words lost at an edge cost
+   few shingles but many bits.
 3. Exact similarity: weight of shared shingles over the weight of the item
    plus that of the window's other shingles (which weigh as unseen ones).
 
-A window at similarity 0.8 differs from its item in a few words only, about
-five of 64 bits; ``RADIUS`` is three standard deviations beyond that.
+A window at similarity 0.8 with one or two other words in the middle differs
+from its item in about five of 64 bits; ``RADIUS`` is three standard
+deviations beyond that.  It does not decide on an item's own windows.
 
 Only DataFrame functions are used.  Documents are read twice and only
 narrow rows are shuffled; benchmark tables are written first, so their file
@@ -106,7 +109,7 @@ def benchmark_items(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
               .withColumn("all", F.sum("weight").over(Window.partitionBy("item")))
               .where(F.col("before") <= (1 - SIMILAR) * F.col("all") + 1e-9).select("item", "h"))
     # every place of an anchor in its item aligns a window
-    anchors = spots.join(chosen, ["item", "h"]).select("h", "n", "at").distinct()
+    anchors = spots.join(chosen, ["item", "h"]).select("h", "n", "at", "item").distinct()
     return items, written(anchors, "deco-anchors")
 
 
@@ -116,7 +119,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _windows(docs: DataFrame, anchors: DataFrame) -> DataFrame:
-    """(doc, start, n) of every window aligned to an anchor."""
+    """(doc, start, n, item) of every window aligned to an item's anchor."""
     sizes = [r[0] for r in anchors.select(F.least("n", F.lit(SHINGLE_WORDS)).alias("k")).distinct().collect()]
     words = docs.select("doc", _lower_words(F.col("text")).alias("words"))
     found = None
@@ -124,10 +127,10 @@ def _windows(docs: DataFrame, anchors: DataFrame) -> DataFrame:
         spots = words.select("doc", F.size("words").alias("size"), F.posexplode(_shingles(F.col("words"), k)).alias("pos", "h"))
         own = anchors.where(F.least("n", F.lit(SHINGLE_WORDS)) == k)
         hits = spots.join(own, "h").select("doc", F.greatest(F.lit(0), F.least(
-            F.col("pos") - F.col("at"), F.col("size") - F.col("n"))).alias("start"), "n")
+            F.col("pos") - F.col("at"), F.col("size") - F.col("n"))).alias("start"), "n", "item")
         found = hits if found is None else found.union(hits)
     if found is None:
-        return docs.select("doc", F.lit(0).alias("start"), F.lit(0).alias("n")).where(F.lit(False))
+        return docs.select("doc", F.lit(0).alias("start"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("item")).where(F.lit(False))
     return found.distinct()
 
 
@@ -137,7 +140,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items, anchors = benchmark_items(benchmark)
     docs = _keyed(docs)
     windows = written(_windows(docs, anchors), "deco-windows")
-    per_doc = windows.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("windows"))
+    per_doc = windows.groupBy("doc").agg(F.collect_set(F.struct("start", "n")).alias("windows"))
     # texts with candidates grow with the corpus: always meet them by a shuffle, hashing the narrow side
     texts = docs.join(per_doc.hint("shuffle_hash"), "doc").select("doc", "doc_id", _lower_words(F.col("text")).alias("words"), "windows")
     cutouts = F.transform("windows", lambda x: F.struct(
@@ -155,7 +158,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
              .join(sought, (F.col("n") == F.col("i_n")) & (F.col("b") == F.col("i_b")) & (F.col("v") == F.col("i_v"))
                    & (F.bit_count(differ) <= RADIUS) & (_first_equal(differ) == F.col("b")))
              .select("doc", "start", "n", "item"))
-    pairs = written(pairs, "deco-pairs")
+    pairs = written(pairs.union(windows.select("doc", "start", "n", "item")).distinct(), "deco-pairs")
 
     both = pairs.join(cut.select("doc", "doc_id", "start", "n", "shingles"), ["doc", "start", "n"]).join(
         items.select("item", "item_id", "weight", "weights", "unseen"), "item")

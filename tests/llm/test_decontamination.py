@@ -52,3 +52,28 @@ def test_messy_and_empty(spark, messy, messy_rows, empty):
     assert kept.columns == messy.columns and kept.count() == len(messy_rows) - 9
     assert deco.contaminated(empty, bench).count() == 0
     assert deco.keep_documents(messy, bench.limit(0)).count() == len(messy_rows)
+
+
+def test_passages_cut_at_an_edge(spark):
+    from pyspark.sql import functions as F
+    g = random.Random(8)
+    word = lambda: "".join(g.choice("abcdef") for _ in range(5))
+    items = [(k, " ".join(word() for _ in range(59 if k % 2 else 39))) for k in range(80)]
+    docs, cut = [], []
+    for k, t in items:
+        w = t.split()
+        lost = 6 if len(w) == 59 else 3
+        front = [word() for _ in range(lost)]
+        w = front + w[lost:] if k % 4 < 2 else w[:-lost] + front
+        docs.append((k, " ".join([word() for _ in range(30)] + w + [word() for _ in range(30)])))
+        cut.append((t.split(), w))
+    differ = deco._simhash(F.col("a")).bitwiseXOR(deco._simhash(F.col("b")))
+    far = spark.createDataFrame(cut, "a array<string>, b array<string>").where(F.bit_count(differ) > deco.RADIUS).count()
+    assert far > 0
+    print("beyond the radius:", far)
+    got = deco.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                            spark.createDataFrame(items, "item_id long, text string")).collect()
+    expected = {(d, i): s for d, t in docs for i, s in brute.item_matches(t, items).items()}
+    assert len(expected) == len(items)
+    assert {(r.doc_id, r.item_id) for r in got} == expected.keys()
+    assert all(abs(r.similarity - expected[r.doc_id, r.item_id]) < 1e-6 for r in got)
