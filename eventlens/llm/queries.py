@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import table
@@ -127,3 +128,75 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import scored, train
     docs = table(spark, sf_dir, "documents")
     return scored(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    from .token_counts import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=1024)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all vectors."""
+    from .hard_negatives import mined
+    relabel = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mined(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, relabel=relabel)
+
+
+ORACLES["op12_hard_negatives"] = """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      [floor(256 * x::DOUBLE) for x in embedding] AS v
+               FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                 AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+                 list_inner_product(a.v, r.v)::BIGINT AS score
+          FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+    p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+    n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)::INT AS rank
+          FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+               AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all vectors."""
+    from .vector_codes import digests
+    return digests(table(spark, sf_dir, "embeddings"))
+
+
+def _lloyd_sql(rounds: int = 4) -> str:
+    """The rounds of op13 as one chain of tables."""
+    steps = ["""
+    k AS MATERIALIZED (SELECT vec_id, label, [floor(1024 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    parts AS MATERIALIZED (SELECT vec_id, label, p AS part, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS x
+              FROM k, range(4) t(p)),
+    ids AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k QUALIFY entry < 256),
+    b0 AS MATERIALIZED (SELECT part, entry, x AS c FROM parts JOIN ids USING (vec_id))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+    a{r} AS MATERIALIZED (SELECT vec_id, label, part, x, min(struct_pack(
+                d := list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c), e := entry)) AS m
+              FROM parts JOIN b{r} USING (part) GROUP BY ALL)""")
+        if r < rounds:
+            steps.append(f"""
+    m{r} AS (SELECT part, m.e AS entry, unnest(x) AS x, unnest(range(len(x))) AS place FROM a{r}),
+    s{r} AS (SELECT part, entry, list(q ORDER BY place) AS c
+             FROM (SELECT part, entry, place, floor(sum(x) / count(*)) AS q FROM m{r} GROUP BY ALL) GROUP BY ALL),
+    b{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(s{r}.c, b{r}.c) AS c
+                              FROM b{r} LEFT JOIN s{r} USING (part, entry))""")
+    return "WITH " + ",".join(steps) + f""",
+    sha AS (SELECT sha256(string_agg(list_aggregate([x::BIGINT::VARCHAR for x in c], 'string_agg', ','), ','
+                                     ORDER BY part, entry)) AS h FROM b{rounds}),
+    r AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', m.e), '' ORDER BY part) AS code,
+                 sum(m.d)::BIGINT AS error FROM a{rounds} GROUP BY vec_id)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+    FROM r, sha"""
+
+
+ORACLES["op13_vector_codes"] = _lloyd_sql()
