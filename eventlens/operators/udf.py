@@ -25,29 +25,36 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timecols import add_seconds, duration_seconds
+
 PandasFn = Callable[[pd.DataFrame], pd.DataFrame]
 
 COMBINE_EVERY_ROWS = 1_000_000
 
 
+def _folded(batches: Iterator[pd.DataFrame], partial: PandasFn, combine: PandasFn) -> Iterator[pd.DataFrame]:
+    """The accumulators of one partition's batches."""
+    pending, rows, limit = [], 0, COMBINE_EVERY_ROWS
+    for b in batches:
+        if len(b) == 0:
+            continue
+        p = partial(b)
+        pending.append(p)
+        rows += len(p)
+        if rows > limit:        # fold only when partials pile up (amortised linear)
+            pending = [combine(pd.concat(pending, ignore_index=True))]
+            rows = len(pending[0])
+            limit = max(COMBINE_EVERY_ROWS, 2 * rows)
+    if pending:
+        yield combine(pd.concat(pending, ignore_index=True))
+
+
 def user_aggregate(df: DataFrame, keys: list[str], partial: PandasFn, combine: PandasFn,
                    finish: PandasFn, partial_schema: str, out_schema: str) -> DataFrame:
     keys = list(keys)
 
     def phase1(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pending, rows, limit = [], 0, COMBINE_EVERY_ROWS
-        for b in batches:
-            if len(b) == 0:
-                continue
-            p = partial(b)
-            pending.append(p)
-            rows += len(p)
-            if rows > limit:        # fold only when partials pile up (amortised linear)
-                pending = [combine(pd.concat(pending, ignore_index=True))]
-                rows = len(pending[0])
-                limit = max(COMBINE_EVERY_ROWS, 2 * rows)
-        if pending:
-            yield combine(pd.concat(pending, ignore_index=True))
+        yield from _folded(batches, partial, combine)
 
     def phase2(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [b for b in batches if len(b)]
@@ -58,6 +65,41 @@ def user_aggregate(df: DataFrame, keys: list[str], partial: PandasFn, combine: P
     return partials.repartition(*keys).mapInPandas(phase2, out_schema)
 
 
+def pane_partials(df: DataFrame, keys: list[str], ts: str, slide: str, partial: PandasFn, combine: PandasFn,
+                  partial_schema: str) -> DataFrame:
+    """Accumulators per (keys, ``pane``) of every input partition."""
+    paned = df.withColumn("pane", F.window(ts, slide).start.cast("timestamp_ntz"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _folded(batches, partial, combine)
+    return paned.mapInPandas(run, partial_schema)
+
+
+def user_aggregate_windows(df: DataFrame, keys: list[str], ts: str, size: str, slide: str, partial: PandasFn,
+                           combine: PandasFn, finish: PandasFn, partial_schema: str, out_schema: str) -> DataFrame:
+    """UDF2 + UDF5 over sliding windows: a user's accumulators per (keys,
+    ``pane``), a pane being one slide long, are folded where the rows are,
+    combined per pane, and only then merged into the ``size / slide`` windows
+    that hold the pane.  ``partial`` and ``combine`` group by the keys and
+    ``pane``; ``finish`` gets accumulators with ``window_end`` instead."""
+    if duration_seconds(size) % duration_seconds(slide):
+        raise ValueError("the slide must divide the size")
+    partials = pane_partials(df, keys, ts, slide, partial, combine, partial_schema)
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [b for b in batches if len(b)]
+        if parts:
+            yield combine(pd.concat(parts, ignore_index=True))
+
+    def fold_and_finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in fold(batches):
+            yield finish(b.rename(columns={"pane": "window_end"}))
+    panes = partials.repartition(*keys, "pane").mapInPandas(fold, partial_schema)
+    places = F.sequence(F.lit(duration_seconds(slide)), F.lit(duration_seconds(size)), F.lit(duration_seconds(slide)))
+    fanned = (panes.withColumn("_k", F.explode(places)).withColumn("pane", add_seconds(F.col("pane"), F.col("_k"))).drop("_k"))
+    return fanned.repartition(*keys, "pane").mapInPandas(fold_and_finish, out_schema)
+
+
 def process_windows(df: DataFrame, keys: list[str], ts: str, size: str, fn, out_schema: str) -> DataFrame:
     """UDF3: a user function over the elements of every (keys, window).
 

@@ -1,31 +1,34 @@
 """Streaming forms, run to completion with ``availableNow`` into files under
 the shared folder and read back.
 
-Inputs are staged from the driver tables as parquet files.  Windowed
-aggregates in append mode only emit a window once the watermark passes its
-end, and a bounded input never moves the watermark past its last window
-(hazard H1), so those queries stage a second file after the first run: one
-far-future row that closes every real window (it opens a window of its own
-that never closes, so it is not in the result).  With everything emitted,
-the results equal the batch ones and share their oracles.
+Inputs are staged from the driver tables as files in event-time order.
+Windowed operators in append mode return a window once the watermark passes
+its end, and a bounded input never moves the watermark past its last window
+(hazard H1): what is still open after the last trigger is read from the
+stream's state store (``jobs.open_windows`` and the ``timers.open_...``
+functions), as the reference's end of input ends all windows.  With these
+rows the results equal the batch ones and share their oracles.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import Any
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import messages, parsing
 from ..functions.timecols import add_seconds, to_ntz, to_stream_time
-from ..operators import alerts
+from ..operators import alerts, ranking
 from ..session import scratch_path
 from ..sources import files, stand_ins, tables
-from ..streaming import jobs
+from ..streaming import jobs, timers
 from ..streaming.processors import RunningSumProcessor
-from . import hot, iot, tables_sql
+from . import hot, iot, tables_sql, udfs
 from .registry import query
 
-FAR_FUTURE = "2100-01-01 00:00:00"
 FILES = 2          # files per trigger
 
 
@@ -33,15 +36,6 @@ def _temps(spark, sf_dir):
     return stand_ins.temperature_readings(spark, sf_dir).withColumn("ts", to_stream_time("ts"))
 
 
-def _sentinel_like(df, **values):
-    """One far-future row with ``df``'s schema (the first row of ``df`` with
-    the given columns replaced)."""
-    row = df.limit(1)
-    for c, v in values.items():
-        row = row.withColumn(c, F.lit(v).cast(df.schema[c].dataType))
-    return row.select(*df.columns)
-
-
 def _ntz(df, *cols):
     return df.select(*[to_ntz(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -56,20 +50,21 @@ def _daily_avg_stream(spark, sf_dir, late_row: bool):
         return jobs.to_parquet(jobs.window_mean(s, "id", "ts", "temp", "1 day", "1 second"), sink)()
 
     jobs.run_available_now(writer, ck)
-    extra = _sentinel_like(t, id="__sentinel__", ts=FAR_FUTURE, seq=-1)
     if late_row:
         # the earliest reading again, arriving after its day was closed
-        extra = extra.unionByName(t.orderBy("ts", "seq").limit(1).withColumn("seq", F.lit(-2).cast("bigint")))
-    jobs.stage(extra, inp)
-    jobs.run_available_now(writer, ck)
-    out = spark.read.parquet(sink)
-    return _ntz(out.select("id", "window_start", "window_end", "n", F.round("avg_value", 6).alias("avg_value")),
-                "window_start", "window_end")
+        jobs.stage(t.orderBy("ts", "seq").limit(1).withColumn("seq", F.lit(-2).cast("bigint")), inp)
+        jobs.run_available_now(writer, ck)
+    cols = ["id", "window_start", "window_end", "n", "avg_value"]
+    still = jobs.open_windows(spark, ck).select("id", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                                                F.col("count").alias("n"), (F.col("sum") / F.col("count")).alias("avg_value"))
+    out = spark.read.parquet(sink).select(*cols).unionByName(still)
+    return _ntz(out.withColumn("avg_value", F.round("avg_value", 6)), "window_start", "window_end")
 
 
 @query("stream_daily_avg", iot.DAILY_AVG)
 def stream_daily_avg(spark, sf_dir):
-    """STR1/2/7 + AGG2 on a stream: 1-day tumbling mean, 1 s watermark."""
+    """STR1/2/7 + AGG2 + STR17 on a stream: 1-day tumbling mean, 1 s
+    watermark; the last days are flushed from the state."""
     return _daily_avg_stream(spark, sf_dir, late_row=False)
 
 
@@ -80,28 +75,42 @@ def stream_late_data(spark, sf_dir):
     return _daily_avg_stream(spark, sf_dir, late_row=True)
 
 
+def _with_open_top(spark, sink, ck, key, size, slide):
+    """The top 3 written so far and those of the windows still open."""
+    cols = ["window_end", "rk", key, "cnt"]
+    still = ranking.top_n(jobs.open_window_counts(spark, ck, key, size, slide), "window_end", "cnt", 3, tie=key)
+    return _ntz(spark.read.parquet(sink).select(*cols).unionByName(still.select(*cols)), "window_end")
+
+
+def _staged_views(spark, sf_dir, inp):
+    """User behaviour as CSV lines in event-time order, and the stream of
+    counts per item and sliding window over them."""
+    ub = stand_ins.user_behavior(spark, sf_dir)
+    lines = ub.select(F.concat_ws(",", "user_id", "item_id", "category_id", "behavior",
+                                  stand_ins.epoch_seconds("ts")).alias("value"), F.col("ts").cast("timestamp").alias("ts"))
+    jobs.stage_in_order(lines, inp, "ts", files=FILES, fmt="text", columns=["value"])
+
+    def counts():
+        log = parsing.parse_user_behavior(files.read_lines(spark, inp, stream=True, max_files_per_trigger=FILES))
+        log = log.withColumn("ts", to_stream_time("ts")).withWatermark("ts", "0 seconds")
+        return jobs.window_counts_panes(log.filter(F.col("behavior") == "pv"), "item_id", "ts", "1 hour", "5 minutes")
+    return counts
+
+
 @query("stream_hot_items", hot.HOT_ITEMS)
 def stream_hot_items(spark, sf_dir):
     """Entry point B on a stream, from CSV lines: parsed, the watermark moved
     by every row, page views counted per 1 h / 5 min window through panes,
     top 3 per window end ranked in ``foreachBatch``."""
     inp, sink, ck = jobs.fresh(spark, "hot_items")
-    ub = stand_ins.user_behavior(spark, sf_dir)
-    lines = ub.select(F.concat_ws(",", "user_id", "item_id", "category_id", "behavior",
-                                  stand_ins.epoch_seconds("ts")).alias("value"), F.col("ts").cast("timestamp").alias("ts"))
-    jobs.stage_in_order(lines, inp, "ts", files=FILES, fmt="text", columns=["value"])
+    counts = _staged_views(spark, sf_dir, inp)
 
     def writer():
-        log = parsing.parse_user_behavior(files.read_lines(spark, inp, stream=True, max_files_per_trigger=FILES))
-        log = log.withColumn("ts", to_stream_time("ts")).withWatermark("ts", "0 seconds")
-        counts = jobs.window_counts_panes(log.filter(F.col("behavior") == "pv"), "item_id", "ts", "1 hour", "5 minutes")
-        return jobs.to_batches(counts, jobs.rank_each_batch(sink, "window_end", "cnt", 3, "item_id",
+        return jobs.to_batches(counts(), jobs.rank_each_batch(sink, "window_end", "cnt", 3, "item_id",
                                                             ["window_end", "rk", "item_id", "cnt"]))()
 
     jobs.run_available_now(writer, ck)
-    spark.createDataFrame([("0,-1,0,pv,4102444800",)], "value string").write.mode("append").text(inp)
-    jobs.run_available_now(writer, ck)
-    return _ntz(spark.read.parquet(sink).select("window_end", "rk", "item_id", "cnt"), "window_end")
+    return _with_open_top(spark, sink, ck, "item_id", "1 hour", "5 minutes")
 
 
 def _alert_stream(spark, kind, staged, ts, step, cols, ntz_cols, **clock):
@@ -266,13 +275,8 @@ def stream_event_time_table(spark, sf_dir):
         return jobs.to_parquet(counts, sink)()
 
     jobs.run_available_now(writer, ck)
-    flush = spark.createDataFrame([("__sentinel__,4102444800,0.0",)], "value string")
-    flush.write.mode("append").text(inp)
-    jobs.run_available_now(writer, ck)
-    return _ntz(spark.read.parquet(sink), "window_start").select("id", "window_start", "n")
-
-
-URL_LOG_FLUSH = "0.0.0.0 - - 01/01/2100:00:00:00 +0000 GET /__sentinel__"
+    still = jobs.open_windows(spark, ck).select("id", F.col("window.start").alias("window_start"), F.col("count").alias("n"))
+    return _ntz(spark.read.parquet(sink).select("id", "window_start", "n").unionByName(still), "window_start")
 
 
 @query("stream_hot_urls", hot.HOT_URLS)
@@ -292,9 +296,7 @@ def stream_hot_urls(spark, sf_dir):
                                                             ["window_end", "rk", "url", "cnt"]))()
 
     jobs.run_available_now(writer, ck)
-    spark.createDataFrame([(URL_LOG_FLUSH,)], "value string").write.mode("append").text(inp)
-    jobs.run_available_now(writer, ck)
-    return _ntz(spark.read.parquet(sink).select("window_end", "rk", "url", "cnt"), "window_end")
+    return _with_open_top(spark, sink, ck, "url", "1 minute", "5 seconds")
 
 
 @query("stream_group_count", tables_sql.GROUP_COUNT)
@@ -313,3 +315,97 @@ def stream_group_count(spark, sf_dir):
     jobs.run_available_now(writer, ck)
     return spark.read.parquet(sink)
 
+
+
+@query("stream_timer_topn", hot.HOT_ITEMS)
+def stream_timer_topn(spark, sf_dir):
+    """STR13 + UDF6: the reference's own form of the top-N.  Counts of a window
+    end wait in list state (its best three, the rest is let go at once), an
+    event-time timer at the window's end returns them and clears the state."""
+    inp, sink, ck = jobs.fresh(spark, "timer_topn")
+    counts = _staged_views(spark, sf_dir, inp)
+
+    def best(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.sort_values(["cnt", "item_id"], ascending=[False, True]).head(3)
+
+    def top(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = best(pd.concat(list(batches), ignore_index=True))
+        yield pd.DataFrame({"window_end": key[-1], "rk": range(1, len(kept) + 1), "item_id": kept["item_id"].tolist(),
+                            "cnt": kept["cnt"].tolist()})
+
+    def writer():
+        c = counts().select("window", "item_id", "cnt")
+        return jobs.to_parquet(timers.collect_until(c, [], "window", top, TOPN, keep=best), sink)()
+
+    jobs.run_available_now(writer, ck)
+    waiting = timers.open_collected(spark, ck, [], top, TOPN)
+    return _with_open_top(spark, sink, ck, "item_id", "1 hour", "5 minutes").unionByName(waiting)
+
+
+TOPN = "window_end timestamp_ntz, rk int, item_id bigint, cnt bigint"
+SPREAD = "id string, window_start timestamp_ntz, n bigint, spread double"
+
+
+@query("stream_window_process", udfs.WINDOW_RANGE)
+def stream_window_process(spark, sf_dir):
+    """UDF3 on a stream: the elements of every (sensor, day) wait in list
+    state and go to the user's function, in bounded batches, when a timer
+    ends the day."""
+    inp, sink, ck = jobs.fresh(spark, "window_process")
+    t = _temps(spark, sf_dir)
+    jobs.stage_in_order(t, inp, "ts", files=FILES)
+
+    def spread(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from udfs.value_spread((key[0], key[1] - pd.Timedelta("1 day")), batches)
+
+    def writer():
+        s = jobs.file_stream(spark, inp, t.schema, max_files_per_trigger=FILES).withWatermark("ts", "1 second")
+        s = s.select("id", F.window("ts", "1 day").alias("window"), "temp")
+        return jobs.to_parquet(timers.collect_until(s, ["id"], "window", spread, SPREAD), sink)()
+
+    jobs.run_available_now(writer, ck)
+    return spark.read.parquet(sink).unionByName(timers.open_collected(spark, ck, ["id"], spread, SPREAD))
+
+
+@query("stream_udf_sliding_mean", udfs.SLIDING_MEAN)
+def stream_udf_sliding_mean(spark, sf_dir):
+    """UDF2 + UDF5 on a stream: a user's (sum, count) accumulators as keyed
+    state per 5-minute pane, merged into 1 h windows when these end."""
+    inp, sink, ck = jobs.fresh(spark, "udf_sliding_mean")
+    t = _temps(spark, sf_dir)
+    jobs.stage_in_order(t, inp, "ts", files=FILES)
+    mean = udfs.sliding_mean_functions()
+
+    def writer():
+        s = jobs.file_stream(spark, inp, t.schema, max_files_per_trigger=FILES).withWatermark("ts", "1 second")
+        return jobs.to_parquet(timers.aggregate_windows(s.select("id", "ts", "temp"), ["id"], "ts", "1 hour", "5 minutes", **mean), sink)()
+
+    jobs.run_available_now(writer, ck)
+    still = timers.open_aggregates(spark, ck, ["id"], "1 hour", "5 minutes", mean["combine"], mean["finish"], mean["out_schema"])
+    out = spark.read.parquet(sink).unionByName(still)
+    return out.withColumn("avg_value", F.round("avg_value", 6))
+
+
+PROCTIME_COUNTS = "SELECT event_type AS id, count(*) AS n, CAST(1 AS BIGINT) AS times FROM events GROUP BY event_type"
+
+
+@query("stream_proctime_counts", PROCTIME_COUNTS)
+def stream_proctime_counts(spark, sf_dir):
+    """STR6 on a stream: readings per sensor type and second of processing
+    time.  Which window a reading falls into is up to the clock, so the
+    result is what does not depend on it: readings per type over all windows,
+    those the clock ended and those still open, each of which came once."""
+    inp, sink, ck = jobs.fresh(spark, "proctime_counts")
+    t = _temps(spark, sf_dir)
+    jobs.stage_in_order(t, inp, "ts", files=FILES)
+    # the clock always goes on: without input a run to completion would never end
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+
+    def writer():
+        s = jobs.file_stream(spark, inp, t.schema, max_files_per_trigger=FILES)
+        return jobs.to_parquet(timers.count_by_clock(s, ["id"], "1 second"), sink)()
+
+    jobs.run_available_now(writer, ck)
+    counted = spark.read.parquet(sink).unionByName(timers.open_clock_counts(spark, ck))
+    once = counted.groupBy("id", "window_end").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("times"))
+    return once.groupBy("id").agg(F.sum("n").alias("n"), F.max("times").alias("times"))

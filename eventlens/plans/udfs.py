@@ -32,6 +32,30 @@ def udf_grouped_mean(spark, sf_dir):
     return out.select("id", "window_start", "n", F.round("avg_value", 6).alias("avg_value"))
 
 
+SLIDING_MEAN = """
+WITH panes AS (SELECT event_type AS id, time_bucket(INTERVAL 5 MINUTE, ts) AS pane, value FROM events),
+w AS (SELECT id, pane + to_minutes(CAST(5 * k AS BIGINT)) AS window_end, value FROM panes CROSS JOIN range(1, 13) t(k))
+SELECT id, window_end, count(*) AS n, round(avg(value), 6) AS avg_value FROM w GROUP BY id, window_end
+"""
+
+
+def sliding_mean_functions() -> dict:
+    """The daily mean's accumulator, for panes and sliding windows."""
+    return {"partial": udf.mean_partial(["id", "pane"], "temp"), "combine": udf.mean_combine(["id", "pane"]),
+            "finish": udf.mean_finish(["id", "window_end"]),
+            "partial_schema": "id string, pane timestamp_ntz, sum_value double, n bigint",
+            "out_schema": "id string, window_end timestamp_ntz, n bigint, avg_value double"}
+
+
+@query("udf_sliding_mean", SLIDING_MEAN)
+def udf_sliding_mean(spark, sf_dir):
+    """UDF2 + UDF5 over sliding windows: a user's mean per sensor and 1 h
+    window sliding by 5 min, its accumulators merged pane by pane."""
+    t = stand_ins.temperature_readings(spark, sf_dir).select("id", "ts", "temp")
+    out = udf.user_aggregate_windows(t, ["id"], "ts", "1 hour", "5 minutes", **sliding_mean_functions())
+    return out.withColumn("avg_value", F.round("avg_value", 6))
+
+
 WINDOW_RANGE = """
 SELECT event_type AS id, date_trunc('day', ts) AS window_start, count(*) AS n, max(value) - min(value) AS spread
 FROM events GROUP BY event_type, date_trunc('day', ts)

@@ -111,3 +111,9 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh, never reused folder below the shared root."""
     return f"{scratch_root(spark)}/eventlens/{kind}/{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the path, as Hadoop objects."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timecols import add_seconds, duration_seconds
 from ..operators import ranking
-from ..session import scratch_path
+from ..session import hadoop_path, scratch_path
 
 
 # ----------------------------------------------------------------- plumbing
@@ -25,18 +25,19 @@ def stage(df: DataFrame, path: str, mode: str = "append") -> str:
 
 def stage_in_order(df: DataFrame, path: str, ts: str, parts: int = 6, files: int = 2, fmt: str = "parquet",
                    columns: list[str] | None = None) -> str:
-    """Write rows as ``parts`` groups of ``files`` files, one group after
-    another in event-time order; with ``maxFilesPerTrigger=files`` a stream
-    reads one group per trigger, in that order."""
+    """Write rows as ``parts * files`` files in event-time order, in one pass
+    (a range exchange); with ``maxFilesPerTrigger=files`` a stream reads them
+    in about ``parts`` triggers, in that order.  File sources go by
+    modification time, so the files get theirs in the order of their names."""
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    cuts = df.agg(F.percentile_approx(at, [k / parts for k in range(1, parts)], 10_000)).first()[0] or []
-    low = None
-    for high in [*dict.fromkeys(cuts), None]:
-        part = df if low is None else df.where(at > low)
-        part = part if high is None else part.where(at <= high)
-        part = part.select(*(columns or part.columns)).repartition(files)
-        part.write.mode("append").format(fmt).save(path)
-        low = high
+    columns = columns or df.columns
+    df.repartitionByRange(parts * files, at).select(*columns).write.mode("append").format(fmt).save(path)
+    fs, folder = hadoop_path(df.sparkSession, path)
+    staged = sorted((f for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")),
+                    key=lambda f: f.getPath().getName())
+    last = max((f.getModificationTime() for f in staged), default=0)
+    for k, f in enumerate(staged):
+        fs.setTimes(f.getPath(), last - 1000 * (len(staged) - k), -1)
     return path
 
 
@@ -89,7 +90,31 @@ def window_counts_panes(df: DataFrame, key: str, ts: str, size: str, slide: str)
     time, so the state holds panes instead of every row's windows."""
     panes = df.groupBy(F.window(ts, slide).alias("pane"), F.col(key)).agg(F.count(F.lit(1)).alias("n"))
     return (panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("window"), F.col(key))
-            .agg(F.sum("n").alias("cnt")).select(F.col(key), F.col("window.end").alias("window_end"), "cnt"))
+            .agg(F.sum("n").alias("cnt")).select(F.col(key), "window", F.col("window.end").alias("window_end"), "cnt"))
+
+
+def open_windows(spark: SparkSession, checkpoint: str, buffer: str = "count") -> DataFrame:
+    """STR17: what an append-mode aggregate over windows has not returned when
+    its input ends: keys (``window`` among them) and buffers of the windows
+    that are still open, from the store of the last trigger.  ``buffer`` names
+    a buffer (``count``, ``sum``) that tells a stream's aggregates apart."""
+    operators = spark.read.format("state-metadata").load(checkpoint).where("operatorName = 'stateStoreSave'")
+    for r in operators.select("operatorId").distinct().collect():
+        state = spark.read.format("statestore").option("operatorId", r["operatorId"]).load(checkpoint)
+        if buffer in state.schema["value"].dataType.names:
+            return state.select("key.*", "value.*")
+    raise ValueError(f"no aggregate with a buffer {buffer} in {checkpoint}")
+
+
+def open_window_counts(spark: SparkSession, checkpoint: str, key: str, size: str, slide: str) -> DataFrame:
+    """The rows :func:`window_counts_panes` has not returned: its open windows
+    and open panes, the latter counted into the windows that hold them."""
+    size_s, slide_s = duration_seconds(size), duration_seconds(slide)
+    counted = open_windows(spark, checkpoint, "sum").select(key, F.col("window.end").alias("window_end"), F.col("sum").alias("n"))
+    places = F.explode(F.sequence(F.lit(slide_s), F.lit(size_s), F.lit(slide_s)))
+    panes = open_windows(spark, checkpoint, "count").select(key, "window", F.col("count").alias("n"), places.alias("k"))
+    panes = panes.select(key, add_seconds(F.col("window.start"), F.col("k")).alias("window_end"), "n")
+    return counted.unionByName(panes).groupBy(key, "window_end").agg(F.sum("n").alias("cnt"))
 
 
 def rank_each_batch(sink: str, group: str, score: str, n: int, tie: str, cols: list[str]):
