@@ -17,7 +17,9 @@ be a third of the job in one task.
    flag that depends on the previous row (``mark``);
 3. each slice is summarised in place (count, totals, first and last rows,
    only the columns that lags and marks need), and a window over these
-   summaries, one row per slice, gives what precedes each slice;
+   summaries, one row per slice, gives what precedes each slice.  The
+   summary refers to every column (a hash, never null), so both uses of the
+   slices ask for the same exchange and Spark runs it once;
 4. that carry-in is joined back on (key, slice), on which the rows are
    partitioned already; Spark decides by size whether to broadcast it.
 
@@ -31,6 +33,8 @@ data's size or on any setting.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,7 +71,8 @@ def scan(df: DataFrame, keys, order, **options) -> DataFrame:
 
 
 def scan_with_state(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number: bool = False, mark=None,
-                    slice_width: str | int | None = None, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                    slice_width: str | int | None = None,
+                   state: DataFrame | Callable[[DataFrame], DataFrame | None] | None = None) -> tuple[DataFrame, DataFrame]:
     """Add exclusive per-key prefix aggregates in ``order``:
 
     * ``_rn``: 1-based position of the row in its key (``row_number``);
@@ -85,7 +90,9 @@ def scan_with_state(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), r
     Returns the rows and the state after them: one row per key with its
     count, totals, maxima, last two rows and last mark.  Passed as ``state``
     with a later part of the data, it goes on from there: it stands for a
-    slice before all others.
+    slice before all others.  A function as ``state`` gets the keys of ``df``
+    (a ``key`` column) and returns their state; then only these keys' state
+    is returned.
     """
     keys, order = _cols(keys), _cols(order)
     sums, maxes, lags = _cols(sums), _cols(maxes), _cols(lags)
@@ -121,10 +128,14 @@ def scan_with_state(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), r
         F.max_by(ends, F.col("_lrn")).alias("_last"),
         F.min_by(ends, F.col("_lrn")).alias("_first"),
         *([F.max("_lmp").alias("_lmpmax")] if mark else []),
+        F.max(F.hash(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])).alias("_seen"),
     )
+    if callable(state):
+        state = state(df.select(F.struct(*keys).alias("key")).distinct())
     if state is not None:
         earlier = F.struct(F.col("key"), F.lit(None).cast("bigint").alias("slice"), F.lit(0).alias("now"))
-        summ = summ.unionByName(state.withColumn("_first", F.col("_last")).withColumn("_part", earlier).drop("key"))
+        summ = summ.unionByName(state.withColumn("_first", F.col("_last")).withColumn("_part", earlier)
+                                .withColumn("_seen", F.lit(0)).drop("key"))
     wc = Window.partitionBy("_part.key").orderBy("_part.now", "_part.slice")
     wcb = wc.rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select(
@@ -135,7 +146,7 @@ def scan_with_state(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), r
         F.lag("_last", 1).over(wc).alias("_p1"),
         F.lag("_last", 2).over(wc).alias("_p2"),
         F.lag("_cnt", 1).over(wc).alias("_pc"),
-        "_first", "_last", "_cnt", *[f"_tot_{c}" for c in sums], *[f"_max_{c}" for c in maxes],
+        "_first", "_last", "_cnt", "_seen", *[f"_tot_{c}" for c in sums], *[f"_max_{c}" for c in maxes],
         *(["_lmpmax"] if mark else []),
     )
     if mark:
@@ -160,9 +171,9 @@ def scan_with_state(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), r
     ended = (carry.groupBy(F.col("_cpart.key").alias("key"))
              .agg(F.max_by(after, F.struct("_cpart.now", "_cpart.slice")).alias("s")).select("key", "s.*"))
 
-    own = ["_cpart", "_cb", "_p1", "_p2", "_pc", *[f"_csb_{c}" for c in sums], *[f"_cmb_{c}" for c in maxes],
+    own = ["_cpart", "_seen", "_cb", "_p1", "_p2", "_pc", *[f"_csb_{c}" for c in sums], *[f"_cmb_{c}" for c in maxes],
            *(["_mf", "_cmk"] if mark else [])]
-    j = local.join(carry.select(*own), F.col("_part") == F.col("_cpart"))
+    j = local.join(carry.select(*own), (F.col("_part") == F.col("_cpart")) & F.col("_seen").isNotNull())
     first, second = F.col("_lrn") == 1, F.col("_lrn") == 2
     cb = F.col("_cb")
     out = [F.col(c) for c in df.columns]

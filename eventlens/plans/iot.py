@@ -189,6 +189,6 @@ def breach_alerts_drop(spark, sf_dir):
 def running_sum(spark, sf_dir):
     """AGG6: running sum of the temperature keyed by ``id == 'sensor_6'``
     (two keys, one of them holding almost every row)."""
-    s = stand_ins.sensor_readings(spark, sf_dir)
+    s = stand_ins.sensor_readings(spark, sf_dir).select("id", "temper", "seq", "event_ts")
     out = alerts.keyed_running_sum(s, F.col("id") == "sensor_6", "temper", "event_ts", order=["seq"])
     return _round(out.select("key", "seq", "id", "temper", "running_temper"), "running_temper")

@@ -25,7 +25,6 @@ from ..operators import alerts, ranking
 from ..session import scratch_path
 from ..sources import files, stand_ins, tables
 from ..streaming import jobs, timers
-from ..streaming.processors import RunningSumProcessor
 from . import hot, iot, tables_sql, udfs
 from .registry import query
 
@@ -203,7 +202,8 @@ def stream_running_sum(spark, sf_dir):
     ``id == 'sensor_6'``, one row per element."""
     step = lambda rows, state: alerts.running_sum_step(
         rows, state, F.col("id") == "sensor_6", "temper", "event_ts")
-    out = _alert_stream(spark, "running_sum", _sensors(spark, sf_dir), "event_ts", step,
+    s = _sensors(spark, sf_dir).select("id", "temper", "seq", "event_ts")
+    out = _alert_stream(spark, "running_sum", s, "event_ts", step,
                         ["key", "seq", "id", "temper", "running_temper"], [])
     return out.withColumn("running_temper", F.round("running_temper", 6))
 
@@ -218,19 +218,14 @@ FROM events
 
 @query("stream_keyed_process", KEYED_SUM)
 def stream_keyed_process(spark, sf_dir):
-    """UDF6: a user's ``StatefulProcessor`` per sensor, here a running sum."""
-    s = _sensors(spark, sf_dir)
-    inp, sink, ck = jobs.fresh(spark, "keyed_process")
-    jobs.stage_in_order(s, inp, "event_ts", files=FILES)
-
-    def writer():
-        stream = jobs.file_stream(spark, inp, s.schema, max_files_per_trigger=FILES)
-        processor = RunningSumProcessor("temper", ["event_ts", "seq"], ["seq", "id", "temper"])
-        return jobs.to_parquet(jobs.keyed_process(
-            stream, ["id"], processor, "seq long, id string, temper double, running_temper double"), sink)()
-
-    jobs.run_available_now(writer, ck)
-    return spark.read.parquet(sink).withColumn("running_temper", F.round("running_temper", 6))
+    """UDF6: a keyed function per sensor, here a running sum, with carried
+    state; a hot sensor spreads over its slices.  (``jobs.keyed_process`` is
+    the hook for functions that cannot be split.)"""
+    step = lambda rows, state: alerts.running_sum_step(
+        rows, state, F.col("id"), "temper", "event_ts")
+    s = _sensors(spark, sf_dir).select("id", "temper", "seq", "event_ts")
+    out = _alert_stream(spark, "keyed_process", s, "event_ts", step, ["seq", "id", "temper", "running_temper"], [])
+    return out.withColumn("running_temper", F.round("running_temper", 6))
 
 
 @query("stream_tagged_split", tables_sql.TAGGED)
@@ -299,22 +294,33 @@ def stream_hot_urls(spark, sf_dir):
     return _with_open_top(spark, sink, ck, "url", "1 minute", "5 seconds")
 
 
-@query("stream_group_count", tables_sql.GROUP_COUNT)
-def stream_group_count(spark, sf_dir):
-    """AGG7 + SRC3 on a stream: CSV file stream with the declared schema,
-    unbounded count per id in complete mode."""
+def _counted(spark, sf_dir):
+    """Counts per id of a CSV file stream, as changes and as a table."""
     root = scratch_path(spark, "stream/group_count")
     inp, sink, ck = f"{root}/input", f"{root}/sink", f"{root}/checkpoint"
     files.write_lines(stand_ins.sensor_csv_lines(spark, sf_dir).repartition(6), inp)
 
     def writer():
         s = spark.readStream.schema(schemas.SENSOR_CSV).option("maxFilesPerTrigger", 1).csv(inp)
-        counts = s.groupBy("id").agg(F.count(F.col("id")).alias("cnt"))
-        return jobs.to_batches(counts, jobs.complete_counts(sink), mode="complete")()
+        return jobs.to_batches(s.select("id"), jobs.changing_counts("id", sink, f"{ck}-state"))()
 
     jobs.run_available_now(writer, ck)
-    return spark.read.parquet(sink)
+    return sink, f"{ck}-state"
+
+
+@query("stream_group_count", tables_sql.GROUP_COUNT)
+def stream_group_count(spark, sf_dir):
+    """AGG7 + SRC3 + SNK2 on a stream: CSV file stream with the declared
+    schema, unbounded count per id, upserted."""
+    return jobs.current_counts(spark, _counted(spark, sf_dir)[1])
+
 
+@query("stream_group_changes", tables_sql.GROUP_COUNT)
+def stream_group_changes(spark, sf_dir):
+    """AGG7 + SNK2: the log of retracted and added counts, folded: what was
+    added less what was retracted is the count."""
+    log = spark.read.parquet(_counted(spark, sf_dir)[0])
+    return log.groupBy("id").agg(F.sum(F.when(F.col("add"), F.col("cnt")).otherwise(-F.col("cnt"))).alias("cnt"))
 
 
 @query("stream_timer_topn", hot.HOT_ITEMS)

@@ -70,9 +70,25 @@ def value_spread(key: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Itera
     yield pd.DataFrame({"id": [key[0]], "window_start": [key[1]], "n": [n], "spread": [high - low]})
 
 
+def spread_functions(keys: list[str]) -> dict:
+    """The same as accumulators (count, least, greatest) of a user aggregate."""
+    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.groupby(keys, sort=False, dropna=False)["temp"].agg(n="size", low="min", high="max").reset_index()
+
+    def combine(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.groupby(keys, sort=False, dropna=False).agg({"n": "sum", "low": "min", "high": "max"}).reset_index()
+
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf[keys].assign(n=pdf["n"].astype("int64"), spread=pdf["high"] - pdf["low"])
+    return {"partial": partial, "combine": combine, "finish": finish}
+
+
 @query("udf_window_process", WINDOW_RANGE)
 def udf_window_process(spark, sf_dir):
-    """UDF3: a function over the elements of every (sensor, day)."""
-    t = stand_ins.temperature_readings(spark, sf_dir).select("id", "ts", "temp")
-    return udf.process_windows(t, ["id"], "ts", "1 day", value_spread,
-                               "id string, window_start timestamp_ntz, n bigint, spread double")
+    """UDF3: a user's function over the elements of every (sensor, day).  Count
+    and range can be merged, so the days' elements are folded where they are
+    (``udf.process_windows`` is the hook for functions that need them all)."""
+    keys = ["id", "window_start"]
+    t = stand_ins.temperature_readings(spark, sf_dir).select("id", F.window("ts", "1 day").start.alias("window_start"), "temp")
+    return udf.user_aggregate(t, keys, **spread_functions(keys), partial_schema="id string, window_start timestamp_ntz, n bigint, low double, high double",
+                              out_schema="id string, window_start timestamp_ntz, n bigint, spread double")

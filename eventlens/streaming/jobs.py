@@ -7,6 +7,8 @@ inputs are staged with ``ts`` cast under the UTC session zone.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.timecols import add_seconds, duration_seconds
 from ..operators import ranking
 from ..session import hadoop_path, scratch_path
+from .state import KeyedState
 
 
 # ----------------------------------------------------------------- plumbing
@@ -133,41 +136,44 @@ def carried(step, sink: str, state_dir: str, ts: str, delay: str = "0 seconds",
             ttl: str | None = None):
     """STR11/12/14-16: an ordered-scan operator on a stream.  Every
     micro-batch runs ``step(rows, state)``, the operator's batch form, so a
-    hot key spreads over tasks as it does there; the state after the batch
-    (one row per key) is written for the next one.
+    hot key spreads over tasks as it does there.  The batch (bounded by the
+    trigger) is read once and kept while it is used; the state of its keys is
+    read from and written to a :class:`..streaming.state.KeyedState`.
 
     ``window``: the state is keyed by ``window_start`` too; rows of windows
     that the watermark (largest ``ts`` of earlier batches less ``delay``) has
     passed are late and dropped, and the windows' state is cleared.  ``ttl``:
     the state of keys without rows for that long is cleared.
 
-    States and clocks alternate between two folders, so a replayed batch
-    finds the state it started from; outputs go to a folder per batch.
+    Outputs go to a folder per batch, so a replayed batch is idempotent.
     Rows should arrive in event-time order between triggers: a row is
     compared with what arrived before it.
     """
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark, old, new = batch.sparkSession, f"slot={(batch_id - 1) % 2}", f"slot={batch_id % 2}"
-        state = spark.read.parquet(f"{state_dir}/keys/{old}") if batch_id else None
-        clock = spark.read.parquet(f"{state_dir}/clock/{old}") if batch_id else None
-        latest = batch.select(F.max(ts).alias("latest"))
-        clock = latest if clock is None else clock.union(latest).agg(F.max("latest").alias("latest"))
-        passed = clock.first()["latest"]
+    def alive(latest) -> Column | None:
+        if latest is None or not (window or ttl):
+            return None
+        mark = add_seconds(F.lit(latest), -duration_seconds(delay))
+        rules = []
         if window:
-            before = None if state is None else spark.read.parquet(f"{state_dir}/clock/{old}").first()["latest"]
-            if before is not None:
-                end = F.window(ts, window).end
-                batch = batch.where(end > add_seconds(F.lit(before), -duration_seconds(delay)))
-        out, after = step(batch, state)
-        if passed is not None:
-            mark = add_seconds(F.lit(passed), -duration_seconds(delay))
-            if window:
-                after = after.where(add_seconds(F.col("key.window_start"), duration_seconds(window)) > mark)
-            if ttl:
-                after = after.where(add_seconds(F.col(f"_max_{ts}"), duration_seconds(ttl)) > mark)
-        after.write.mode("overwrite").parquet(f"{state_dir}/keys/{new}")
-        out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-        spark.createDataFrame([(passed,)], clock.schema).write.mode("overwrite").parquet(f"{state_dir}/clock/{new}")
+            rules.append(add_seconds(F.col("key.window_start"), duration_seconds(window)) > mark)
+        if ttl:
+            rules.append(add_seconds(F.col(f"_max_{ts}"), duration_seconds(ttl)) > mark)
+        return reduce(lambda a, b: a & b, rules)
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        state = KeyedState(batch.sparkSession, state_dir, batch_id)
+        before = state.latest
+        if window and before is not None:
+            batch = batch.where(F.window(ts, window).end > add_seconds(F.lit(before), -duration_seconds(delay)))
+        batch = batch.persist()
+        try:
+            newest = batch.agg(F.max(ts).cast("timestamp")).first()[0]
+            latest = max((t for t in (before, newest) if t is not None), default=None)
+            out, after = step(batch, lambda keys: state.of(keys, alive(before)))
+            out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+            state.commit(after, latest, alive(latest))
+        finally:
+            batch.unpersist()
     return fn
 
 
@@ -197,14 +203,35 @@ def tagged_sink(sink: str, routes: dict[str, Column], messages: dict[str, Column
     return fn
 
 
-def complete_counts(sink: str):
-    """AGG7 on a stream: complete mode re-emits the whole count table each
-    batch; the sink keeps the latest one."""
+def changing_counts(key: str, sink: str, state_dir: str, count_name: str = "cnt"):
+    """AGG7 + SNK2 on a stream: the unbounded count per key as changes.  Every
+    trigger writes, for each key it touched, the retraction of the old count
+    (``add`` false, none for a new key) and the new count (``add`` true); the
+    counts themselves are a :class:`..streaming.state.KeyedState`, of which
+    only the touched keys are written (an upsert).  Keys are counted where
+    the rows are; a hot key sends one row per task."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(sink)
+        state = KeyedState(batch.sparkSession, state_dir, batch_id)
+        new = batch.groupBy(F.struct(key).alias("key")).agg(F.count(key).alias("n")).persist()
+        try:
+            old = state.of(new.select("key"))
+            old = old.select(F.col("key").alias("of"), F.col("n").alias("before")) if old is not None else \
+                new.select(F.col("key").alias("of"), F.lit(None).cast("bigint").alias("before")).limit(0)
+            both = new.join(old, F.col("key") == F.col("of"), "left").select("key", "before", (F.coalesce("before", F.lit(0)) + F.col("n")).alias("n"))
+            change = lambda add, n: F.when(F.col(n).isNotNull(), F.struct(F.lit(add).alias("add"), F.col(n).alias(count_name)))
+            changes = both.select("key.*", F.explode(F.array_compact(F.array(change(False, "before"), change(True, "n")))).alias("c"))
+            changes.select(key, "c.*").write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+            state.commit(both.select("key", "n"), None)
+        finally:
+            new.unpersist()
     return fn
 
 
+def current_counts(spark: SparkSession, state_dir: str, count_name: str = "cnt") -> DataFrame:
+    """The table that the changes of :func:`changing_counts` lead to."""
+    return KeyedState.newest(spark, state_dir).table().select("key.*", F.col("n").alias(count_name))
+
+
 def fresh(spark: SparkSession, kind: str) -> tuple[str, str, str]:
     """Input, sink and checkpoint folders for one stream run."""
     root = scratch_path(spark, f"stream/{kind}")

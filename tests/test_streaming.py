@@ -2,12 +2,15 @@
 late row that the windowed mean drops and the alert processor sees."""
 
 import datetime as dt
+import pathlib
 
 from pyspark.sql import functions as F
 
 from eventlens.operators import alerts
 from eventlens.session import scratch_path
 from eventlens.streaming import jobs
+from eventlens.streaming.processors import RunningSumProcessor
+from eventlens.streaming.state import KeyedState
 
 T0 = dt.datetime(2024, 1, 1, 8, 0, 0)
 SCHEMA = "id string, ts timestamp, time string, temp double, seq long"
@@ -78,11 +81,9 @@ def test_window_state_is_cleared(spark):
     jobs.run_available_now(lambda: jobs.to_batches(
         jobs.file_stream(spark, f"{root}/in", SCHEMA, max_files_per_trigger=1), step)(), f"{root}/ck")
     assert spark.read.parquet(f"{root}/out").count() == 0      # the late 500 met no state and was dropped
-    last = max((spark.read.parquet(f"{root}/state/clock/slot={k}").first()[0], k) for k in (0, 1))
-    for k in (0, 1):
-        starts = {r[0].date() for r in spark.read.parquet(f"{root}/state/keys/slot={k}").select("key.window_start").collect()}
-        assert starts <= {dt.date(2024, 1, 3), dt.date(2024, 1, 4)}
-    assert last[0].date() == dt.date(2024, 1, 4)
+    state = KeyedState.newest(spark, f"{root}/state")
+    starts = {r[0].date() for r in state.table().select("key.window_start").collect()}
+    assert starts <= {dt.date(2024, 1, 3), dt.date(2024, 1, 4)} and state.latest.date() == dt.date(2024, 1, 4)
 
 
 def test_ttl_clears_idle_keys(spark):
@@ -94,7 +95,61 @@ def test_ttl_clears_idle_keys(spark):
     step = jobs.carried(alerts.running_mean_step, f"{root}/out", f"{root}/state", "ts", ttl="2 days")
     jobs.run_available_now(lambda: jobs.to_batches(
         jobs.file_stream(spark, f"{root}/in", SCHEMA, max_files_per_trigger=1), step)(), f"{root}/ck")
-    assert [r[0] for r in spark.read.parquet(f"{root}/state/keys/slot=1").select("key.id").collect()] == ["s2"]
+    assert [r[0] for r in KeyedState.newest(spark, f"{root}/state").table().select("key.id").collect()] == ["s2"]
+
+
+def _size(path):
+    return sum(f.stat().st_size for f in pathlib.Path(path).rglob("*.parquet"))
+
+
+def test_a_trigger_writes_the_state_of_its_own_keys(spark, monkeypatch):
+    """Bytes and rows written follow the trigger's keys, not all keys; a
+    replayed trigger finds what it started from; merged runs are deleted."""
+    folder = scratch_path(spark, "test/state")
+    wide = lambda n: spark.range(n).select(F.struct("id").alias("key"), F.lit(1).alias("n"), F.rand(1).alias("x")).coalesce(1)
+    KeyedState(spark, folder, 0).commit(wide(20000), None)
+    whole, written = _size(f"{folder}/run=0"), []
+    for batch in range(1, 9):
+        rows = spark.range(5).select(F.struct("id").alias("key"), F.lit(batch + 1).alias("n"), F.rand(1).alias("x")).coalesce(1)
+        for _ in range(1 + (batch == 4)):                       # the fourth runs twice
+            state = KeyedState(spark, folder, batch)
+            assert {r.n for r in state.of(rows.select("key")).collect()} == {batch}
+            state.commit(rows, dt.datetime(2024, 1, 1 + batch))
+        written.append(_size(f"{folder}/run={batch}"))
+    assert max(written) < whole / 20
+    state = KeyedState.newest(spark, folder)
+    assert state.latest == dt.datetime(2024, 1, 9) and state.runs[0] == (0, 20000) and len(state.runs) <= 4
+    table = state.table()
+    assert table.count() == 20000 and table.where("n = 9").count() == 5 and table.where("n = 1").count() == 19995
+    kept = {int(p.name[4:]) for p in pathlib.Path(folder).glob("run=*")}
+    assert kept == {b for b, _ in state.runs} | set(state.merged)
+
+
+def test_counts_as_changes(spark):
+    root = scratch_path(spark, "test/changes")
+    parts = [["a", "a", "b"], ["b", None], ["a", "c"], ["d"]]
+    for ids in parts:
+        jobs.stage(spark.createDataFrame([(i,) for i in ids], "id string").repartition(1), f"{root}/in")
+    jobs.run_available_now(lambda: jobs.to_batches(jobs.file_stream(spark, f"{root}/in", "id string", max_files_per_trigger=1),
+                                                   jobs.changing_counts("id", f"{root}/out", f"{root}/state"))(), f"{root}/ck")
+    log = [(r.batch, r.id, r.add, r.cnt) for r in spark.read.parquet(f"{root}/out").collect()]
+    assert sorted(log, key=repr) == sorted([
+        (0, "a", True, 2), (0, "b", True, 1), (1, "b", False, 1), (1, "b", True, 2), (1, None, True, 0),
+        (2, "a", False, 2), (2, "a", True, 3), (2, "c", True, 1), (3, "d", True, 1)], key=repr)
+    assert {r.id: r.cnt for r in jobs.current_counts(spark, f"{root}/state").collect()} == {"a": 3, "b": 2, "c": 1, "d": 1, None: 0}
+
+
+def test_keyed_process_hook(spark):
+    """UDF6: any user processor; rows of a key in order, state kept between runs."""
+    root = scratch_path(spark, "test/keyed")
+    jobs.stage(_rows(spark, [(T0 + dt.timedelta(minutes=i), v) for i, v in enumerate([1, 2, 3])]).repartition(1), f"{root}/in")
+    for extra in (None, 4):
+        if extra:
+            jobs.stage(_rows(spark, [(T0 + dt.timedelta(hours=1), extra)]).repartition(1), f"{root}/in")
+        jobs.run_available_now(lambda: jobs.to_parquet(jobs.keyed_process(
+            jobs.file_stream(spark, f"{root}/in", SCHEMA), ["id"], RunningSumProcessor("temp", ["ts", "seq"], ["id", "temp"]),
+            "id string, temp double, running_temp double"), f"{root}/out")(), f"{root}/ck")
+    assert sorted((r.temp, r.running_temp) for r in spark.read.parquet(f"{root}/out").collect()) == [(1, 1), (2, 3), (3, 6), (4, 10)]
 
 
 def test_ddl_table_stream_watermark(spark):
