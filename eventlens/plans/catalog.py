@@ -3,7 +3,7 @@ fills the registry)."""
 
 from __future__ import annotations
 
-from . import courses, hot, iot, iot_job, parsers, streams, tables_sql, udfs  # noqa: F401
+from . import arrivals, courses, hot, iot, iot_job, parsers, streams, tables_sql, udfs  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 

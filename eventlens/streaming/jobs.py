@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.timecols import add_seconds, duration_seconds
 from ..operators import ranking
 from ..session import hadoop_path, scratch_path
+from ..sources import files
 from .state import KeyedState
 
 
@@ -26,15 +27,18 @@ def stage(df: DataFrame, path: str, mode: str = "append") -> str:
     return path
 
 
-def stage_in_order(df: DataFrame, path: str, ts: str, parts: int = 6, files: int = 2, fmt: str = "parquet",
+def stage_in_order(df: DataFrame, path: str, ts: str | Column, parts: int = 6, files: int = 2, fmt: str = "parquet",
                    columns: list[str] | None = None) -> str:
     """Write rows as ``parts * files`` files in event-time order, in one pass
     (a range exchange); with ``maxFilesPerTrigger=files`` a stream reads them
     in about ``parts`` triggers, in that order.  File sources go by
-    modification time, so the files get theirs in the order of their names."""
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    modification time, so the files get theirs in the order of their names.
+    With an expression as ``ts`` rows stand in its order inside the files too."""
+    at = F.unix_micros(F.col(ts).cast("timestamp")) if isinstance(ts, str) else ts
     columns = columns or df.columns
-    df.repartitionByRange(parts * files, at).select(*columns).write.mode("append").format(fmt).save(path)
+    cut = df.repartitionByRange(parts * files, at)
+    cut = cut if isinstance(ts, str) else cut.sortWithinPartitions(at)
+    cut.select(*columns).write.mode("append").format(fmt).save(path)
     fs, folder = hadoop_path(df.sparkSession, path)
     staged = sorted((f for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")),
                     key=lambda f: f.getPath().getName())
@@ -133,7 +137,7 @@ def rank_each_batch(sink: str, group: str, score: str, n: int, tie: str, cols: l
 
 # ------------------------------------------------------------- stateful alerts
 def carried(step, sink: str, state_dir: str, ts: str, delay: str = "0 seconds", window: str | None = None,
-            ttl: str | None = None):
+            ttl: str | None = None, parse=None):
     """STR11/12/14-16: an ordered-scan operator on a stream.  Every
     micro-batch runs ``step(rows, state)``, the operator's batch form, so a
     hot key spreads over tasks as it does there.  The batch (bounded by the
@@ -143,7 +147,10 @@ def carried(step, sink: str, state_dir: str, ts: str, delay: str = "0 seconds",
     ``window``: the state is keyed by ``window_start`` too; rows of windows
     that the watermark (largest ``ts`` of earlier batches less ``delay``) has
     passed are late and dropped, and the windows' state is cleared.  ``ttl``:
-    the state of keys without rows for that long is cleared.
+    the state of keys without rows for that long is cleared.  ``parse``: the
+    stream's rows are lines that know where they were read
+    (``files.with_seq``); they are numbered from where the last trigger ended
+    (``line``) and parsed by this function.
 
     Outputs go to a folder per batch, so a replayed batch is idempotent.
     Rows should arrive in event-time order between triggers: a row is
@@ -160,9 +167,12 @@ def carried(step, sink: str, state_dir: str, ts: str, delay: str = "0 seconds",
             rules.append(add_seconds(F.col(f"_max_{ts}"), duration_seconds(ttl)) > mark)
         return reduce(lambda a, b: a & b, rules)
 
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        state = KeyedState(batch.sparkSession, state_dir, batch_id)
-        before = state.latest
+    def fn(source: DataFrame, batch_id: int) -> None:
+        batch, state = source, KeyedState(source.sparkSession, state_dir, batch_id)
+        before, lines = state.latest, state.lines
+        if parse:
+            batch = files.number_lines(source.persist(), start=lines)
+            lines, batch = lines + batch.count(), parse(batch)
         if window and before is not None:
             batch = batch.where(F.window(ts, window).end > add_seconds(F.lit(before), -duration_seconds(delay)))
         batch = batch.persist()
@@ -171,9 +181,10 @@ def carried(step, sink: str, state_dir: str, ts: str, delay: str = "0 seconds",
             latest = max((t for t in (before, newest) if t is not None), default=None)
             out, after = step(batch, lambda keys: state.of(keys, alive(before)))
             out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-            state.commit(after, latest, alive(latest))
+            state.commit(after, latest, alive(latest), lines)
         finally:
             batch.unpersist()
+            source.unpersist()
     return fn
 
 

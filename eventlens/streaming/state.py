@@ -38,7 +38,7 @@ class KeyedState:
             raise ValueError(f"no state after trigger {batch_id - 1} in {folder}")
         self.latest = _time(log["latest"]) if log.get("latest") else None
         self.runs, self.merged = [tuple(r) for r in log.get("runs", [])], log.get("merged", [])
-        self.touched = log.get("touched", 0)
+        self.touched, self.lines = log.get("touched", 0), log.get("lines", 0)
 
     @classmethod
     def newest(cls, spark: SparkSession, folder: str) -> KeyedState:
@@ -66,8 +66,9 @@ class KeyedState:
             return None
         return _newest(self._rows(self.runs).join(keys, "key", "left_semi"), alive)
 
-    def commit(self, rows: DataFrame, latest, alive: Column | None = None) -> None:
-        """``rows``: the new state of the keys this trigger touched."""
+    def commit(self, rows: DataFrame, latest, alive: Column | None = None, lines: int = 0) -> None:
+        """``rows``: the new state of the keys this trigger touched;
+        ``latest`` and ``lines`` go on in the log."""
         touched, kept = Observation(), Observation()
         rows = (rows if alive is None else rows.where(alive)).observe(touched, F.count(F.lit(1)).alias("n"))
         runs, merging = list(self.runs), []
@@ -81,7 +82,8 @@ class KeyedState:
         runs.append((self.batch_id, kept.get["n"]))
         _write(self.spark, self._log(self.batch_id), {
             "batch": self.batch_id, "latest": latest.isoformat() if latest else None, "runs": runs,
-            "merged": [b for b, _ in merging], "touched": touched.get["n"]})
+            "merged": [b for b, _ in merging], "touched": touched.get["n"],
+            "lines": lines})
         for batch in self.merged:       # merged away by the trigger before this one, which cannot be replayed any more
             fs, path = hadoop_path(self.spark, self._run(batch))
             fs.delete(path, True)

@@ -90,12 +90,13 @@ def test_ttl_clears_idle_keys(spark):
     root = scratch_path(spark, "test/stream4")
     a = _rows(spark, [(T0, 20)])
     b = _rows(spark, [(T0 + dt.timedelta(days=9), 21)]).withColumn("id", F.lit("s2"))
-    for part in (a, b):
+    c = _rows(spark, [(T0 + dt.timedelta(days=10), 21)]).withColumn("id", F.lit("s3"))
+    for part in (a, b, c):
         jobs.stage(part.repartition(1), f"{root}/in")
     step = jobs.carried(alerts.running_mean_step, f"{root}/out", f"{root}/state", "ts", ttl="2 days")
     jobs.run_available_now(lambda: jobs.to_batches(
         jobs.file_stream(spark, f"{root}/in", SCHEMA, max_files_per_trigger=1), step)(), f"{root}/ck")
-    assert [r[0] for r in KeyedState.newest(spark, f"{root}/state").table().select("key.id").collect()] == ["s2"]
+    assert [r[0] for r in KeyedState.newest(spark, f"{root}/state").table().select("key.id").orderBy("id").collect()] == ["s2", "s3"]
 
 
 def _size(path):
