@@ -140,16 +140,22 @@ def worker_encoder(path: str, end_id: int) -> Encoder:
 
 def train_dictionary(docs: DataFrame, n_docs: int, tokenizer_path: str, end_id: int,
                      sample_docs: int, sample_chars: int, size: int) -> bytes:
-    """The shared dictionary; empty when the sample is too small to train on."""
+    """The shared dictionary; empty when the sample is too small to train on.
+    One task encodes the bounded sample and trains, so the driver holds
+    neither the sample nor a tokenizer."""
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = worker_encoder(tokenizer_path, end_id)
+        parts = [encode(text) for b in batches for text in b.column("text").to_pylist()]
+        # the trainer wants several samples and more data than dictionary
+        total = sum(map(len, parts))
+        if len(parts) >= 16 and total >= 8 * size:
+            out = zstandard.train_dictionary(size, parts).as_bytes()
+            yield pa.RecordBatch.from_pydict({"dictionary": pa.array([out], pa.binary())})
+
     sample = (bounded_sample(docs, sample_docs, n_docs, "doc_id", "text")
-              .select(F.substring("text", 1, sample_chars).alias("text")).collect())
-    encode = Encoder(tokenizer_path, end_id)
-    parts = [encode(r["text"]) for r in sample]
-    # the trainer wants several samples and more data than dictionary
-    total = sum(map(len, parts))
-    if len(parts) < 16 or total < 8 * size:
-        return b""
-    return zstandard.train_dictionary(size, parts).as_bytes()
+              .select(F.substring("text", 1, sample_chars).alias("text")).coalesce(1))
+    trained = sample.mapInArrow(train, "dictionary binary").collect()
+    return bytes(trained[0]["dictionary"]) if trained else b""
 
 
 def _compression(dictionary: bytes):
