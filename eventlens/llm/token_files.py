@@ -44,7 +44,7 @@ from .common import bounded_sample, parts_for, text_of, with_defaults
 MAGIC = b"EVTOK01\n"
 FOOTER = "<QQQQ32s8s"
 LEVEL = 1
-MEMO_PARTS = 250_000
+MEMO_PARTS = 100_000
 
 # fixed values: the tokenizer's splitter, its classes written out for Latin-1
 LETTER, NUMBER, SPACE = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\t-\r \u0085\u00a0"
