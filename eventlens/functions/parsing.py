@@ -11,15 +11,17 @@ typed record.  ``on_error``:
 
 Differences to the JVM originals worth knowing: ``split`` is a regex split
 that keeps trailing empty strings; ``substring`` is 1-based and never throws;
-the time parser is strict where ``SimpleDateFormat`` is lenient.
+the time parser is strict unless ``lenient=True`` (:func:`lenient_time`).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .timecols import from_epoch_seconds
+from .timecols import add_seconds, from_epoch_seconds
 
 
 TIME_FMT = "yyyy-MM-dd HH:mm:ss"
@@ -47,7 +49,27 @@ def _field(arr: Column, i: int, safe: bool) -> Column:
     return F.try_element_at(arr, F.lit(i + 1)) if safe else F.element_at(arr, i + 1)
 
 
-def _ts(c: Column, fmt: str, safe: bool) -> Column:
+def lenient_time(c: Column, fmt: str) -> Column:
+    """FN8: the reference's date parser, which rolls fields over: month 13 is
+    January of the next year, day 0 the last of the month before, second 200
+    three minutes and twenty seconds; fields take any number of digits (up to
+    six) and text behind the last one is ignored.  NULL where the text does
+    not have the fields.  Dates are proleptic Gregorian."""
+    letters = re.findall(r"([a-zA-Z])\1*", fmt)
+    pattern = "^" + re.sub(r"([a-zA-Z])\1*", r"[ \\t]*(-?[0-9]{1,6})", re.sub(r"([^a-zA-Z ])", r"[\1]", fmt))
+    part = lambda x: F.regexp_extract(c, pattern, letters.index(x) + 1).cast("bigint")
+    months = part("y") * 12 + part("M") - 1
+    first = F.make_date(F.floor(months / 12).cast("int"), (F.pmod(months, F.lit(12)) + 1).cast("int"), F.lit(1))
+    seconds = ((part("d") - 1) * 24 + part("H")) * 3600 + part("m") * 60 + part("s")
+    return F.when(c.rlike(pattern), add_seconds(first.cast("timestamp_ntz"), seconds))
+
+
+def _ts(c: Column, fmt: str, safe: bool, lenient: bool = False) -> Column:
+    if lenient:
+        # most texts are regular, the others are taken apart
+        parsed = F.coalesce(F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz"), lenient_time(c, fmt))
+        bad = F.raise_error(F.concat(F.lit("not a time: "), c)).cast("timestamp_ntz")
+        return parsed if safe else F.when(parsed.isNotNull() | c.isNull(), parsed).otherwise(bad)
     parsed = F.try_to_timestamp(c, F.lit(fmt)) if safe else F.to_timestamp(c, fmt)
     return parsed.cast("timestamp_ntz")
 
@@ -77,7 +99,7 @@ def _finish(df: DataFrame, required: list[str], on_error: str, raw: str = "value
 
 
 def parse_temperature(lines: DataFrame, on_error: str = "fail", strip_last_char: bool = True,
-                      keep: list[str] | None = None):
+                      keep: list[str] | None = None, lenient: bool = False):
     """PRJ1: ``id,yyyy-MM-dd HH:mm:ss,temp<one trailing char>``."""
     safe = _check(on_error)
     body = drop_last_char(F.col("value")) if strip_last_char else F.col("value")
@@ -86,7 +108,7 @@ def parse_temperature(lines: DataFrame, on_error: str = "fail", strip_last_char:
     df = lines.select(
         "value", *(keep or []),
         _field(arr, 0, safe).alias("id"),
-        _ts(time, TIME_FMT, safe).alias("ts"),
+        _ts(time, TIME_FMT, safe, lenient).alias("ts"),
         time.alias("time"),
         _num(_field(arr, 2, safe), "double", safe).alias("temp"),
     )
@@ -100,7 +122,7 @@ def _last_tag(fields: Column, tag: str) -> Column:
 
 
 def parse_quality(lines: DataFrame, on_error: str = "fail", strip_last_char: bool = True,
-                  keep: list[str] | None = None):
+                  keep: list[str] | None = None, lenient: bool = False):
     """PRJ2: id and time as PRJ1, then every field is scanned for the tags
     ``AB:`` (acid, double), ``AE:`` (consistency, int widened to bigint) and
     ``CE:`` (water rate, double) in any position; the last occurrence wins
@@ -120,7 +142,7 @@ def parse_quality(lines: DataFrame, on_error: str = "fail", strip_last_char: boo
     df = lines.select(
         "value", *(keep or []),
         _field(arr, 0, safe).alias("id"),
-        _ts(time, TIME_FMT, safe).alias("ts"),
+        _ts(time, TIME_FMT, safe, lenient).alias("ts"),
         time.alias("time"),
         tagged(acid, "double", 0.0).alias("acid"),
         tagged(cons, "int", 0).cast("bigint").alias("cons"),
@@ -146,7 +168,7 @@ def parse_user_behavior(lines: DataFrame, on_error: str = "fail"):
     return _finish(df, ["user_id", "item_id", "category_id", "behavior", "ts"], on_error)
 
 
-def parse_access_log(lines: DataFrame, on_error: str = "fail", keep: list[str] | None = None):
+def parse_access_log(lines: DataFrame, on_error: str = "fail", keep: list[str] | None = None, lenient: bool = False):
     """PRJ4: split on one space; [0] ip, [2] user, [3] time
     ``dd/MM/yyyy:HH:mm:ss``, [5] method, [6] url; the zone field [4] is
     ignored (times are read as UTC)."""
@@ -156,7 +178,7 @@ def parse_access_log(lines: DataFrame, on_error: str = "fail", keep: list[str] |
         "value", *(keep or []),
         _field(arr, 0, safe).alias("ip"),
         _field(arr, 2, safe).alias("user_id"),
-        _ts(_field(arr, 3, safe), LOG_TIME_FMT, safe).alias("ts"),
+        _ts(_field(arr, 3, safe), LOG_TIME_FMT, safe, lenient).alias("ts"),
         _field(arr, 5, safe).alias("method"),
         _field(arr, 6, safe).alias("url"),
     )

@@ -52,3 +52,19 @@ def sensor_alarm(df: DataFrame, id_col: str = "id") -> DataFrame:
                  {messages.TAG_6: i == "sensor_6", messages.TAG_1: i == "sensor_1"},
                  {messages.TAG_6: F.concat(F.lit(messages.SIDE_TAG_6), i),
                   messages.TAG_1: F.concat(F.lit(messages.SIDE_TAG_1), i)})
+
+
+def process(df: DataFrame, fn, schema: str) -> DataFrame:
+    """UDF7: a user's process function over the elements, in one pass.  ``fn``
+    gets an iterator of bounded batches and yields result frames with a
+    ``tag`` column: ``main`` for its output, another tag for a side output;
+    it may emit any number of rows to any tag per element.  Batch or stream,
+    no shuffle; :func:`write_tagged` gives each tag a folder."""
+    return df.mapInPandas(fn, schema)
+
+
+def write_tagged(out: DataFrame, path: str) -> DataFrame:
+    """The processed elements written to one folder per tag (SNK5), and read
+    back; reading one tag reads its folder alone."""
+    out.write.partitionBy("tag").parquet(path)
+    return out.sparkSession.read.schema(out.schema).parquet(path)

@@ -46,7 +46,7 @@ def _stage(spark, sf_dir) -> str:
 
 
 def _numbered(spark, path):
-    return files.number_lines(files.with_seq(files.read_lines(spark, path)))
+    return files.number_lines(files.with_place(files.read_lines(spark, path)))
 
 
 def _stream(spark, path, step, kind):
@@ -54,7 +54,7 @@ def _stream(spark, path, step, kind):
     parse = lambda lines: parsing.parse_temperature(lines, keep=["line"]).withColumn("ts", to_stream_time("ts"))
 
     def writer():
-        lines = files.with_seq(files.read_lines(spark, path, stream=True, max_files_per_trigger=FILES))
+        lines = files.with_place(files.read_lines(spark, path, stream=True, max_files_per_trigger=FILES))
         return jobs.to_batches(lines, jobs.carried(step, f"{root}/sink", f"{root}/state", "ts", parse=parse))()
 
     jobs.run_available_now(writer, f"{root}/checkpoint")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..functions import parsing
 from ..session import scratch_path
-from ..sources import files, stand_ins
+from ..sources import files, stand_ins, tables
 from .registry import query
 
 TEMP_PARSED = """
@@ -85,3 +87,23 @@ def parse_access_log(spark, sf_dir):
 def parse_sensor_csv(spark, sf_dir):
     """PRJ5: ``id,epochSeconds,temperature`` lines."""
     return parsing.parse_sensor_csv(stand_ins.sensor_csv_lines(spark, sf_dir))
+
+
+LENIENT_PARSED = """
+WITH p AS (SELECT *, user_id % 30 AS mo, event_id % 70 AS d, event_id % 50 AS h, event_id % 130 AS mi, event_id % 200 AS s FROM events)
+SELECT 'T1_' || event_type AS id, '2024-' || mo || '-' || d || ' ' || h || ':' || mi || ':' || s AS time, value AS temp,
+       TIMESTAMP '2024-01-01 00:00:00' + to_months(CAST(mo - 1 AS INTEGER)) + to_days(CAST(d - 1 AS INTEGER)) + to_hours(h)
+       + to_minutes(mi) + to_seconds(s) AS ts
+FROM p
+"""
+
+
+@query("parse_lenient_lines", LENIENT_PARSED)
+def parse_lenient_lines(spark, sf_dir):
+    """FN8: lines whose months, days, hours, minutes and seconds lie out of
+    range roll over, as with the reference's date parser."""
+    ev = tables.load(spark, sf_dir, "events")
+    e = F.col("event_id")
+    time = F.concat(F.concat_ws("-", F.lit("2024"), F.col("user_id") % 30, e % 70), F.lit(" "), F.concat_ws(":", e % 50, e % 130, e % 200))
+    lines = ev.select(F.concat(F.concat_ws(",", F.concat(F.lit("T1_"), "event_type"), time, F.col("value").cast("string")), F.lit(";")).alias("value"))
+    return parsing.parse_temperature(lines, lenient=True)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import messages, parsing
 from ..functions.timecols import add_seconds, to_ntz, to_stream_time
-from ..operators import alerts, ranking
+from ..operators import alerts, ranking, select
 from ..session import scratch_path
 from ..sources import files, stand_ins, tables
 from ..streaming import jobs, timers
@@ -245,6 +245,17 @@ def stream_tagged_split(spark, sf_dir):
     return out.select("id", "ts", "temper", "seq", F.col("tag").cast("string").alias("tag"), "message")
 
 
+@query("stream_udf_tagged_split", tables_sql.TAGGED)
+def stream_udf_tagged_split(spark, sf_dir):
+    """UDF7 + SNK5/6 on a stream: a user's process function emitting to tags."""
+    inp, sink, ck = jobs.fresh(spark, "udf_tagged")
+    s = stand_ins.sensor_readings(spark, sf_dir).select("id", "ts", "temper", "seq")
+    jobs.stage_in_order(s.withColumn("at", F.timestamp_seconds("ts")), inp, "at", files=FILES, columns=s.columns)
+    stream = jobs.file_stream(spark, inp, s.schema, max_files_per_trigger=FILES)
+    jobs.run_available_now(jobs.to_tags(select.process(stream, udfs.alarm_function(), udfs.TAGGED_SCHEMA), sink), ck)
+    return spark.read.schema(udfs.TAGGED_SCHEMA).parquet(sink)
+
+
 EVENT_TIME_HOURS = """
 SELECT 'sensor_' || CAST(user_id AS VARCHAR) AS id, date_trunc('hour', ts) AS window_start, count(*) AS n
 FROM events GROUP BY 1, 2
@@ -262,7 +273,7 @@ def stream_event_time_table(spark, sf_dir):
     jobs.stage_in_order(lines.withColumn("at", at), inp, "at", files=FILES, fmt="text", columns=["value"])
 
     def writer():
-        tables.create_csv_table_ddl(spark, "sensor_stream", inp, "id string, ts bigint, temperature double",
+        tables.create_csv_table_ddl(spark, "sensor_stream", inp, "id varchar(20) not null, ts bigint, temperature double",
                                     computed={"rt": "to_timestamp(from_unixtime(ts))"}, watermark=("rt", "1 second"),
                                     stream=True, max_files_per_trigger=FILES)
         counts = spark.sql("SELECT id, window(rt, '1 hour').start AS window_start, count(*) AS n "

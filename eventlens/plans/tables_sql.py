@@ -74,7 +74,7 @@ def event_time_table(spark, sf_dir):
     1-second watermark (applied when the table is read as a stream)."""
     _, path = sensor_csv_table(spark, sf_dir, "sensor_src")
     df = tables.create_csv_table_ddl(
-        spark, "sensors_rt", path, "id string, ts bigint, temperature double",
+        spark, "sensors_rt", path, "id varchar(20) not null, ts bigint, temperature double",
         computed={"rt": "to_timestamp(from_unixtime(ts))"}, watermark=("rt", "1 second"))
     return df.select("id", "ts", "temperature", to_ntz("rt").alias("rt"))
 
@@ -93,7 +93,7 @@ def proctime_table(spark, sf_dir):
     and an hour later."""
     _, path = sensor_csv_table(spark, sf_dir, "sensor_src")
     started = spark.sql("SELECT current_timestamp()").first()[0]
-    df = tables.create_csv_table_ddl(spark, "sensors_pt", path, "id string, ts bigint, temperature double",
+    df = tables.create_csv_table_ddl(spark, "sensors_pt", path, "id varchar(20) not null, ts bigint, temperature double",
                                      computed={"pt": "current_timestamp()"})
     in_time = F.col("pt").isNotNull() & (F.col("pt") >= F.lit(started)) & (F.col("pt") < add_seconds(F.lit(started), 3600))
     return df.select("id", "ts", "temperature", in_time.alias("pt_is_now"))

@@ -8,8 +8,11 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..operators import udf
+from ..functions import messages
+from ..operators import select, udf
+from ..session import scratch_path
 from ..sources import stand_ins
+from . import tables_sql
 from .registry import query
 
 GROUPED_MEAN = """
@@ -92,3 +95,29 @@ def udf_window_process(spark, sf_dir):
     t = stand_ins.temperature_readings(spark, sf_dir).select("id", F.window("ts", "1 day").start.alias("window_start"), "temp")
     return udf.user_aggregate(t, keys, **spread_functions(keys), partial_schema="id string, window_start timestamp_ntz, n bigint, low double, high double",
                               out_schema="id string, window_start timestamp_ntz, n bigint, spread double")
+
+
+TAGGED_SCHEMA = "id string, ts int, temper double, seq bigint, message string, tag string"
+
+
+def alarm_function():
+    """The reference's process function: every element to the main output, two
+    sensors also to a side output, with a message each."""
+    sides = {"sensor_6": (messages.TAG_6, messages.SIDE_TAG_6), "sensor_1": (messages.TAG_1, messages.SIDE_TAG_1)}
+
+    def alarm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(message=None, tag="main")
+            for sensor, (tag, text) in sides.items():
+                hit = b[b["id"] == sensor]
+                if len(hit):
+                    yield hit.assign(message=text + hit["id"], tag=tag)
+    return alarm
+
+
+@query("udf_tagged_split", tables_sql.TAGGED)
+def udf_tagged_split(spark, sf_dir):
+    """UDF7 + SNK5: the tagged split by a user's process function."""
+    s = stand_ins.sensor_readings(spark, sf_dir).select("id", "ts", "temper", "seq")
+    out = select.process(s, alarm_function(), TAGGED_SCHEMA)
+    return select.write_tagged(out, scratch_path(spark, "tagged"))

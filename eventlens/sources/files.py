@@ -1,7 +1,7 @@
 """Line and element sources, batch and stream.
 
 ``read_lines`` is ``readTextFile``: one row per line in a ``value`` column.
-``with_seq`` and ``number_lines`` give lines their numbers in reading order,
+``with_place`` and ``number_lines`` give lines their numbers in reading order,
 for operators that must follow it (``operators.arrival``, ``arrival=True``).
 """
 
@@ -24,18 +24,21 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False,
     return r.load(path)
 
 
-def with_seq(lines: DataFrame) -> DataFrame:
+def with_place(lines: DataFrame) -> DataFrame:
     """Where each line was read: file and start of the split.  To be put right
     on top of a text source, batch or stream."""
-    return lines.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+    return lines.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+
+
+def with_seq(lines: DataFrame) -> DataFrame:
+    """Arrival order of each line: (file path, split start, id within the
+    split).  ``monotonically_increasing_id`` is increasing inside a task, so
+    the triple orders lines of a file read in several splits."""
+    return with_place(lines).withColumn("_pos", F.monotonically_increasing_id())
 
 
 def number_lines(lines: DataFrame, start: int = 0, name: str = "line") -> DataFrame:
-    """Numbers lines that know where they were read (:func:`with_seq`) from
+    """Numbers lines that know where they were read (:func:`with_place`) from
     ``start`` on: files in the order of their paths, lines as they stand.
     Lines are counted per split, one row each; the prefix over the splits is
     joined back, so no line moves and no task sees all lines."""

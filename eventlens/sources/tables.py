@@ -5,6 +5,7 @@ create-table-as-select."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
@@ -35,13 +36,34 @@ def register(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def checked(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """Columns as declared: a NULL in a ``not null`` column and a text longer
+    than its ``varchar`` or ``char`` fail the query."""
+    out = []
+    for f in declared.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.VarcharType, T.CharType)):
+            long = F.raise_error(F.concat(F.lit(f"{f.name}: longer than {f.dataType.length}: "), c)).cast("string")
+            c = F.when(F.char_length(c) > f.dataType.length, long).otherwise(c)
+        if not f.nullable:
+            c = F.coalesce(c, F.raise_error(F.lit(f"{f.name}: null in a column declared not null")).cast(c_type(f)))
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
+def c_type(field: T.StructField) -> T.DataType:
+    """The type a declared column has as data."""
+    return T.StringType() if isinstance(field.dataType, (T.VarcharType, T.CharType)) else field.dataType
+
+
 def create_csv_table_ddl(spark: SparkSession, name: str, path: str, columns: str,
                          computed: dict[str, str] | None = None,
                          watermark: tuple[str, str] | None = None,
                          stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """SQL DDL form of a CSV file table with computed columns.
 
-    ``columns`` is a DDL column list (``"id string, ts bigint, temperature double"``),
+    ``columns`` is a DDL column list (``"id varchar(20) not null, ts bigint, temperature double"``);
+    declared lengths and ``not null`` are checked as lines are read (:func:`checked`),
     ``computed`` maps a new column to a SQL expression (``rt`` ->
     ``to_timestamp(from_unixtime(ts))``, ``pt`` -> ``current_timestamp()``).
     Batch: the raw table is declared with ``CREATE TEMPORARY VIEW ... USING
@@ -50,22 +72,23 @@ def create_csv_table_ddl(spark: SparkSession, name: str, path: str, columns: str
     schema, the computed columns are added and ``watermark`` (column, delay)
     is applied - the ``WATERMARK FOR rt AS rt - INTERVAL '1' SECOND`` clause.
     """
-    extra = ", ".join(f"{expr} AS {col}" for col, expr in (computed or {}).items())
+    declared = T.StructType.fromDDL(columns)
+    plain = T.StructType([T.StructField(f.name, c_type(f)) for f in declared.fields])
     if stream:
-        reader = spark.readStream.schema(columns).option("sep", ",").option("mode", "FAILFAST")
+        reader = spark.readStream.schema(plain).option("sep", ",").option("mode", "FAILFAST")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        raw_df = reader.csv(path)
-        df = raw_df.selectExpr("*", *[f"{expr} AS {col}" for col, expr in (computed or {}).items()])
+        df = checked(reader.csv(path), declared).selectExpr("*", *[f"{expr} AS {col}" for col, expr in (computed or {}).items()])
         if watermark:
             df = df.withWatermark(*watermark)
         df.createOrReplaceTempView(name)
         return df
     raw = f"{name}__raw"
     spark.sql(f"DROP VIEW IF EXISTS {raw}")
-    spark.sql(f"CREATE TEMPORARY VIEW {raw} ({columns}) USING csv "
+    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.fields)
+    spark.sql(f"CREATE TEMPORARY VIEW {raw} ({listed}) USING csv "
               f"OPTIONS (path '{path}', header 'false', mode 'FAILFAST')")
-    df = spark.sql(f"SELECT *{', ' + extra if extra else ''} FROM {raw}")
+    df = checked(spark.table(raw), declared).selectExpr("*", *[f"{expr} AS {col}" for col, expr in (computed or {}).items()])
     df.createOrReplaceTempView(name)
     return df
 

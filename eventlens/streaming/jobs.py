@@ -72,6 +72,12 @@ def to_parquet(df: DataFrame, sink: str, mode: str = "append"):
     return lambda: df.writeStream.format("parquet").option("path", sink).outputMode(mode)
 
 
+def to_tags(df: DataFrame, sink: str):
+    """UDF7 + SNK5: processed elements (``select.process``) to one folder per
+    tag, exactly once."""
+    return lambda: df.writeStream.partitionBy("tag").format("parquet").option("path", sink).outputMode("append")
+
+
 def to_batches(df: DataFrame, fn, mode: str = "append"):
     return lambda: df.writeStream.foreachBatch(fn).outputMode(mode)
 
@@ -149,7 +155,7 @@ def carried(step, sink: str, state_dir: str, ts: str, delay: str = "0 seconds",
     passed are late and dropped, and the windows' state is cleared.  ``ttl``:
     the state of keys without rows for that long is cleared.  ``parse``: the
     stream's rows are lines that know where they were read
-    (``files.with_seq``); they are numbered from where the last trigger ended
+    (``files.with_place``); they are numbered from where the last trigger ended
     (``line``) and parsed by this function.
 
     Outputs go to a folder per batch, so a replayed batch is idempotent.

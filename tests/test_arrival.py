@@ -23,7 +23,7 @@ def test_lines_are_numbered_across_files_and_splits(spark, split):
     own.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     own.conf.set("spark.sql.files.openCostInBytes", "1")
     texts = {"a": [f"a{k:03}" for k in range(40)], "b": [f"b{k:03}" for k in range(7)], "c": [f"c{k:03}" for k in range(90)]}
-    lines = files.with_seq(files.read_lines(own, _write(own, texts) + "/*"))
+    lines = files.with_place(files.read_lines(own, _write(own, texts) + "/*"))
     assert split > 64 or lines.select("_file", "_block").distinct().count() > 5
     want = [x for name in sorted(texts) for x in texts[name]]
     for start in (0, 1000):

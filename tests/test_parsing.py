@@ -74,3 +74,37 @@ def test_behavior_and_log_short_lines_null_mode(spark):
                                          on_error="quarantine")
     assert [r.url for r in good.collect()] == ["/a"]
     assert [r.value for r in bad.collect()] == ["1.2.3.4 - -"]
+
+
+def test_lenient_times_roll_over(spark):
+    """What the reference's date parser makes of odd fields."""
+    rolled = {"2024-13-01 00:00:00": "2025-01-01 00:00:00", "2024-00-10 00:00:00": "2023-12-10 00:00:00",
+              "2024-02-30 10:00:00": "2024-03-01 10:00:00", "2023-2-29 1:2:3": "2023-03-01 01:02:03",
+              "2024-01-00 00:00:00": "2023-12-31 00:00:00", "2024-12-31 24:00:00": "2025-01-01 00:00:00",
+              "2024-01-01 00:61:200": "2024-01-01 01:04:20", "2024-01-01 00:00:-1": "2023-12-31 23:59:59",
+              "2024-01-05 06:07:08 and more": "2024-01-05 06:07:08", "2024-01-05 06:07:08": "2024-01-05 06:07:08",
+              "2024-14-35 30:00:00": "2025-03-08 06:00:00"}
+    bad = ["", "2024-01-01", "yesterday", "2024/01/01 00:00:00"]
+    lines = _lines(spark, *[f"T1,{t},1.0;" for t in [*rolled, *bad]])
+    got = {r.time: r.ts and str(r.ts) for r in parsing.parse_temperature(lines, on_error="null", lenient=True).collect()}
+    assert got == rolled | dict.fromkeys(bad)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        parsing.parse_temperature(_lines(spark, "T1,yesterday,1.0;"), lenient=True).collect()
+    log = _lines(spark, "10.0.0.1 - u 32/13/2024:25:00:00 +0000 GET /a")
+    assert str(parsing.parse_access_log(log, lenient=True).first().ts) == "2025-02-02 01:00:00"
+
+
+def test_declared_lengths_and_nulls_are_checked(spark):
+    from eventlens.session import scratch_path
+    from eventlens.sources import files, tables
+    ddl = "id varchar(8) not null, ts bigint, temperature double"
+    good, long, null = ("sensor_1,1,2.5", "sensor_10,1,2.5", ",1,2.5")
+
+    def read(*lines):
+        path = files.write_lines(_lines(spark, *lines), scratch_path(spark, "test/ddl-check"))
+        return tables.create_csv_table_ddl(spark, "declared", path, ddl, computed={"rt": "timestamp_seconds(ts)"})
+
+    assert [(r.id, r.ts, r.temperature) for r in read(good).collect()] == [("sensor_1", 1, 2.5)]
+    for line, message in ((long, "longer than 8"), (null, "declared not null")):
+        with pytest.raises((PySparkException, Py4JJavaError), match=message):
+            read(good, line).collect()
