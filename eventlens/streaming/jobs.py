@@ -27,13 +27,18 @@ def stage(df: DataFrame, path: str, mode: str = "append") -> str:
     return path
 
 
-def stage_in_order(df: DataFrame, path: str, ts: str | Column, parts: int = 6, files: int = 2, fmt: str = "parquet",
+#: groups of files a bounded input is staged in, one per trigger
+PARTS = 6
+
+
+def stage_in_order(df: DataFrame, path: str, ts: str | Column, parts: int | None = None, files: int = 2, fmt: str = "parquet",
                    columns: list[str] | None = None) -> str:
     """Write rows as ``parts * files`` files in event-time order, in one pass
     (a range exchange); with ``maxFilesPerTrigger=files`` a stream reads them
     in about ``parts`` triggers, in that order.  File sources go by
     modification time, so the files get theirs in the order of their names.
     With an expression as ``ts`` rows stand in its order inside the files too."""
+    parts = parts or PARTS
     at = F.unix_micros(F.col(ts).cast("timestamp")) if isinstance(ts, str) else ts
     columns = columns or df.columns
     cut = df.repartitionByRange(parts * files, at)
