@@ -22,12 +22,13 @@ from eventlens.session import build_session  # noqa: E402
 
 def features(plan: str) -> dict:
     final = plan.split("+- == Initial Plan ==")[0]
+    reused = final.count("ReusedExchange")
+    final = re.sub(r"ReusedExchange [^\n]*", "", final)     # its line repeats the exchange it reuses
     ex = re.findall(r"Exchange (hashpartitioning|rangepartitioning)\((.*?), \d+\)", final)
     ex += [("RoundRobinPartitioning", n) for n in re.findall(r"Exchange RoundRobinPartitioning\((\d+)\)", final)]
     ex += [("SinglePartition", "") for _ in re.findall(r"Exchange SinglePartition", final)]
     return {
-        "exchanges": [f"{k}({re.sub(r'#\d+L?', '', a)})" for k, a in ex],
-        "reused": final.count("ReusedExchange"),
+        "exchanges": [f"{k}({re.sub(r'#\d+L?', '', a)})" for k, a in ex] + ([f"{reused} used again"] if reused else []),
         "partial_agg": len(re.findall(r"partial_", final)) > 0,
         "group_limit": "WindowGroupLimit" in final,
         "joins": sorted(set(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin)", final))),
