@@ -27,6 +27,7 @@ per shard, so a lost executor leaves no partial file and any store works.
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -50,6 +51,11 @@ MEMO_PARTS = 100_000
 LETTER, NUMBER, SPACE = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", "\t-\r \u0085\u00a0"
 SPLIT = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^{SPACE}{LETTER}{NUMBER}]+"
 
+# fixed values: the normaliser and the splitter that this cutting equals
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITTER = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed", "invert": True}
+
 INDEX_SCHEMA = T.StructType([
     T.StructField("shard", T.LongType()), T.StructField("seq", T.LongType()),
     T.StructField("doc_id", T.LongType()), T.StructField("shard_start", T.LongType()),
@@ -87,10 +93,25 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letters[b] for b in chr(c).encode()) for c in range(256)}
 
 
+def cut_alike(path: str) -> bool:
+    """Whether a tokenizer file normalises and splits as :class:`Encoder`
+    does on its own."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    normalizer, split, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    steps = split.get("pretokenizers") or [{}]
+    return (normalizer.get("normalizers") == NORMALIZER and len(steps) == 2 and steps[0] == SPLITTER
+            and steps[1].get("type") == "ByteLevel" and not steps[1].get("use_regex", True) and not steps[1].get("add_prefix_space")
+            and model.get("type") == "BPE" and not model.get("dropout") and not spec.get("post_processor")
+            and all(t["content"].startswith("<|") and not (t.get("lstrip") or t.get("rstrip") or t.get("normalized"))
+                    for t in spec.get("added_tokens") or []))
+
+
 class Encoder:
     """Ids of a text as little-endian uint32 bytes.
 
-    The tokenizer lower-cases, cuts a text by ``SPLIT`` and runs its byte-pair
+    A tokenizer that cuts otherwise than the one described here
+    (:func:`cut_alike`) encodes whole texts.  The known one lower-cases, cuts a text by ``SPLIT`` and runs its byte-pair
     model on each part.  A text within Latin-1 is cut here (there, normal
     form and lower case are the same in every library), its parts go to the
     tokenizer's model once and are remembered.  Other texts, and those with a
@@ -101,7 +122,9 @@ class Encoder:
     def __init__(self, path: str, end_id: int):
         import re
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.alike = Tokenizer.from_file(path), cut_alike(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.model, self.letters, self.split = self.tokenizer.model, _byte_letters(), re.compile(SPLIT).findall
         self.end = np.array([end_id], "<u4").tobytes()
         self.parts = Memo(lambda p: np.array([t.id for t in self.model.tokenize(p.translate(self.letters))], "<u4").tobytes(),
@@ -110,6 +133,8 @@ class Encoder:
                            MEMO_PARTS // 4)
 
     def __call__(self, text: str) -> bytes:
+        if not self.alike:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + self.end
         if "<|" not in text and _is_latin1(text):
             memo, cut = self.parts, self.split(text.lower())
         else:

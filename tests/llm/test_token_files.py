@@ -29,6 +29,16 @@ def test_encoder_equals_the_tokenizer(encoder):
         assert np.frombuffer(encoder(text), "<u4").tolist() == _ids(encoder, text)
 
 
+def test_other_tokenizers_encode_whole_texts(encoder):
+    """Ids equal the tokenizer's whatever its normaliser and splitter."""
+    other = t.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 7)
+    assert encoder.alike and not other.alike
+    g = random.Random(4)
+    letters = list("abcABC  \n\t.,!'sdreé日") + ["<|endoftext|>", " The", "123"]
+    for text in ["", " ", *("".join(g.choice(letters) for _ in range(g.randint(1, 80))) for _ in range(500))]:
+        assert np.frombuffer(other(text), "<u4").tolist() == other.tokenizer.encode(text, add_special_tokens=False).ids + [7]
+
+
 def test_memo_is_bounded():
     memo = t.Memo(lambda k: k.encode(), 10)
     for k in range(1000):
