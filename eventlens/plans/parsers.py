@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import parsing
 from ..session import scratch_path
-from ..sources import files, stand_ins, tables
+from ..sources import files, line_source, stand_ins, tables
+from ..streaming import jobs
 from .registry import query
 
 TEMP_PARSED = """
@@ -89,6 +90,18 @@ def parse_sensor_csv(spark, sf_dir):
     return parsing.parse_sensor_csv(stand_ins.sensor_csv_lines(spark, sf_dir))
 
 
+@query("stream_source_lines", TEMP_PARSED)
+def stream_source_lines(spark, sf_dir):
+    """SRC7 + SRC1 + FLT1: the mixed line files as a stream of the line
+    source, a few files per trigger; ``T1`` lines parsed."""
+    root = scratch_path(spark, "stream/source_lines")
+    files.write_lines(stand_ins.iot_lines(spark, sf_dir).repartition(6), f"{root}/input")
+    lines = line_source.stream_lines(spark, f"{root}/input", f"{root}/progress/offset.json", files_per_trigger=3)
+    temps = parsing.parse_temperature(parsing.prefix_filter(lines, "T1"))
+    jobs.run_until_caught_up(jobs.to_parquet(temps, f"{root}/sink"), f"{root}/checkpoint", timeout_s=3600)
+    return spark.read.parquet(f"{root}/sink")
+
+
 LENIENT_PARSED = """
 WITH p AS (SELECT *, user_id % 30 AS mo, event_id % 70 AS d, event_id % 50 AS h, event_id % 130 AS mi, event_id % 200 AS s FROM events)
 SELECT 'T1_' || event_type AS id, '2024-' || mo || '-' || d || ' ' || h || ':' || mi || ':' || s AS time, value AS temp,

@@ -7,6 +7,7 @@ inputs are staged with ``ts`` cast under the UTC session zone.
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,6 +74,30 @@ def run_available_now(writer_factory, checkpoint: str, timeout_s: float | None =
         raise RuntimeError(str(q.exception()))
 
 
+def run_until_caught_up(writer_factory, checkpoint: str, timeout_s: float) -> None:
+    """Run a source that limits its triggers itself, trigger after trigger,
+    until it has nothing new; then stop.  (``availableNow`` would take one
+    trigger of such a source only.)"""
+    q: StreamingQuery = writer_factory().option("checkpointLocation", checkpoint).start()
+    try:
+        seen = -1
+        end = time.monotonic() + timeout_s
+        while q.isActive and time.monotonic() < end:
+            q.awaitTermination(0.5)
+            last = q.lastProgress
+            done = last is not None and last["numInputRows"] == 0 and not q.status["isTriggerActive"]
+            if done and seen == last["batchId"]:
+                break
+            seen = last["batchId"] if done else -1
+        else:
+            if q.isActive:
+                raise TimeoutError(f"stream {q.id} did not catch up within {timeout_s} s")
+    finally:
+        q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 def to_parquet(df: DataFrame, sink: str, mode: str = "append"):
     return lambda: df.writeStream.format("parquet").option("path", sink).outputMode(mode)
 
