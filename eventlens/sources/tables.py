@@ -38,7 +38,8 @@ def register(df: DataFrame, name: str) -> DataFrame:
 
 def checked(df: DataFrame, declared: T.StructType) -> DataFrame:
     """Columns as declared: a NULL in a ``not null`` column and a text longer
-    than its ``varchar`` or ``char`` fail the query."""
+    than its ``varchar`` or ``char`` fail the query (columns that a query does
+    not use are pruned, and not checked)."""
     out = []
     for f in declared.fields:
         c = F.col(f"`{f.name}`")
