@@ -15,10 +15,16 @@ documents are linked when ``100 * |A & B| >= 85 * |A | B|``.
    still apart, with the smallest of every key.  Pairs whose signatures
    allow the threshold are confirmed on the full sets; components are found
    by alternating large-star and small-star.
-4. Keys that still hold several components pair each member outside the
-   smallest member's component with the members of other components, so no
-   pair of different components that shares a key goes unconfirmed; pairs in
-   one component need no link.  Components again.
+4. Keys that still hold several components are settled by their members'
+   rare shingles, those that at most ``RARE`` of such members hold.  A linked
+   pair with a rare shingle in common has its rarest common one among the
+   first ``n - ceil(0.85 n) + 1`` of both sets in order of rarity, so these
+   prefixes are joined: a row meets fewer than ``RARE`` others.  A linked pair
+   without one consists of two sets whose frequent shingles alone allow the
+   threshold: only those are joined by key, each member outside the smallest
+   member's component with the members of other components.  No pair of
+   different components that shares a key goes unconfirmed; pairs in one
+   component need no link.  Components again.
 
 Signature verification compares one bit of each minimum: equal minima give
 equal bits, others agree half the time, so similarity J shows in
@@ -37,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, let, text_of, with_defaults, words_of, written
@@ -46,6 +52,7 @@ SHINGLE_WORDS = 5
 PERCENT = 85
 ROWS, BANDS = 8, 44
 MAX_BITS = 56
+RARE = 16
 SEED = 20240229
 SKETCH = (ROWS * BANDS + 63) // 64
 
@@ -212,7 +219,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = _rooted(star, connected_components(links))
     rest = rooted.where("root <> low_root").select("rep", "low").distinct()
     links = links.union(_confirmed(_signed(rest, reps), sets))
-    links = links.union(_confirmed(_across(slots, connected_components(links), reps), sets))
+    links = links.union(_confirmed(_across(slots, connected_components(links), reps, sets), sets))
 
     same = member.where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     final = connected_components(links.union(same))
@@ -231,18 +238,50 @@ def _rooted(slots: DataFrame, components: DataFrame) -> DataFrame:
             .select(*slots.columns, F.coalesce("r", "rep").alias("root"), F.coalesce("l", "low").alias("low_root")))
 
 
-def _across(slots: DataFrame, components: DataFrame, reps: DataFrame) -> DataFrame:
-    """Compatible pairs of different components that share a key: members
-    outside the component of the key's smallest, with all others."""
+def _rare_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per member with rare shingles: rep, n_rare, and ``prefix``, those of the
+    first ``n - ceil(0.85 n) + 1`` in order of rarity that others hold too.
+    A shingle sends at most ``RARE + 1`` rows per task."""
+    held = (sets.join(members.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id")
+            .select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
+    first = F.row_number().over(Window.partitionBy("shingle").orderBy("rep"))
+    rare = (held.withColumn("nth", first).where(F.col("nth") <= RARE + 1)
+            .withColumn("holders", F.count("*").over(Window.partitionBy("shingle"))).where(F.col("holders") <= RARE))
+    least = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    return (rare.groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("own"))
+            .select("rep", F.size("own").alias("n_rare"), F.transform(F.filter(
+                F.slice("own", F.lit(1), least.cast("int")), lambda x: x["holders"] > 1), lambda x: x["shingle"]).alias("prefix")))
+
+
+def _across(slots: DataFrame, components: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Compatible pairs of different components that share a key and may
+    reach the threshold: by a rare shingle, or by frequent ones alone."""
     marked = _rooted(slots, components).select("key", "rep", "root", "low_root")
     mixed = marked.where("root <> low_root").select("key").distinct()
-    sides = reps.select("rep", "n", "sketch")
-    marked = written(marked.join(mixed, "key").join(sides, "rep"), "near-mixed")
-    side = lambda to: marked.select("key", *[F.col(c).alias(f"{to}_{c}") for c in ("rep", "root", "low_root", "n", "sketch")])
-    a, b = side("a").where("a_root <> a_low_root"), side("b")
+    marked = written(marked.join(mixed, "key"), "near-mixed")
+    members = marked.select("rep", "root").distinct()
+    rare = _rare_shingles(members, sets)
+    members = members.join(reps.select("rep", "n", "sketch"), "rep").join(rare, "rep", "left")
+    members = written(members.withColumn("n_rare", F.coalesce("n_rare", F.lit(0))), "near-across")
+    apart = (F.col("a_root") != F.col("b_root")) & _compatible()
+
+    def sided(df: DataFrame, to: str, *keep: str) -> DataFrame:
+        return df.select(*keep, *[F.col(c).alias(f"{to}_{c}") for c in df.columns if c not in keep])
+
+    by_shingle = members.select("rep", "root", "n", "sketch", F.explode("prefix").alias("shingle"))
+    met = (sided(by_shingle, "a", "shingle").join(sided(by_shingle, "b", "shingle"), "shingle")
+           .where((F.col("a_rep") > F.col("b_rep")) & apart))
+
+    frequent = members.withColumn("frequent", F.col("n") - F.col("n_rare")).drop("n_rare", "prefix")
+    frequent = frequent.where(100 * F.col("frequent") >= PERCENT * F.col("n"))
+    by_key = marked.select("key", "rep", "low_root").join(frequent, "rep")
     once = (F.col("b_root") == F.col("b_low_root")) | (F.col("a_rep") > F.col("b_rep"))
-    return (a.join(b, "key").where((F.col("a_root") != F.col("b_root")) & once & _compatible())
-            .select(F.greatest("a_rep", "b_rep").alias("u"), F.least("a_rep", "b_rep").alias("v")).distinct())
+    most = F.least("a_frequent", "b_frequent")
+    alike = (sided(by_key.where("root <> low_root"), "a", "key").join(sided(by_key, "b", "key"), "key")
+             .where(once & (100 * most >= PERCENT * (F.col("a_n") + F.col("b_n") - most)) & apart))
+
+    pair = [F.greatest("a_rep", "b_rep").alias("u"), F.least("a_rep", "b_rep").alias("v")]
+    return met.select(*pair).union(alike.select(*pair)).distinct()
 
 
 def _signed(pairs: DataFrame, reps: DataFrame) -> DataFrame:

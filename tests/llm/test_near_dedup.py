@@ -27,6 +27,48 @@ def test_groups_chains_and_copies(spark):
     assert got == brute.components(rows)
 
 
+def test_templates_with_many_unlike_copies(spark):
+    # copies of one text, most of them under the threshold with each other: links by rare shingles,
+    # by frequent ones alone, and chains; none may be lost
+    g = random.Random(11)
+    word = lambda: "".join(g.choice("abcdefgh") for _ in range(6))
+    template, rows = [word() for _ in range(120)], []
+    few = [word() for _ in range(6)]
+    for c in range(160):
+        w = list(template)
+        for _ in range(g.choice([1, 2, 3, 4, 5, 6, 9])):
+            w[g.randrange(len(w))] = g.choice(few) if c % 2 else word()
+        rows.append((c, " ".join(w)))
+        if c % 10 == 0:
+            w[g.randrange(len(w))] = word()
+            rows.append((1000 + c, " ".join(w)))
+    expected = brute.components(rows)
+    assert 20 < len(set(expected.values())) < 150
+    assert {r.doc_id: r.component_id for r in _components(spark, rows)} == expected
+
+
+def test_no_pairs_of_unlike_copies(spark):
+    # members that hold over 15 % shingles of their own meet nobody
+    g = random.Random(12)
+    word = lambda: "".join(g.choice("abcdefgh") for _ in range(6))
+    template = [word() for _ in range(150)]
+
+    rows = []
+    for c in range(150):
+        w = list(template)
+        for at in g.sample(range(0, 150, 5), 5):
+            w[at] = word()
+        rows.append((c, " ".join(w)))
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = near.written(texts.select("doc_id", near.shingles_of(near.F.col("text")).alias("shingles")), "near-sets")
+    reps = near.written(sets.mapInArrow(near._features, near.FEATURES), "near-features")
+    reps = reps.select(near.F.col("doc_id").alias("rep"), near.F.col("n_shingles").alias("n"), "bands", "sketch")
+    slots = reps.select("rep", near.F.explode("bands").alias("key"))
+    low = slots.groupBy("key").agg(near.F.min("rep").alias("low"))
+    none = spark.createDataFrame([], "v long, root long")
+    assert near._across(slots.join(low, "key"), none, reps, sets).count() == 0
+
+
 def test_star_components(spark):
     g = random.Random(4)
     edges = [(g.randrange(300), g.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)]
