@@ -33,7 +33,9 @@ deviations beyond what the threshold gives.
 
 Rows with equal ``doc_id`` are one vertex, linked by any of their texts; a
 null ``doc_id`` is no vertex (component null, kept).  Extra columns are
-ignored.  No group is collected: keys and hubs are joined, which adaptive
+ignored; an empty table gives no row; a very long text is one row like any
+other, its minima taken block by block.  Ties (equal sets) go to the smallest
+``doc_id``.  No group is collected: keys and hubs are joined, which adaptive
 execution splits, and their counts are pre-aggregated.
 """
 
@@ -239,18 +241,22 @@ def _rooted(slots: DataFrame, components: DataFrame) -> DataFrame:
 
 
 def _rare_shingles(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Per member with rare shingles: rep, n_rare, and ``prefix``, those of the
-    first ``n - ceil(0.85 n) + 1`` in order of rarity that others hold too.
-    A shingle sends at most ``RARE + 1`` rows per task."""
-    held = (sets.join(members.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id")
-            .select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
+    """Per text of a member: rep, n, n_rare, and ``prefix``, the rare ones of
+    the first ``n - ceil(0.85 n) + 1`` shingles in order of rarity that others
+    hold too.  A shingle sends at most ``RARE + 1`` rows per task."""
+    held = (sets.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("shuffle_hash"), "doc_id")
+            .select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n"), F.xxhash64("shingles").alias("text"), "shingles"))
     first = F.row_number().over(Window.partitionBy("shingle").orderBy("rep"))
-    rare = (held.withColumn("nth", first).where(F.col("nth") <= RARE + 1)
+    rare = (held.withColumn("shingle", F.explode("shingles")).drop("shingles")
+            .withColumn("nth", first).where(F.col("nth") <= RARE + 1)
             .withColumn("holders", F.count("*").over(Window.partitionBy("shingle"))).where(F.col("holders") <= RARE))
     least = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
-    return (rare.groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("own"))
-            .select("rep", F.size("own").alias("n_rare"), F.transform(F.filter(
+    # a set: repeated rows of a text hold each shingle once
+    rare = (rare.groupBy("rep", "n", "text").agg(F.array_sort(F.collect_set(F.struct("holders", "shingle"))).alias("own"))
+            .select("rep", "text", F.size("own").alias("n_rare"), F.transform(F.filter(
                 F.slice("own", F.lit(1), least.cast("int")), lambda x: x["holders"] > 1), lambda x: x["shingle"]).alias("prefix")))
+    return (held.select("rep", "n", "text").distinct().join(rare, ["rep", "text"], "left")
+            .select("rep", "n", F.coalesce("n_rare", F.lit(0)).alias("n_rare"), "prefix"))
 
 
 def _across(slots: DataFrame, components: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
@@ -261,8 +267,7 @@ def _across(slots: DataFrame, components: DataFrame, reps: DataFrame, sets: Data
     marked = written(marked.join(mixed, "key"), "near-mixed")
     members = marked.select("rep", "root").distinct()
     rare = _rare_shingles(members, sets)
-    members = members.join(reps.select("rep", "n", "sketch"), "rep").join(rare, "rep", "left")
-    members = written(members.withColumn("n_rare", F.coalesce("n_rare", F.lit(0))), "near-across")
+    members = written(members.join(reps.select("rep", "sketch"), "rep").join(rare, "rep"), "near-across")
     apart = (F.col("a_root") != F.col("b_root")) & _compatible()
 
     def sided(df: DataFrame, to: str, *keep: str) -> DataFrame:

@@ -42,6 +42,7 @@ def test_templates_with_many_unlike_copies(spark):
         if c % 10 == 0:
             w[g.randrange(len(w))] = word()
             rows.append((1000 + c, " ".join(w)))
+    rows += rows[::9] + [(c, " ".join(word() for _ in range(90))) for c in (3, 4)]  # repeated rows, ids of two texts
     expected = brute.components(rows)
     assert 20 < len(set(expected.values())) < 150
     assert {r.doc_id: r.component_id for r in _components(spark, rows)} == expected
