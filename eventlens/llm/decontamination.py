@@ -15,15 +15,19 @@ sought in windows of ``n`` words:
    such pair; it is emitted at its first equal block only.  A window aligned to an
    item's own anchor is a pair at any distance: words lost at an edge cost
    few shingles but many bits.
-3. Exact similarity: weight of shared shingles over the weight of the item
+3. The other windows that hold an anchor, however words between it and their
+   start were added or lost, are scored where the whole document has enough
+   of the item's shingles to reach the similarity.  As no similar window
+   lacks all anchors, every similar window is seen.
+4. Exact similarity: weight of shared shingles over the weight of the item
    plus that of the window's other shingles (which weigh as unseen ones).
 
 A window at similarity 0.8 with one or two other words in the middle differs
 from its item in about five of 64 bits; ``RADIUS`` is three standard
 deviations beyond that.  It does not decide on an item's own windows.
 
-Only DataFrame functions are used.  Documents are read twice and only
-narrow rows are shuffled; benchmark tables are written first, so their file
+Only DataFrame functions are used.  Documents are read twice, those with an
+anchor are written once, and else only narrow rows are shuffled; benchmark tables are written first, so their file
 size decides whether a join broadcasts them.
 
 Defined cases: null or wordless texts and items match nothing; a null
@@ -107,7 +111,7 @@ def benchmark_items(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     rarest = Window.partitionBy("item").orderBy("df", "h")
     chosen = (weighted.withColumn("before", F.sum("weight").over(rarest) - F.col("weight"))
               .withColumn("all", F.sum("weight").over(Window.partitionBy("item")))
-              .where(F.col("before") <= (1 - SIMILAR) * F.col("all") + 1e-9).select("item", "h"))
+              .where(F.col("before") <= (1 - SIMILAR + 1e-8) * F.col("all")).select("item", "h"))
     # every place of an anchor in its item aligns a window
     anchors = spots.join(chosen, ["item", "h"]).select("h", "n", "at", "item").distinct()
     return items, written(anchors, "deco-anchors")
@@ -119,37 +123,66 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _windows(docs: DataFrame, anchors: DataFrame) -> DataFrame:
-    """(doc, start, n, item) of every window aligned to an item's anchor."""
+    """(doc, start, n, item, low, high) of every window aligned to an item's
+    anchor, and the first and last start of a window that holds the anchor."""
     sizes = [r[0] for r in anchors.select(F.least("n", F.lit(SHINGLE_WORDS)).alias("k")).distinct().collect()]
     words = docs.select("doc", _lower_words(F.col("text")).alias("words"))
     found = None
     for k in sorted(sizes):
         spots = words.select("doc", F.size("words").alias("size"), F.posexplode(_shingles(F.col("words"), k)).alias("pos", "h"))
         own = anchors.where(F.least("n", F.lit(SHINGLE_WORDS)) == k)
-        hits = spots.join(own, "h").select("doc", F.greatest(F.lit(0), F.least(
-            F.col("pos") - F.col("at"), F.col("size") - F.col("n"))).alias("start"), "n", "item")
+        start = lambda at: F.greatest(F.lit(0), F.least(at, F.col("size") - F.col("n")))
+        hits = spots.join(own, "h").select(
+            "doc", start(F.col("pos") - F.col("at")).alias("start"), "n", "item",
+            start(F.col("pos") + k - F.col("n")).alias("low"), start(F.col("pos")).alias("high"))
         found = hits if found is None else found.union(hits)
     if found is None:
-        return docs.select("doc", F.lit(0).alias("start"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("item")).where(F.lit(False))
+        return docs.select("doc", F.lit(0).alias("start"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("item"),
+                           F.lit(0).alias("low"), F.lit(0).alias("high")).where(F.lit(False))
     return found.distinct()
 
 
+def _by_size(words: Column) -> Column:
+    """Shingles of ``words`` for an item of ``n`` words."""
+    return F.coalesce(*[F.when(F.col("n") == k, _shingles(words, k)) for k in range(1, SHINGLE_WORDS)],
+                      _shingles(words, SHINGLE_WORDS))
+
+
+def _around_anchors(texts: DataFrame, windows: DataFrame, items: DataFrame) -> DataFrame:
+    """doc, doc_id, item_id and the best of all windows that hold an anchor."""
+    spans = windows.groupBy("doc", "item").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    own = F.map_keys("weights")
+    held = lambda shingles: F.aggregate(
+        F.array_intersect(own, shingles), F.lit(0.0), lambda a, h: a + F.element_at("weights", h))
+    rows = (texts.join(spans, "doc").join(items, "item").withColumn("all", _by_size(F.col("words")))
+            .where(held(F.col("all")) >= (SIMILAR - 1e-6) * F.col("weight"))
+            .select("doc", "doc_id", "item_id", "n", "weight", "weights", "unseen", "all", F.array_distinct(F.flatten(
+                F.transform("spans", lambda s: F.sequence(s["low"], s["high"])))).alias("starts")))
+
+    def scored(start: Column) -> Column:
+        window = F.array_distinct(F.slice("all", start + 1, F.col("n") - F.least("n", F.lit(SHINGLE_WORDS)) + 1))
+        similarity = let(window, lambda w: held(w) / (F.col("weight") + F.size(F.array_except(w, own)) * F.col("unseen")))
+        return F.struct(F.round(similarity, 9).alias("similarity"), (-start).alias("at"), F.col("n").alias("n"))
+
+    return rows.select("doc", "doc_id", "item_id", F.array_max(F.transform("starts", scored)).alias("found"))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc, doc_id, item_id, start, n_words and similarity of the best window
     of every document and item that reach ``SIMILAR``."""
     items, anchors = benchmark_items(benchmark)
     docs = _keyed(docs)
-    windows = written(_windows(docs, anchors), "deco-windows")
+    hits = written(_windows(docs, anchors), "deco-windows")
+    windows = hits.select("doc", "start", "n", "item").distinct()
     per_doc = windows.groupBy("doc").agg(F.collect_set(F.struct("start", "n")).alias("windows"))
     # texts with candidates grow with the corpus: always meet them by a shuffle, hashing the narrow side
     texts = docs.join(per_doc.hint("shuffle_hash"), "doc").select("doc", "doc_id", _lower_words(F.col("text")).alias("words"), "windows")
+    texts = written(texts, "deco-texts")
     cutouts = F.transform("windows", lambda x: F.struct(
         x["start"].alias("start"), x["n"].alias("n"), F.slice("words", x["start"] + 1, x["n"]).alias("words")))
     cut = texts.select("doc", "doc_id", F.explode(cutouts).alias("w")).select("doc", "doc_id", "w.*").distinct()
-    shingled = F.coalesce(*[F.when(F.col("n") == k, _shingles(F.col("words"), k)) for k in range(1, SHINGLE_WORDS)],
-                          _shingles(F.col("words"), SHINGLE_WORDS))
     cut = written(cut.select("doc", "doc_id", "start", "n", _simhash(F.col("words")).alias("fp"),
-                             F.array_distinct(shingled).alias("shingles")), "deco-cutouts")
+                             F.array_distinct(_by_size(F.col("words"))).alias("shingles")), "deco-cutouts")
 
     sought = _blocks(items.select("item", F.col("n").alias("i_n"), "fp")).select(
         "item", "i_n", F.col("fp").alias("i_fp"), F.col("b").alias("i_b"), F.col("v").alias("i_v"))
@@ -166,9 +199,10 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     shared = F.aggregate(F.map_entries("weights"), F.lit(0.0), lambda a, e: a + F.when(
         F.array_contains("shingles", e["key"]), e["value"]).otherwise(0.0))
     similarity = shared / (F.col("weight") + F.size(F.array_except("shingles", own)) * F.col("unseen"))
-    best = F.max(F.struct("similarity", (-F.col("start")).alias("at"), "n"))
-    return (both.withColumn("similarity", F.round(similarity, 9)).where(F.col("similarity") >= SIMILAR)
-            .groupBy("doc", "doc_id", "item_id").agg(best.alias("best"))
+    found = F.struct(F.round(similarity, 9).alias("similarity"), (-F.col("start")).alias("at"), "n").alias("found")
+    around = _around_anchors(texts.select("doc", "doc_id", "words"), hits, items.drop("fp"))
+    return (both.select("doc", "doc_id", "item_id", found).unionByName(around).where(F.col("found.similarity") >= SIMILAR)
+            .groupBy("doc", "doc_id", "item_id").agg(F.max("found").alias("best"))
             .select("doc", "doc_id", "item_id", (-F.col("best.at")).cast("bigint").alias("start_word"),
                     F.col("best.n").cast("bigint").alias("n_words"), F.col("best.similarity").alias("similarity")))
 

@@ -77,3 +77,31 @@ def test_passages_cut_at_an_edge(spark):
     assert len(expected) == len(items)
     assert {(r.doc_id, r.item_id) for r in got} == expected.keys()
     assert all(abs(r.similarity - expected[r.doc_id, r.item_id]) < 1e-6 for r in got)
+
+
+def test_passages_with_words_added_in_the_middle(spark):
+    """Items share their first and last words, so a window that loses some of
+    both is better than the ones aligned to an anchor, which are not enough."""
+    import math
+    g = random.Random(9)
+    word = lambda: "".join(g.choice("abcdef") for _ in range(6))
+    first, last = [word() for _ in range(6)], [word() for _ in range(6)]
+    items = [first + [word() for _ in range(58)] + last for _ in range(12)]
+    docs = [[word() for _ in range(9)] + t[:35] + [word() for _ in range(4)] + t[35:] + [word() for _ in range(9)] for t in items]
+    cut = lambda w: {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    df = {}
+    for t in items:
+        for x in cut(t):
+            df[x] = df.get(x, 0) + 1
+    weight = lambda xs: sum(math.log(1 + 12 / df.get(x, 1)) for x in xs)
+    expected = {}
+    for d, w in enumerate(docs):
+        for k, t in enumerate(items):
+            at = [(round(weight(cut(t) & c) / (weight(cut(t)) + len(c - cut(t)) * math.log(13)), 6), -s)
+                  for s in range(len(w) - 69) for c in [cut(w[s:s + 70])]]
+            if max(at)[0] >= 0.8:
+                expected[d, k] = max(at)
+    assert set(expected) == {(k, k) for k in range(12)}
+    got = deco.contaminated(spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id long, text string"),
+                            spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): (round(r.similarity, 6), -r.start_word) for r in got.collect()} == expected
