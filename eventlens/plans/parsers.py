@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions import parsing
@@ -90,12 +92,22 @@ def parse_sensor_csv(spark, sf_dir):
     return parsing.parse_sensor_csv(stand_ins.sensor_csv_lines(spark, sf_dir))
 
 
+FILES = 6
+LINES_PER_FILE = 1 << 22
+
+
+def _line_files(lines: int) -> int:
+    """Files for so many lines: a task writes one, whose size is bounded."""
+    return max(FILES, math.ceil(lines / LINES_PER_FILE))
+
+
 @query("stream_source_lines", TEMP_PARSED)
 def stream_source_lines(spark, sf_dir):
     """SRC7 + SRC1 + FLT1: the mixed line files as a stream of the line
     source, a few files per trigger; ``T1`` lines parsed."""
     root = scratch_path(spark, "stream/source_lines")
-    files.write_lines(stand_ins.iot_lines(spark, sf_dir).repartition(6), f"{root}/input")
+    n = sum(tables.load(spark, sf_dir, t).count() for t in ("events", "lineitem"))
+    files.write_lines(stand_ins.iot_lines(spark, sf_dir).repartition(_line_files(n)), f"{root}/input")
     lines = line_source.stream_lines(spark, f"{root}/input", f"{root}/progress/offset.json", files_per_trigger=3)
     temps = parsing.parse_temperature(parsing.prefix_filter(lines, "T1"))
     jobs.run_until_caught_up(jobs.to_parquet(temps, f"{root}/sink"), f"{root}/checkpoint", timeout_s=3600)

@@ -45,3 +45,10 @@ def test_lines_arrive_once_over_restarts(spark):
         shutil.move(str(pathlib.Path(root, "ck/commits", name)), str(pathlib.Path(root, f"lost{name}")))
     _run(spark, root)
     assert got() == texts
+
+
+def test_staged_files_are_bounded():
+    from eventlens.plans import parsers
+    assert parsers._line_files(0) == parsers._line_files(700_000) == 6
+    for lines in (10**8, 10**9):
+        assert lines / parsers._line_files(lines) <= parsers.LINES_PER_FILE
