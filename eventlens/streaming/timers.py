@@ -59,23 +59,39 @@ def _batches(rows, columns: list[str], size: int = BATCH_ROWS) -> Iterator[pd.Da
         yield pd.DataFrame(part, columns=columns)
 
 
+#: marks the fields of a state element that holds a list of values each
+LIST = "_list_"
+
+
+def _chunks(pdf: pd.DataFrame, size: int = BATCH_ROWS) -> Iterator[tuple]:
+    """Elements of up to ``size`` rows, a list per column."""
+    plain = pdf.astype(object)
+    plain = plain.where(pdf.notna(), None)
+    for at in range(0, len(plain), size):
+        yield tuple(plain[c].iloc[at:at + size].tolist() for c in plain.columns)
+
+
 class CollectUntil(StatefulProcessor):
-    """List state per key, one timer at the key's last value (a time).  With
-    ``keep`` the state is cut down to what ``keep`` returns after each trigger."""
+    """List state per key, one timer at the key's last value (a time).  An
+    element of the list is a batch of rows, a list per column: the store is
+    called once per batch.  With ``keep`` the state is cut down to what
+    ``keep`` returns after each trigger, an element per row."""
 
     def __init__(self, columns: list[str], schema: T.StructType, finish: Finish, keep: PandasFn | None = None):
         self.columns, self.schema, self.finish, self.keep = columns, schema, finish, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.kept = handle.getListState("rows", self.schema)
+        chunk = T.StructType([T.StructField(LIST + f.name, T.ArrayType(f.dataType)) for f in self.schema.fields])
+        self.kept = handle.getListState("rows", self.schema if self.keep else chunk)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if not self.kept.exists():
             self.handle.registerTimer(_millis(key[-1]))
         if self.keep is None:
             for b in rows:
-                self.kept.appendList(_rows(b[self.columns]))
+                if len(b):
+                    self.kept.appendList(list(_chunks(b[self.columns])))
         else:
             best = [pd.DataFrame(list(map(tuple, self.kept.get())), columns=self.columns)] if self.kept.exists() else []
             for b in rows:
@@ -85,7 +101,11 @@ class CollectUntil(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self.finish(key, _batches(self.kept.get(), self.columns))
+        if self.keep is None:
+            batches = (pd.DataFrame(dict(zip(self.columns, chunk))) for chunk in self.kept.get())
+        else:
+            batches = _batches(self.kept.get(), self.columns)
+        yield from self.finish(key, batches)
         self.kept.clear()
 
     def close(self) -> None:
@@ -119,7 +139,14 @@ def open_collected(spark: SparkSession, checkpoint: str, keys: list[str], finish
     """What :func:`collect_until` would still return if the input ended: the
     rows in the store, through the same function."""
     state = (spark.read.format("statestore").option("operatorId", operator).option("stateVarName", "rows")
-             .load(checkpoint).select("key.*", "list_element.*"))
+             .load(checkpoint))
+    fields = state.schema["list_element"].dataType.names
+    if all(f.startswith(LIST) for f in fields):
+        names = [f[len(LIST):] for f in fields]
+        state = state.select("key", *[F.col(f"list_element.{LIST}{c}").alias(c) for c in names])
+        state = state.select("key.*", F.explode(F.arrays_zip(*names)).alias("_row")).select("*", "_row.*").drop("_row")
+    else:
+        state = state.select("key.*", "list_element.*")
 
     def run(key, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from finish(key, (b.drop(columns=[*keys, "window_end"]) for b in batches))

@@ -138,3 +138,21 @@ def test_clock_windows_fire_once(spark):
     open_ = timers.open_clock_counts(own, f"{root}/ck").collect()
     assert len({(r.id, r.window_end) for r in [*fired, *open_]}) == len(fired) + len(open_)
     assert sum(r.n for r in [*fired, *open_]) == 8
+
+
+def test_a_batch_of_rows_is_one_element_of_the_state(spark):
+    root = scratch_path(spark, "test/chunks")
+
+    def writer():
+        s = jobs.file_stream(spark, f"{root}/in", SCHEMA, max_files_per_trigger=1).withWatermark("ts", "1 second")
+        s = s.select("id", F.window("ts", "10 minutes").alias("window"), "temp")
+        return jobs.to_parquet(timers.collect_until(s, ["id"], "window", _elements(), OUT), f"{root}/out")()
+
+    jobs.stage(_rows(spark, [("a", m % 10, m) for m in range(50)] + [("b", 3, 7)]), f"{root}/in")
+    jobs.run_available_now(writer, f"{root}/ck")
+    kept = spark.read.format("statestore").option("stateVarName", "rows").load(f"{root}/ck")
+    assert kept.count() == 2
+    still = timers.open_collected(spark, f"{root}/ck", ["id"], _elements(), OUT).collect()
+    assert sorted((r.id, r.n, r.top) for r in still) == [("a", 50, 49.0), ("b", 1, 7.0)]
+    parts = list(timers._chunks(pd.DataFrame({"v": range(25), "w": [None, *range(24)]}), 10))
+    assert [len(v) for v, _ in parts] == [10, 10, 5] and parts[0][1][:2] == [None, 0]
