@@ -129,11 +129,14 @@ def parse_quality(lines: DataFrame, on_error: str = "fail", strip_last_char: boo
     and a missing tag gives 0."""
     safe = _check(on_error)
     body = drop_last_char(F.col("value")) if strip_last_char else F.col("value")
-    arr = F.split(body, ",")
+    # columns of their own: a line is split once and searched once for each tag
+    kept = ["value", *(keep or [])]
+    lines = lines.select(*kept, F.split(body, ",").alias("_fields"))
+    arr = F.col("_fields")
+    lines = lines.select(*kept, "_fields", _last_tag(arr, TAG_ACID).alias("_acid"), _last_tag(arr, TAG_CONS).alias("_cons"),
+                         _last_tag(arr, TAG_WATER).alias("_water"))
     time = _field(arr, 1, safe)
-    acid = _last_tag(arr, TAG_ACID)
-    cons = _last_tag(arr, TAG_CONS)
-    water = _last_tag(arr, TAG_WATER)
+    acid, cons, water = F.col("_acid"), F.col("_cons"), F.col("_water")
 
     def tagged(raw: Column, typ: str, zero) -> Column:
         # missing tag -> 0; present but malformed -> error / NULL by mode

@@ -108,3 +108,9 @@ def test_declared_lengths_and_nulls_are_checked(spark):
     for line, message in ((long, "longer than 8"), (null, "declared not null")):
         with pytest.raises((PySparkException, Py4JJavaError), match=message):
             read(good, line).collect()
+
+
+def test_a_quality_line_is_split_once(spark):
+    df = parsing.parse_quality(spark.range(3).selectExpr("concat('Q1_', id, ',2024-01-01 00:00:00,AB:1.5,AE:2,CE:0.5;') AS value"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert [r.acid for r in df.collect()] == [1.5] * 3
