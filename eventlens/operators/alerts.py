@@ -117,7 +117,7 @@ def breach_alerts(df: DataFrame, *args, **options) -> DataFrame:
 def breach_step(df: DataFrame, state: DataFrame | None, key: str = "id", ts: str = "ts", order=(), metrics=METRICS,
                 rate: float = DEFAULT_RATE, variant: str = "keep", time_col: str = "time",
                 with_message: bool = False, arrival: bool = False,
-                slice_width: str | int | None = None) -> tuple[DataFrame, DataFrame]:
+                slice_width: str | int | None = None, hot_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """ALR3 (``keep``) / ALR4 (``drop``): alert for metric ``m`` when two
     readings in a row exceed the baseline reading by more than ``rate``.
 
@@ -154,7 +154,8 @@ def breach_step(df: DataFrame, state: DataFrame | None, key: str = "id", ts: str
         return ~b
 
     s, after = scan_with_state(df, key, ordering, lags=[*metrics, time_col], maxes=[ts], row_number=True,
-                               mark=non_breach if variant == "keep" else None, slice_width=slice_width, state=state)
+                               mark=non_breach if variant == "keep" else None, slice_width=slice_width, hot_rows=hot_rows,
+                               state=state)
     rn = F.col("_rn")
     over = {m: (gt(F.col(m), F.col(f"_l2_{m}") * factor),                    # v over s0
                 gt(F.col(f"_l1_{m}"), F.col(f"_l2_{m}") * factor))           # s1 over s0

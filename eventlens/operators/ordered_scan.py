@@ -23,6 +23,11 @@ be a third of the job in one task.
 4. that carry-in is joined back on (key, slice), on which the rows are
    partitioned already; Spark decides by size whether to broadcast it.
 
+A slice costs more than its rows where keys are many and small.  With
+``hot_rows`` only keys of more rows than that are cut into slices, all others
+are one: keys are counted first, in one more pass over them, and the hot ones
+(at most rows / ``hot_rows``) are broadcast.
+
 The state after a part of the data has the same form as a slice's summary,
 so a stream's micro-batches go on where the last one ended
 (:func:`scan_with_state`).
@@ -43,6 +48,22 @@ from ..functions.timecols import duration_seconds
 
 SLICE_TIME = "1 hour"
 SLICE_ROWS = 1 << 18
+HOT_ROWS = 1 << 18
+
+
+class Earlier:
+    """The state before a stream's trigger: ``find`` gets the keys of the
+    trigger's rows and returns their state, or None.  The summaries of the
+    rows are computed once for the trigger's output and its new state; the
+    caller keeps the rows (they are read for their keys too) and releases
+    the summaries when both are written."""
+
+    def __init__(self, find: Callable[[DataFrame], DataFrame | None]):
+        self.find, self.kept = find, []
+
+    def release(self) -> None:
+        for df in self.kept:
+            df.unpersist()
 
 
 def _cols(x) -> list[str]:
@@ -65,14 +86,26 @@ def slice_expr(df: DataFrame, column: str, width: str | int | None = None) -> Co
     raise ValueError(f"slices need a time or whole-number order column, {column} is {kind.simpleString()}")
 
 
+def sliced(df: DataFrame, keys: list[str], column: str, width: str | int | None = None, hot_rows: int | None = None) -> DataFrame:
+    """``df`` with ``_part``, the key and slice of a row: one struct column,
+    so null keys compare equal in windows and joins alike."""
+    key, place = F.struct(*keys), slice_expr(df, column, width)
+    part = lambda s: F.struct(key.alias("key"), s.alias("slice"), F.lit(1).alias("now"))
+    if not hot_rows:
+        return df.withColumn("_part", part(place))
+    hot = df.groupBy(key.alias("_hot")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select("_hot")
+    marked = df.join(F.broadcast(hot), key == F.col("_hot"), "left")
+    return marked.withColumn("_part", part(F.when(F.col("_hot").isNotNull(), place).otherwise(F.lit(0)))).drop("_hot")
+
+
 def scan(df: DataFrame, keys, order, **options) -> DataFrame:
     """The rows of :func:`scan_with_state`, from the start of every key."""
     return scan_with_state(df, keys, order, **options)[0]
 
 
 def scan_with_state(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), row_number: bool = False, mark=None,
-                    slice_width: str | int | None = None,
-                   state: DataFrame | Callable[[DataFrame], DataFrame | None] | None = None) -> tuple[DataFrame, DataFrame]:
+                    slice_width: str | int | None = None, hot_rows: int | None = None,
+                    state: DataFrame | Earlier | None = None) -> tuple[DataFrame, DataFrame]:
     """Add exclusive per-key prefix aggregates in ``order``:
 
     * ``_rn``: 1-based position of the row in its key (``row_number``);
@@ -90,18 +123,19 @@ def scan_with_state(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), r
     Returns the rows and the state after them: one row per key with its
     count, totals, maxima, last two rows and last mark.  Passed as ``state``
     with a later part of the data, it goes on from there: it stands for a
-    slice before all others.  A function as ``state`` gets the keys of ``df``
-    (a ``key`` column) and returns their state; then only these keys' state
-    is returned.
+    slice before all others.  An :class:`Earlier` as ``state`` finds that of
+    the keys of ``df`` (a ``key`` column); then only these keys' state is
+    returned, and only keys of more than :data:`HOT_ROWS` rows are sliced.
     """
     keys, order = _cols(keys), _cols(order)
     sums, maxes, lags = _cols(sums), _cols(maxes), _cols(lags)
     zero = {c: F.lit(0).cast(df.schema[c].dataType) for c in sums}
-    # one struct column: null keys compare equal in windows and joins alike
-    part = F.struct(F.struct(*keys).alias("key"), slice_expr(df, order[0], slice_width).alias("slice"), F.lit(1).alias("now"))
+    earlier = state if isinstance(state, Earlier) else None
+    if earlier and hot_rows is None:
+        hot_rows = HOT_ROWS
     w = Window.partitionBy("_part").orderBy(*order)
     wb = w.rowsBetween(Window.unboundedPreceding, -1)
-    local = df.withColumn("_part", part).select(
+    local = sliced(df, keys, order[0], slice_width, hot_rows).select(
         F.col("*"),
         F.row_number().over(w).cast("bigint").alias("_lrn"),
         *[F.coalesce(F.sum(c).over(wb), zero[c]).alias(f"_lsb_{c}") for c in sums],
@@ -130,12 +164,15 @@ def scan_with_state(df: DataFrame, keys, order, *, sums=(), maxes=(), lags=(), r
         *([F.max("_lmp").alias("_lmpmax")] if mark else []),
         F.max(F.hash(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])).alias("_seen"),
     )
-    if callable(state):
-        state = state(df.select(F.struct(*keys).alias("key")).distinct())
+    if earlier:
+        state = earlier.find(df.select(F.struct(*keys).alias("key")).distinct())
     if state is not None:
-        earlier = F.struct(F.col("key"), F.lit(None).cast("bigint").alias("slice"), F.lit(0).alias("now"))
-        summ = summ.unionByName(state.withColumn("_first", F.col("_last")).withColumn("_part", earlier)
+        before = F.struct(F.col("key"), F.lit(None).cast("bigint").alias("slice"), F.lit(0).alias("now"))
+        summ = summ.unionByName(state.withColumn("_first", F.col("_last")).withColumn("_part", before)
                                 .withColumn("_seen", F.lit(0)).drop("key"))
+    if earlier:
+        summ = summ.persist()
+        earlier.kept.append(summ)
     wc = Window.partitionBy("_part.key").orderBy("_part.now", "_part.slice")
     wcb = wc.rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import messages, parsing
 from ..functions.timecols import to_ntz, to_stream_time
-from ..operators import alerts, windows
+from ..operators import alerts, ordered_scan, windows
 from ..session import scratch_path
 from ..sources import files, stand_ins
 from ..streaming import jobs
@@ -58,7 +58,8 @@ def _temperature_step(rows, state):
 
 
 def _quality_step(rows, state):
-    return alerts.breach_step(rows, state, order=QUALITY, variant="keep", with_message=True, slice_width="30 days")
+    return alerts.breach_step(rows, state, order=QUALITY, variant="keep", with_message=True, slice_width="30 days",
+                              hot_rows=ordered_scan.HOT_ROWS)
 
 
 def _report(temps: DataFrame) -> DataFrame:

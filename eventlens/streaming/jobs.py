@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timecols import add_seconds, duration_seconds
 from ..operators import ranking
+from ..operators.ordered_scan import Earlier
 from ..session import hadoop_path, scratch_path
 from ..sources import files
 from .state import KeyedState
@@ -212,13 +213,15 @@ def carried(step, sink: str, state_dir: str, ts: str, delay: str = "0 seconds",
         if window and before is not None:
             batch = batch.where(F.window(ts, window).end > add_seconds(F.lit(before), -duration_seconds(delay)))
         batch = batch.persist()
+        earlier = Earlier(lambda keys: state.of(keys, alive(before)))
         try:
             newest = batch.agg(F.max(ts).cast("timestamp")).first()[0]
             latest = max((t for t in (before, newest) if t is not None), default=None)
-            out, after = step(batch, lambda keys: state.of(keys, alive(before)))
+            out, after = step(batch, earlier)
             out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
             state.commit(after, latest, alive(latest), lines)
         finally:
+            earlier.release()
             batch.unpersist()
             source.unpersist()
     return fn

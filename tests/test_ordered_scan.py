@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from eventlens.operators.ordered_scan import gt, scan
+from eventlens.operators.ordered_scan import Earlier, gt, scan, scan_with_state, sliced
 
 
 def _data(spark, seed, n=600):
@@ -86,3 +86,24 @@ def test_same_plan_at_any_partition_count(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert len(shapes) == 1
+
+
+def test_only_hot_keys_are_sliced(spark):
+    df = _data(spark, 5)
+    parts = {}
+    for r in sliced(df, ["k"], "t", 3, hot_rows=200).select("_part.key.k", "_part.slice").distinct().collect():
+        parts.setdefault(r.k, set()).add(r.slice)
+    assert len(parts.pop("hot")) > 10 and all(len(s) == 1 for s in parts.values()) and None in parts
+    a = scan(df, "k", ["t", "seq"], row_number=True, slice_width=3, hot_rows=200, **KW)
+    assert _rows(a) == _rows(window_scan(df, ["k"], ["t", "seq"], **KW))
+
+
+def test_summaries_of_a_trigger_are_kept_until_released(spark):
+    earlier = Earlier(lambda keys: None)
+    out, after = scan_with_state(_data(spark, 6), "k", ["t", "seq"], row_number=True, slice_width=3, state=earlier, **KW)
+    assert len(earlier.kept) == 1 and earlier.kept[0].is_cached
+    for df in (out, after):
+        assert "InMemoryTableScan" in df._jdf.queryExecution().executedPlan().toString()
+    assert _rows(out) == _rows(window_scan(_data(spark, 6), ["k"], ["t", "seq"], **KW))
+    earlier.release()
+    assert not earlier.kept[0].is_cached
