@@ -17,8 +17,9 @@ sought in windows of ``n`` words:
    few shingles but many bits.
 3. The other windows that hold an anchor, however words between it and their
    start were added or lost, are scored where the whole document has enough
-   of the item's shingles to reach the similarity.  As no similar window
-   lacks all anchors, every similar window is seen.
+   of the item's shingles to reach the similarity: running sums over the
+   places of its shingles give all windows of a document in time linear in its
+   words.  As no similar window lacks all anchors, every similar window is seen.
 4. Exact similarity: weight of shared shingles over the weight of the item
    plus that of the window's other shingles (which weigh as unseen ones).
 
@@ -149,22 +150,36 @@ def _by_size(words: Column) -> Column:
 
 
 def _around_anchors(texts: DataFrame, windows: DataFrame, items: DataFrame) -> DataFrame:
-    """doc, doc_id, item_id and the best of all windows that hold an anchor."""
-    spans = windows.groupBy("doc", "item").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    """doc, doc_id, item_id and the best window from the first to the last that
+    holds an anchor.  A place counts in the windows that hold it and no earlier
+    place of its shingle: it is added at the first of them and taken off after
+    the last, so running sums score every window in one pass."""
+    spans = windows.groupBy("doc", "item").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     own = F.map_keys("weights")
     held = lambda shingles: F.aggregate(
         F.array_intersect(own, shingles), F.lit(0.0), lambda a, h: a + F.element_at("weights", h))
-    rows = (texts.join(spans, "doc").join(items, "item").withColumn("all", _by_size(F.col("words")))
-            .where(held(F.col("all")) >= (SIMILAR - 1e-6) * F.col("weight"))
-            .select("doc", "doc_id", "item_id", "n", "weight", "weights", "unseen", "all", F.array_distinct(F.flatten(
-                F.transform("spans", lambda s: F.sequence(s["low"], s["high"])))).alias("starts")))
-
-    def scored(start: Column) -> Column:
-        window = F.array_distinct(F.slice("all", start + 1, F.col("n") - F.least("n", F.lit(SHINGLE_WORDS)) + 1))
-        similarity = let(window, lambda w: held(w) / (F.col("weight") + F.size(F.array_except(w, own)) * F.col("unseen")))
-        return F.struct(F.round(similarity, 9).alias("similarity"), (-start).alias("at"), F.col("n").alias("n"))
-
-    return rows.select("doc", "doc_id", "item_id", F.array_max(F.transform("starts", scored)).alias("found"))
+    places = F.col("n") - F.least("n", F.lit(SHINGLE_WORDS)) + 1
+    within = let(_by_size(F.col("words")), lambda w: F.when(
+        held(w) >= (SIMILAR - 1e-6) * F.col("weight"), F.slice(w, F.col("low") + 1, F.col("high") - F.col("low") + F.col("places"))))
+    keys = ["doc", "item", "doc_id", "item_id", "n", "weight", "unseen"]
+    rows = (texts.join(spans, "doc").join(items, "item").withColumn("places", places)
+            .select(*keys, "weights", "low", "high", "places", within.alias("within"))
+            .repartition("doc", "item"))    # what follows groups by these, and more
+    spots = (rows.select(*keys, "weights", "low", "high", "places", F.posexplode("within").alias("pos", "h"))
+             .select(*keys, "low", "high", "places", "h", (F.col("low") + F.col("pos")).alias("at"),
+                     F.try_element_at("weights", F.col("h")).alias("own")))
+    # repeated rows of a document: the second of two equal places counts in no window
+    earlier = F.lag("at").over(Window.partitionBy("doc", "item", "h").orderBy("at"))
+    first = F.greatest(F.coalesce(earlier + 1, F.col("low")), F.col("at") - F.col("places") + 1, F.col("low"))
+    shared, other = F.coalesce("own", F.lit(0.0)), F.col("own").isNull().cast("int")
+    change = F.explode(F.array(F.struct(F.col("first").alias("start"), shared.alias("shared"), other.alias("other")),
+                               F.struct((F.col("at") + 1).alias("start"), (-shared).alias("shared"), (-other).alias("other"))))
+    changes = (spots.withColumn("first", first).select(*keys, "high", change.alias("c")).select(*keys, "high", "c.*").where("start <= high")
+               .groupBy(*keys, "start").agg(F.sum("shared").alias("shared"), F.sum("other").alias("other")))
+    so_far = Window.partitionBy("doc", "item").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    similarity = F.sum("shared").over(so_far) / (F.col("weight") + F.sum("other").over(so_far) * F.col("unseen"))
+    return (changes.select(*keys, F.struct(F.round(similarity, 9).alias("similarity"), (-F.col("start")).alias("at"), "n").alias("found"))
+            .groupBy("doc", "item", "doc_id", "item_id").agg(F.max("found").alias("found")).drop("item"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -105,3 +105,25 @@ def test_passages_with_words_added_in_the_middle(spark):
     got = deco.contaminated(spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id long, text string"),
                             spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string"))
     assert {(r.doc_id, r.item_id): (round(r.similarity, 6), -r.start_word) for r in got.collect()} == expected
+
+
+def test_long_items_in_a_long_document(spark):
+    """Every window of a document is scored in time linear in its words, not
+    one by one against the whole item; repeated shingles and rows count once."""
+    import time
+    g = random.Random(10)
+    word = lambda: "".join(g.choice("abcdef") for _ in range(6))
+    item = [word() for _ in range(1500)]
+    again = item[:20] + item[:20] + item[40:1500]
+    doc = [word() for _ in range(50)] + again + [word() for _ in range(700)] + item + item + [word() for _ in range(30)]
+    cut = lambda w: {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    own = cut(item)
+    best = lambda w: max((round(len(own & c) / len(own | c), 6), -s)
+                         for s in range(len(w) - 1499) for c in [cut(w[s:s + 1500])])
+    docs = [(1, " ".join(doc)), (1, " ".join(doc)), (2, " ".join(again[:1500] + doc[:40]))]
+    began = time.time()
+    got = deco.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                            spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    took = time.time() - began
+    assert {r.doc_id: (round(r.similarity, 6), -r.start_word) for r in got} == {d: best(t.split()) for d, t in docs}
+    assert len(got) == 2 and took < 60, took
