@@ -142,22 +142,21 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(v, root): the smallest vertex of each connected component, by
     alternating large-star and small-star over (u, v) edges."""
-    def both(e: DataFrame) -> DataFrame:
-        return e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    def pairs(*uv: tuple[str, str]) -> Column:
+        # several edges of one row, so that its plan stands once
+        return F.inline(F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in uv]))
 
     def with_min(e: DataFrame) -> DataFrame:
         low = e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         return e.join(low, "u")
 
     def large(e: DataFrame) -> DataFrame:
-        star = with_min(both(e)).where("v > u")
+        star = with_min(e.select(pairs(("u", "v"), ("v", "u")))).where("v > u")
         return star.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
     def small(e: DataFrame) -> DataFrame:
         # edges point from larger u to smaller v
-        star = with_min(e)
-        return (star.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                .union(star.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        return with_min(e).select(pairs(("v", "m"), ("u", "m"))).where("u <> v").distinct()
 
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum((F.xxhash64("u", "v") % 1000003).cast("bigint"))).first())

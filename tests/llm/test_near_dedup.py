@@ -95,3 +95,17 @@ def test_messy_and_empty(messy, messy_rows, empty):
     kept = near.keep_documents(messy)
     assert kept.columns == messy.columns and kept.count() == sum(r.kept for r in out)
     assert near.near_duplicates(empty).count() == 0
+
+
+def test_a_round_of_components_reads_its_edges_few_times(spark, monkeypatch):
+    leaves, real = [], near.cut
+
+    def seen(df):
+        leaves.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return real(df)
+
+    monkeypatch.setattr(near, "cut", seen)
+    edges = [(5, 4), (4, 3), (3, 2), (9, 8), (2, 1), (7, 8), (6, 6), (5, 4)]
+    got = near.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert sorted((r.v, r.root) for r in got) == [(2, 1), (3, 1), (4, 1), (5, 1), (8, 7), (9, 7)]
+    assert len(leaves) > 2 and max(leaves) <= 4, leaves
